@@ -75,18 +75,20 @@ def daily_entries(snapshots: DataFrame, taken_at: str) -> DataFrame:
     ``taken_at`` is a timestamp column, so a rerun gives the same days and a run over
     midnight does not split a chart.
     """
-    return rank_entries(snapshots, "items", "item").select(
-        *[c for c in snapshots.columns if c != "items"],
+    # The day belongs to the snapshot: it is worked out before the list is exploded.
+    dated = snapshots.withColumn("date_ranking", day_text(timestamp_text(F.col(taken_at))))
+    return rank_entries(dated, "items", "item").select(
+        *snapshots.drop("items").columns,
         F.col("item.track.id").alias("track_id"),
         "position",
-        day_text(timestamp_text(F.col(taken_at))).alias("date_ranking"),
+        "date_ranking",
     )
 
 
 def history_entries(snapshots: DataFrame) -> DataFrame:
     """Entries of archived snapshots; the day is that on which the track was added."""
     return rank_entries(snapshots, "tracks", "entry").select(
-        *[c for c in snapshots.columns if c != "tracks"],
+        *snapshots.drop("tracks").columns,
         url_last_segment(F.col("entry.url")).alias("track_id"),
         "position",
         day_text(F.col("entry.added_at")).alias("date_ranking"),

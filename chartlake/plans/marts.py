@@ -1,4 +1,4 @@
-"""Flat tables to dimensions and facts. All functions are lazy."""
+"""Flat tables to dimensions and facts."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chartlake.operators.aggregates import distinct_projection, group_concat, group_count
-from chartlake.operators.joins import inner_renamed
+from chartlake.operators.joins import broadcast_if_small, inner_renamed
 from chartlake.schemas import DAY, DIM_ARTIST, DIM_TRACK, KEYS, TRACK_STATISTICS
 from chartlake.sinks.incremental import incremental_append
 from chartlake.sources.readers import partition_values
@@ -25,10 +25,15 @@ def f_artist(artists: DataFrame, tracks: DataFrame) -> DataFrame:
 
     Copies in ``tracks`` are kept. An artist with two follower totals gives two rows
     per place.
+
+    The artists, one row each, are measured first (a job over ``artists`` alone). If
+    they are small they are broadcast, and the far larger ``tracks`` is not shuffled;
+    left to run-time planning it would be shuffled before that size is known.
     """
     genres = group_concat(artists, ["id", "total"], "genres", "genres")
+    small = broadcast_if_small(genres)
     places = tracks.select(DAY, "artists_id", "position")
-    return inner_renamed(genres, places, "id", "artists_id")
+    return inner_renamed(genres if small is None else small, places, "id", "artists_id")
 
 
 def f_genre(artists: DataFrame, tracks: DataFrame) -> DataFrame:
