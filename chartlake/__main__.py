@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import inspect
 
 from chartlake.plans.jobs import JOBS
 from chartlake.session import build_session
@@ -12,15 +13,21 @@ def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="chartlake")
     parser.add_argument("job", choices=list(JOBS))
     parser.add_argument("--root", required=True, help="root folder of the lake")
-    parser.add_argument("--run", help="run time, yyyy-MM-dd HH:mm:ss (landing jobs)")
+    parser.add_argument("--run", help="landing jobs: time of the run, yyyy-MM-dd HH:mm:ss")
+    parser.add_argument("--runs", nargs="+", help="ref jobs: read only these landing runs")
+    parser.add_argument("--since", help="dated facts: only chart days from this one on")
     options = parser.parse_args(arguments)
-    landing_job = options.job.startswith("land_")
-    if landing_job and not options.run:
+    job = JOBS[options.job]
+    accepted = inspect.signature(job).parameters
+    extra = {k: v for k, v in vars(options).items() if k in ("run", "runs", "since") and v}
+    for name in extra:
+        if name not in accepted:
+            parser.error(f"{options.job} takes no --{name}")
+    if "run" in accepted and not options.run:
         parser.error(f"{options.job} needs --run")
     spark = build_session(f"chartlake {options.job}")
     try:
-        extra = {"run": options.run} if landing_job else {}
-        JOBS[options.job](spark, options.root.rstrip("/"), **extra)
+        job(spark, options.root.rstrip("/"), **extra)
     finally:
         spark.stop()
 

@@ -69,19 +69,22 @@ def _land(
     landing.write_landed(landed, f"{root}/raw", run.replace(" ", "T").replace(":", ""))
 
 
-def ref_artists(spark: SparkSession, root: str) -> None:
-    docs = landing.read_landed(spark, f"{root}/raw", "artists", RAW_ARTISTS)
-    refine.load_artists(docs, f"{root}/ref/artists")
+def ref_artists(spark: SparkSession, root: str, runs: Sequence[str] | None = None) -> None:
+    """With ``runs`` only these landing runs are read; the earlier ones must be in ``ref``."""
+    docs = landing.landed_documents(spark, f"{root}/raw", "artists", RAW_ARTISTS, runs)
+    refine.load_artists(docs, f"{root}/ref/artists", run="run")
 
 
-def ref_tracks(spark: SparkSession, root: str) -> None:
-    docs = landing.read_landed(spark, f"{root}/raw", "tracks", RAW_TRACKS)
-    refine.load_tracks(docs, f"{root}/ref/tracks")
+def ref_tracks(spark: SparkSession, root: str, runs: Sequence[str] | None = None) -> None:
+    docs = landing.landed_documents(spark, f"{root}/raw", "tracks", RAW_TRACKS, runs)
+    refine.load_tracks(docs, f"{root}/ref/tracks", run="run")
 
 
-def ref_tracks_features(spark: SparkSession, root: str) -> None:
-    docs = landing.read_landed(spark, f"{root}/raw", "tracks_features", TRACK_FEATURES)
-    refine.load_track_features(docs, f"{root}/ref/tracks_features")
+def ref_tracks_features(
+    spark: SparkSession, root: str, runs: Sequence[str] | None = None
+) -> None:
+    docs = landing.landed_documents(spark, f"{root}/raw", "tracks_features", TRACK_FEATURES, runs)
+    refine.load_track_features(docs, f"{root}/ref/tracks_features", run="run")
 
 
 def dim_artist(spark: SparkSession, root: str) -> None:
@@ -92,9 +95,10 @@ def dim_track(spark: SparkSession, root: str) -> None:
     overwrite_parquet(marts.dim_track(_ref(spark, root, "tracks")), f"{root}/exp/dim_track")
 
 
-def f_artist(spark: SparkSession, root: str) -> None:
+def f_artist(spark: SparkSession, root: str, since: str | None = None) -> None:
+    """With ``since`` only chart days from then on are read and compared."""
     marts.load_f_artist(
-        _ref(spark, root, "artists"), _ref(spark, root, "tracks"), f"{root}/exp/f_artist"
+        _ref(spark, root, "artists"), _tracks(spark, root, since), f"{root}/exp/f_artist"
     )
 
 
@@ -103,13 +107,13 @@ def f_genre(spark: SparkSession, root: str) -> None:
     overwrite_parquet(fact, f"{root}/exp/f_genre")
 
 
-def f_ranking(spark: SparkSession, root: str) -> None:
-    marts.load_f_ranking(_ref(spark, root, "tracks"), f"{root}/exp/f_ranking")
+def f_ranking(spark: SparkSession, root: str, since: str | None = None) -> None:
+    marts.load_f_ranking(_tracks(spark, root, since), f"{root}/exp/f_ranking")
 
 
-def f_track_statistics(spark: SparkSession, root: str) -> None:
+def f_track_statistics(spark: SparkSession, root: str, since: str | None = None) -> None:
     marts.load_f_track_statistics(
-        _ref(spark, root, "tracks"),
+        _tracks(spark, root, since),
         _ref(spark, root, "tracks_features"),
         f"{root}/exp/f_track_statistics",
     )
@@ -127,6 +131,11 @@ def _ref(spark: SparkSession, root: str, table: str) -> DataFrame:
     return read_parquet(spark, f"{root}/ref/{table}")
 
 
+def _tracks(spark: SparkSession, root: str, since: str | None) -> DataFrame:
+    tracks = _ref(spark, root, "tracks")
+    return tracks.filter(F.col(DAY) >= F.lit(since).cast("date")) if since else tracks
+
+
 # In the order in which each job finds its inputs ready.
 JOBS: dict[str, Callable[..., None]] = {
     "land_daily": land_daily,

@@ -17,6 +17,7 @@ from chartlake.functions.columns import day_text, natural_key, timestamp_text, u
 from chartlake.operators.aggregates import latest_by_key
 from chartlake.operators.generators import rank_entries
 from chartlake.operators.joins import enrich
+from chartlake.schemas import LANDED_KEYS
 from chartlake.sinks.writers import write_json
 from chartlake.sources.readers import read_json
 
@@ -30,13 +31,6 @@ HISTORY_RANGES = [
     ("2022-09-01", "2022-09-30"),
 ]
 
-# Key columns of each landed kind of document.
-LANDED_KEYS = {
-    "tracks": ["date_ranking", "position"],
-    "tracks_features": ["id"],
-    "artists": ["id"],
-}
-
 
 class Landed(NamedTuple):
     tracks: DataFrame
@@ -141,14 +135,20 @@ def write_landed(landed: Landed, root: str, run: str) -> None:
     write_json(landed.artists, f"{root}/artists/run={run}")
 
 
-def read_landed(
+def landed_documents(
     spark: SparkSession, root: str, kind: str, schema: str, runs: Sequence[str] | None = None
 ) -> DataFrame:
-    """The landed documents; of each key the one of the latest run.
+    """All landed documents with the ``run`` they came from.
 
     With ``runs`` only the folders of these runs are read.
     """
     documents = read_json(spark, f"{root}/{kind}", f"{schema}, run STRING")
-    if runs is not None:
-        documents = documents.filter(F.col("run").isin(*runs))
+    return documents if runs is None else documents.filter(F.col("run").isin(*runs))
+
+
+def read_landed(
+    spark: SparkSession, root: str, kind: str, schema: str, runs: Sequence[str] | None = None
+) -> DataFrame:
+    """The landed documents; of each key the one of the latest run."""
+    documents = landed_documents(spark, root, kind, schema, runs)
     return latest_by_key(documents, LANDED_KEYS[kind], ["run"]).drop("run")

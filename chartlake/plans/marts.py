@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 from chartlake.operators.aggregates import distinct_projection, group_concat, group_count
 from chartlake.operators.joins import broadcast_if_small, inner_renamed
 from chartlake.schemas import DAY, DIM_ARTIST, DIM_TRACK, KEYS, TRACK_STATISTICS
-from chartlake.sinks.incremental import incremental_append
-from chartlake.sources.readers import partition_values
+from chartlake.sinks.incremental import days_in, incremental_append
 
 
 def dim_artist(artists: DataFrame) -> DataFrame:
@@ -85,6 +84,5 @@ def load_f_track_statistics(tracks: DataFrame, features: DataFrame, path: str) -
 
 
 def _load(fact: DataFrame, tracks: DataFrame, path: str, table: str) -> None:
-    incremental_append(
-        fact, path, KEYS[table], partition_by=DAY, days=partition_values(tracks, DAY)
-    )
+    # The days of the fact are those of the tracks, where they are cheap to list.
+    incremental_append(fact, path, KEYS[table], partition_by=DAY, days=days_in(tracks, DAY))

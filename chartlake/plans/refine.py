@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chartlake.functions.columns import parse_day
+from chartlake.operators.aggregates import latest_by_key
 from chartlake.operators.generators import explode_columns
 from chartlake.operators.projections import leaves, prefixed
-from chartlake.schemas import DAY, KEYS, TRACK_FEATURES
+from chartlake.schemas import DAY, KEYS, LANDED_KEYS, TRACK_FEATURES
 from chartlake.sinks.incremental import incremental_append
 from chartlake.sinks.writers import rebalanced
 from chartlake.sources.readers import partition_values
@@ -57,30 +58,64 @@ def _flat_tracks(docs: DataFrame, outer: bool, dedupe: bool) -> DataFrame:
     return rows.distinct() if dedupe else rows
 
 
-def load_artists(docs: DataFrame, path: str, outer: bool = False, dedupe: bool = False) -> None:
-    """Append the artists that ``path`` does not hold yet."""
+def load_artists(
+    docs: DataFrame,
+    path: str,
+    outer: bool = False,
+    dedupe: bool = False,
+    run: str | None = None,
+) -> None:
+    """Append the artists that ``path`` does not hold yet.
+
+    ``run`` names a column that orders the documents of one key; only the last of them
+    is then used. That choice is made among the unseen documents alone.
+    """
     incremental_append(
-        docs, path, KEYS["ref/artists"], finish=lambda new: flat_artists(new, outer, dedupe)
+        docs,
+        path,
+        KEYS["ref/artists"],
+        finish=lambda new: flat_artists(_latest(new, "artists", run), outer, dedupe),
     )
 
 
-def load_tracks(docs: DataFrame, path: str, outer: bool = False, dedupe: bool = False) -> None:
+def load_tracks(
+    docs: DataFrame,
+    path: str,
+    outer: bool = False,
+    dedupe: bool = False,
+    run: str | None = None,
+) -> None:
     """Append the chart entries whose position and day ``path`` does not hold yet.
 
     Seen entries are dropped and the days brought together while an entry is still
-    one document; artists and markets multiply it only in the writing tasks.
+    one document; artists and markets multiply it only in the writing tasks. ``run``
+    is as in ``load_artists``.
     """
+
+    def finish(new: DataFrame) -> DataFrame:
+        return _flat_tracks(rebalanced(_latest(new, "tracks", run), DAY), outer, dedupe)
+
     incremental_append(
         with_day(docs),
         path,
         KEYS["ref/tracks"],
         partition_by=DAY,
         days=partition_values(docs, "date_ranking"),
-        finish=lambda new: _flat_tracks(rebalanced(new, DAY), outer, dedupe),
+        finish=finish,
         rebalance=dedupe,
     )
 
 
-def load_track_features(docs: DataFrame, path: str) -> None:
+def load_track_features(docs: DataFrame, path: str, run: str | None = None) -> None:
     """Append the feature records of tracks that ``path`` does not hold yet."""
-    incremental_append(docs, path, KEYS["ref/tracks_features"], schema=TRACK_FEATURES)
+    incremental_append(
+        docs,
+        path,
+        KEYS["ref/tracks_features"],
+        schema=TRACK_FEATURES,
+        finish=lambda new: _latest(new, "tracks_features", run),
+    )
+
+
+def _latest(docs: DataFrame, kind: str, run: str | None) -> DataFrame:
+    return docs if run is None else latest_by_key(docs, LANDED_KEYS[kind], [run]).drop(run)

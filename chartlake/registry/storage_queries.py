@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartlake.functions.columns import to_json_text
 from chartlake.plans import extras, landing, marts, refine
 from chartlake.registry import views as V
 from chartlake.registry.base import query
@@ -28,7 +27,7 @@ from chartlake.sinks.incremental import incremental_append
 from chartlake.sinks.preview import preview_rows
 from chartlake.sinks.staging import new_path, staged
 from chartlake.sinks.writers import append_parquet, overwrite_parquet, write_json
-from chartlake.sources.readers import partition_values, read_json, read_parquet
+from chartlake.sources.readers import read_json, read_parquet
 
 _ORDER = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"]
 _ORDERS_SQL = f"SELECT {_names(_ORDER)} FROM orders"
@@ -224,7 +223,8 @@ def ref_artists(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = V.artist_docs(spark, sf_dir)
     for run, landed in (("1", docs.filter("popularity < 12")), ("2", docs)):
         write_json(landed, f"{raw}/artists/run={run}")
-        refine.load_artists(landing.read_landed(spark, raw, "artists", RAW_ARTISTS), path)
+        landed_docs = landing.landed_documents(spark, raw, "artists", RAW_ARTISTS)
+        refine.load_artists(landed_docs, path, run="run")
     return read_parquet(spark, path)
 
 
@@ -267,9 +267,8 @@ def ref_tracks_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = V.feature_docs(spark, sf_dir)
     for run, landed in (("1", docs.filter("mode = 1")), ("2", docs)):
         write_json(landed, f"{raw}/tracks_features/run={run}")
-        refine.load_track_features(
-            landing.read_landed(spark, raw, "tracks_features", TRACK_FEATURES), path
-        )
+        landed_docs = landing.landed_documents(spark, raw, "tracks_features", TRACK_FEATURES)
+        refine.load_track_features(landed_docs, path, run="run")
     return read_parquet(spark, path, TRACK_FEATURES)
 
 

@@ -75,4 +75,10 @@ KEYS = {
     "exp/f_ranking": ["position", "ranking_date"],
     "exp/f_track_statistics": ["position", "ranking_date"],
 }
+# Keys under which landed documents replace each other.
+LANDED_KEYS = {
+    "tracks": ["date_ranking", "position"],
+    "tracks_features": ["id"],
+    "artists": ["id"],
+}
 EXPORTS = ["dim_artist", "dim_track", "f_artist", "f_genre", "f_ranking", "f_track_statistics"]

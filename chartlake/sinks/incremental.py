@@ -16,7 +16,7 @@ from chartlake.operators.joins import unseen
 from chartlake.sinks.writers import append_parquet, overwrite_parquet
 from chartlake.sources.readers import read_parquet_if_exists
 
-# More days than this are pruned by their range instead of one by one.
+# Ten years. With more days than this in a batch the target is not pruned.
 MAX_LISTED_DAYS = 3660
 
 
@@ -37,8 +37,9 @@ def incremental_append(
     within the batch all stay. Only the key columns of the target are read.
 
     ``days`` names the partition values the batch can contain, if the caller knows
-    them cheaply (see ``partition_values``); the other partitions of the target are
-    then not read. Too many names cost reading, a missing one repeats rows.
+    them cheaply (see ``days_in`` and ``partition_values``); the other partitions of
+    the target are then not read. Too many names cost reading, a missing one repeats
+    rows.
 
     ``finish`` is applied to the unseen rows before they are written. Work that
     multiplies rows and keeps the key columns belongs there, because then it is done
@@ -46,7 +47,7 @@ def incremental_append(
     """
     target = read_parquet_if_exists(batch.sparkSession, path, schema)
     if target is not None:
-        if partition_by and days:
+        if partition_by and days and len(days) <= MAX_LISTED_DAYS:
             target = target.filter(_in_days(partition_by, days, null_safe))
         batch = unseen(batch, target, keys, null_safe)
     rows = finish(batch) if finish else batch
@@ -56,6 +57,16 @@ def incremental_append(
         append_parquet(rows, path, partition_by, rebalance)
 
 
+def days_in(df: DataFrame, column: str) -> list[str | None] | None:
+    """The days of a table that is partitioned by, or stores, ``column``.
+
+    Reads that column only, and returns ``None`` beyond ``MAX_LISTED_DAYS``.
+    """
+    listed = df.select(F.col(column).cast("string")).distinct().limit(MAX_LISTED_DAYS + 1)
+    days = [row[0] for row in listed.collect()]
+    return days if len(days) <= MAX_LISTED_DAYS else None
+
+
 def _in_days(column: str, days: Sequence[str | None], null_safe: bool):
     """A filter on the partition column that keeps every one of ``days``.
 
@@ -63,12 +74,7 @@ def _in_days(column: str, days: Sequence[str | None], null_safe: bool):
     """
     known = sorted({d for d in map(_day, days) if d is not None})
     day = F.col(column)
-    if not known:
-        wanted = F.lit(False)
-    elif len(known) <= MAX_LISTED_DAYS:
-        wanted = day.isin(known)
-    else:
-        wanted = day.between(known[0], known[-1])
+    wanted = day.isin(known) if known else F.lit(False)
     return wanted | day.isNull() if null_safe else wanted
 
 

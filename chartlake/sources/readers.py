@@ -69,7 +69,8 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def partition_values(df: DataFrame, column: str) -> list[str | None] | None:
     """Values of a partition column, read off the file listing without any scan.
 
-    ``None`` if the files are not laid out by that column.
+    Meant for text formats, where even a query for the partition column alone reads
+    the files. ``None`` if the files are not laid out by that column.
     """
     pattern = re.compile(rf"/{re.escape(column)}=([^/]*)/")
     found = {m.group(1) for m in map(pattern.search, df.inputFiles()) if m}

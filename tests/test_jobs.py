@@ -71,9 +71,17 @@ def test_daily_lake(spark, root, tmp_path):
     before = {n: spark.table(f"tracks.{n}").count() for n in ("f_ranking", "f_artist")}
     write_one_per_file(tmp_path / "snapshots" / "daily", [daily("t3")])
     jobs.land_daily(spark, root, "2022-04-02 00:00:01")
+    later = {
+        "ref_artists": {"runs": ["2022-04-02T000001"]},
+        "ref_tracks": {"runs": ["2022-04-02T000001"]},
+        "ref_tracks_features": {"runs": ["2022-04-02T000001"]},
+        "f_artist": {"since": "2022-04-02"},
+        "f_ranking": {"since": "2022-04-02"},
+        "f_track_statistics": {"since": "2022-04-02"},
+    }
     for name in list(jobs.JOBS)[2:]:
         if name != "csv_to_parquet":
-            jobs.JOBS[name](spark, root)
+            jobs.JOBS[name](spark, root, **later.get(name, {}))
     assert spark.table("tracks.f_ranking").count() == before["f_ranking"] + 1
     assert spark.table("tracks.f_artist").count() == before["f_artist"] + 2
 
@@ -90,6 +98,16 @@ def test_a_later_run_replaces_the_document_of_a_key(spark, root, tmp_path):
     assert rows(first, "position", "id") == [(1, "t2"), (2, "t1"), (4, "t1")]
 
 
+def test_refine_uses_the_latest_document_of_a_key(spark, root, tmp_path):
+    jobs.land_daily(spark, root, "2022-04-01 10:00:00")
+    write_one_per_file(tmp_path / "snapshots" / "daily", [daily("t3")])
+    jobs.land_daily(spark, root, "2022-04-01 11:00:00")
+    jobs.ref_tracks(spark, root)
+    table = read_parquet(spark, f"{root}/ref/tracks")
+    assert rows(table.distinct(), "position", "id") == [(1, "t3"), (2, "t1"), (4, "t1")]
+    assert "run" not in table.columns
+
+
 def test_history(spark, root, tmp_path):
     folder = tmp_path / "snapshots" / "history"
     for day, snapshot in {
@@ -138,8 +156,12 @@ def test_command_line(monkeypatch, spark, root, tmp_path):
     cli.main(["csv_to_parquet", "--root", root + "/"])
     assert rows(read_parquet(spark, f"{root}/processing")) == [(1, "x")]
     cli.main(["land_daily", "--root", root, "--run", "2022-04-01 00:00:00"])
-    with pytest.raises(SystemExit):
-        cli.main(["land_daily", "--root", root])
+    cli.main(["ref_tracks", "--root", root, "--runs", "2022-04-01T000000"])
+    cli.main(["f_ranking", "--root", root, "--since", "2022-04-01"])
+    assert read_parquet(spark, f"{root}/exp/f_ranking").count() == 3
+    for wrong in (["land_daily"], ["f_ranking", "--runs", "x"], ["dim_track", "--since", "x"]):
+        with pytest.raises(SystemExit):
+            cli.main([*wrong, "--root", root])
 
 
 def test_stream_of_new_files(spark, tmp_path):

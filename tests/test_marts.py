@@ -159,12 +159,14 @@ def test_load_reads_only_the_days_of_the_batch(spark, tracks, tmp_path):
     assert {r[0] for r in with_null.select("ranking_date").collect()} == {D1, None}
 
 
-def test_days_beyond_the_list_are_pruned_by_range(spark, tracks, monkeypatch):
+def test_days_of_a_table(tracks, monkeypatch):
     from chartlake.sinks import incremental
 
-    monkeypatch.setattr(incremental, "MAX_LISTED_DAYS", 1)
-    kept = tracks.filter(incremental._in_days("ranking_date", ["2022-04-01", "2022-04-02"], False))
-    assert {r[0] for r in kept.select("ranking_date").collect()} == {D1, D2}
+    assert set(incremental.days_in(tracks, "ranking_date")) == {None, "2022-04-01", "2022-04-02"}
+    later = tracks.filter(F.col("ranking_date") >= F.lit("2022-04-02").cast("date"))
+    assert incremental.days_in(later, "ranking_date") == ["2022-04-02"]
+    monkeypatch.setattr(incremental, "MAX_LISTED_DAYS", 2)
+    assert incremental.days_in(tracks, "ranking_date") is None
 
 
 def test_batches_in_any_split_give_the_same_table(spark, tmp_path):
