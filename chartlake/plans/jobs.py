@@ -7,7 +7,8 @@ Layout under the root::
     raw/{tracks,tracks_features,artists}/run=…   landed documents (JSON)
     ref/{tracks,tracks_features,artists}   flat tables (Parquet)
     exp/{dim_artist,…}   dimensions and facts (Parquet)
-    landing-zone/*.csv, processing/   the CSV job
+    landing-zone/*.csv, processing/csv   the CSV job
+    orders/*.json, processing/order_totals   the order total job
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from chartlake.schemas import (
     TRACK_FEATURES,
 )
 from chartlake.sinks.catalog import register_exports as _register
+from chartlake.sinks.preview import print_preview
 from chartlake.sinks.staging import staged
 from chartlake.sinks.writers import overwrite_parquet
 from chartlake.sources.readers import read_json, read_parquet
@@ -120,7 +122,14 @@ def f_track_statistics(spark: SparkSession, root: str, since: str | None = None)
 
 
 def csv_to_parquet(spark: SparkSession, root: str) -> None:
-    extras.csv_to_parquet(spark, f"{root}/landing-zone", f"{root}/processing")
+    extras.csv_to_parquet(spark, f"{root}/landing-zone", f"{root}/processing/csv")
+
+
+def order_total(spark: SparkSession, root: str) -> None:
+    """Each line of the files in ``orders`` is a JSON object of order values."""
+    totals = extras.order_totals(spark.read.text(f"{root}/orders"), "value")
+    overwrite_parquet(totals, f"{root}/processing/order_totals")
+    print_preview(read_parquet(spark, f"{root}/processing/order_totals"))
 
 
 def register_exports(spark: SparkSession, root: str) -> None:
@@ -150,5 +159,6 @@ JOBS: dict[str, Callable[..., None]] = {
     "f_ranking": f_ranking,
     "f_track_statistics": f_track_statistics,
     "csv_to_parquet": csv_to_parquet,
+    "order_total": order_total,
     "register_exports": register_exports,
 }

@@ -19,6 +19,7 @@ LOOKUP_TRACKS = [
     track("t2", None, None, artists=("a1", "a2")),
     track("t3", None, None, artists=("a3",)),
 ]
+OTHER_INPUT = ("csv_to_parquet", "order_total")
 LOOKUP_ARTISTS = [artist(a, 5, ["pop"]) for a in ("a1", "a2", "a3", "a4")]
 
 
@@ -54,7 +55,7 @@ def test_daily_lake(spark, root, tmp_path):
     assert rows(read_json(spark, f"{root}/raw/artists", RAW_ARTISTS), "id") == [("a1",), ("a2",)]
 
     for name in list(jobs.JOBS)[2:]:
-        if name != "csv_to_parquet":
+        if name not in OTHER_INPUT:
             jobs.JOBS[name](spark, root)
     day = date(2022, 4, 1)
     assert rows(spark.table("tracks.f_ranking"), "ranking_date", "position", "id", "artist") == [
@@ -80,7 +81,7 @@ def test_daily_lake(spark, root, tmp_path):
         "f_track_statistics": {"since": "2022-04-02"},
     }
     for name in list(jobs.JOBS)[2:]:
-        if name != "csv_to_parquet":
+        if name not in OTHER_INPUT:
             jobs.JOBS[name](spark, root, **later.get(name, {}))
     assert spark.table("tracks.f_ranking").count() == before["f_ranking"] + 1
     assert spark.table("tracks.f_artist").count() == before["f_artist"] + 2
@@ -154,7 +155,14 @@ def test_command_line(monkeypatch, spark, root, tmp_path):
     (tmp_path / "landing-zone").mkdir()
     (tmp_path / "landing-zone" / "in.csv").write_text("a,b\n1,x\n")
     cli.main(["csv_to_parquet", "--root", root + "/"])
-    assert rows(read_parquet(spark, f"{root}/processing")) == [(1, "x")]
+    assert rows(read_parquet(spark, f"{root}/processing/csv")) == [(1, "x")]
+    (tmp_path / "orders").mkdir()
+    (tmp_path / "orders" / "day.json").write_text(
+        '{"1001": 301.27, "1002": 433.21, "1003": 502.22}\n'
+    )
+    cli.main(["order_total", "--root", root])
+    totals = read_parquet(spark, f"{root}/processing/order_totals")
+    assert totals.first()["total_text"] == "1236.70"
     cli.main(["land_daily", "--root", root, "--run", "2022-04-01 00:00:00"])
     cli.main(["ref_tracks", "--root", root, "--runs", "2022-04-01T000000"])
     cli.main(["f_ranking", "--root", root, "--since", "2022-04-01"])
