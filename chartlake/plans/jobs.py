@@ -62,7 +62,7 @@ def _land(
     spark: SparkSession, root: str, run: str, entries: DataFrame, order: Sequence[str]
 ) -> None:
     landed = landing.land_entries(
-        staged(entries, "entries"),
+        staged(entries, "entries", balance=True),
         read_parquet(spark, f"{root}/lookup/tracks"),
         read_parquet(spark, f"{root}/lookup/tracks_features"),
         read_parquet(spark, f"{root}/lookup/artists"),

@@ -281,7 +281,7 @@ def _land(
     """Land, read back, and list what lies under which key."""
     root = new_path(spark, "raw")
     landed = landing.land_entries(
-        staged(entries, "entries"),
+        staged(entries, "entries", balance=True),
         V.lookup_tracks(spark, sf_dir),
         V.lookup_features(spark, sf_dir),
         V.lookup_artists(spark, sf_dir),

@@ -33,7 +33,13 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, balance: bool = False) -> DataFrame:
+    """Write ``df`` once and read it back.
+
+    ``balance`` evens the files out first. That is worth its shuffle for narrow rows
+    exploded from lists, where one long list would leave one task with most of the
+    rows in every later read.
+    """
     path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
+    (df.hint("rebalance") if balance else df).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
