@@ -2,8 +2,8 @@
 
 A file stream remembers in its checkpoint which landed files it has read, so each
 run parses only the new ones; the load itself is the same as in a batch run and
-still skips keys the table holds. A batch repeated after a failure therefore adds
-nothing twice.
+still skips keys the table holds. A batch repeated after a failure therefore adds no
+key twice; only rows with a null key, which never match, would be repeated.
 """
 
 from __future__ import annotations
