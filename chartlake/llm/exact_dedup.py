@@ -17,6 +17,7 @@ from pyspark.sql.window import Window
 from chartlake.llm.shared import SPACE, chosen, staged
 
 CAPACITY = 20_000
+SALTS = 64
 
 
 def normalised(text: Column) -> Column:
@@ -88,45 +89,46 @@ def exact_dedup(
         normalised(F.col("text")).alias("norm"),
     ).withColumns({"key": F.xxhash64("norm"), "sha": F.unhex(F.sha2("norm", 256))})
 
-    # The index: narrow entries. Equal rows are counted, not repeated.
     entries = staged(
         bare.groupBy("doc_id", "points", "key", "sha").agg(F.count("*").alias("copies")), "entries"
     )
-    keys = staged(entries.groupBy("key").agg(F.sum("copies").alias("n")), "keys")
+    first = F.struct(
+        (-F.col("points")).alias("points"), F.col("doc_id").isNull().alias("none"), "doc_id"
+    )
+    # A hot group shrinks to a row per salt before it meets its owner.
+    salted = entries.groupBy("key", "sha", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).alias("salt")).agg(
+        F.sum("copies").alias("n"), F.min(first).alias("first")
+    )
+    keys = staged(salted.groupBy("key").agg(F.sum("n").alias("n")), "keys")
     slots, depth = directory(keys.select("key"), capacity)
+    index = staged(
+        salted.withColumn("slot", address(F.col("key"), depth)).join(slots, "slot").drop("slot"),
+        "index",
+    )
 
     # Bytes are compared only where a hash has several rows. Grouping by the text itself
     # collapses copies within each task before the shuffle.
     repeated = keys.filter("n > 1").select("key")
-    chains = (
+    compared = (
         bare.select("key", "sha", "norm")
         .join(repeated, "key", "left_semi")
         .groupBy("key", "sha", "norm")
         .agg(F.count("*").alias("n"))
         .groupBy("key", "sha")
         .agg(F.count("*").alias("texts"))
-        .select(
-            "key",
-            "sha",
-            F.when(F.col("texts") > 1, F.raise_error(F.lit("two texts have one SHA-256")))
-            .otherwise(F.col("texts"))
-            .alias("texts"),
-        )
-    )
-    first = F.struct(
-        (-F.col("points")).alias("points"), F.col("doc_id").isNull().alias("none"), "doc_id"
-    )
-    groups = entries.groupBy("key", "sha").agg(
-        F.sum("copies").alias("group_size"), F.min(first).alias("first")
     )
-    # Owner tasks: each takes a range of buckets with all chains in it, copies collapsed.
+    # Owner tasks: each takes a range of buckets, and the chain of a hash is in one of them.
     along = Window.partitionBy("bucket", "key").orderBy("sha")
+    same = F.when(
+        F.coalesce("texts", F.lit(1)) > 1, F.raise_error(F.lit("two texts have one SHA-256")).cast("boolean")
+    ).otherwise(True)
     owned = (
-        groups.withColumn("slot", address(F.col("key"), depth))
-        .join(slots, "slot")
-        .join(chains, ["key", "sha"], "left")
-        .select("key", "sha", "group_size", "first", "bucket", "depth", "texts")
+        index.repartitionByRange("bucket", "key")
+        .groupBy("bucket", "key", "sha")
+        .agg(F.sum("n").alias("group_size"), F.min("first").alias("first"))
         .withColumn("chain", F.row_number().over(along))
+        .join(compared, ["key", "sha"], "left")
+        .filter(same)
         .drop("texts")
     )
     wins = (
@@ -142,5 +144,7 @@ def exact_dedup(
             "group_size",
             (wins & (F.col("copy") == 1)).alias("kept"),
             F.lower(F.hex("sha")).alias("text_sha256"),
+            "bucket",
+            "chain",
         )
     )

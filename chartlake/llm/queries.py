@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chartlake.llm.exact_dedup import exact_dedup
+from chartlake.llm.ngram_join import ngram_join
 from chartlake.llm.mixing import BLOCK_WORDS, CELL_ROWS, PRIMES, mixed_sizes
 from chartlake.llm.shared import read_table
 from chartlake.llm.sharding import shard_documents
@@ -111,6 +112,48 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+LOWER_SQL = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP8_SQL = f"""
+    WITH RECURSIVE t AS (
+        SELECT row_number() OVER () AS row_no, doc_id,
+               coalesce(regexp_extract_all({LOWER_SQL}, '[^\\x20\\x09-\\x0D]+'), []) AS words
+        FROM documents
+    ), sh AS (
+        SELECT DISTINCT row_no, unnest(
+            CASE WHEN len(words) >= 4
+                 THEN list_transform(range(len(words) - 3), lambda i: array_to_string(words[i+1:i+4], ' '))
+                 WHEN len(words) > 0 THEN [array_to_string(words, ' ')]
+                 ELSE [] END) AS s
+        FROM t
+    ), n AS (
+        SELECT row_no, count(*) AS n FROM sh GROUP BY row_no
+    ), pairs AS (
+        SELECT a.row_no AS a, b.row_no AS b, count(*) AS inter
+        FROM sh a JOIN sh b ON a.s = b.s AND a.row_no < b.row_no GROUP BY ALL
+    ), link AS (
+        SELECT a, b FROM pairs JOIN n x ON x.row_no = a JOIN n y ON y.row_no = b
+        WHERE 100 * inter >= 85 * (x.n + y.n - inter)
+    ), both_ways AS (
+        SELECT a, b FROM link UNION SELECT b, a FROM link UNION SELECT row_no, row_no FROM t
+    ), reach AS (
+        SELECT a, b FROM both_ways
+        UNION
+        SELECT r.a, l.b FROM reach r JOIN both_ways l ON r.b = l.a
+    ), least AS (
+        SELECT a AS row_no, min(doc_id) AS component_id
+        FROM reach JOIN t ON t.row_no = reach.b GROUP BY a
+    )
+    SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id
+    FROM t LEFT JOIN n USING (row_no) JOIN least USING (row_no)
+    """
+
+
+@query("op8_ngram_join", OP8_SQL)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join(read_table(spark, sf_dir, "documents"), words=4, percent=85)
+
+
 @query(
     "op10_exact_dedup",
     """
@@ -130,4 +173,6 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup(read_table(spark, sf_dir, "documents"))
+    return exact_dedup(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "keep_id", "group_size", "kept", "text_sha256"
+    )
