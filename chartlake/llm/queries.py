@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chartlake.llm.exact_dedup import exact_dedup
+from chartlake.llm.decontamination import decontaminate
 from chartlake.llm.ngram_join import ngram_join
 from chartlake.llm.mixing import BLOCK_WORDS, CELL_ROWS, PRIMES, mixed_sizes
 from chartlake.llm.shared import read_table
@@ -114,6 +115,51 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LOWER_SQL = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+OP7_SQL = f"""
+    WITH t AS (
+        SELECT row_number() OVER () AS row_no, doc_id,
+               coalesce(regexp_extract_all({LOWER_SQL}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), []) AS words
+        FROM documents
+    ), b AS (
+        SELECT item_id, coalesce(regexp_extract_all({LOWER_SQL}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), []) AS words
+        FROM benchmark
+    ), win AS (
+        SELECT DISTINCT item_id, least(len(words), 10) AS n, unnest(list_transform(
+            range(greatest(len(words) - 9, 1)), lambda i: array_to_string(words[i+1:i+10], ' '))) AS w
+        FROM b WHERE len(words) > 0
+    ), grams AS (
+        SELECT row_no, n, unnest(range(len(words) - n + 1)) AS start,
+               unnest(list_transform(range(len(words) - n + 1),
+                   lambda i: array_to_string(words[i+1:i+n], ' '))) AS w
+        FROM t, (SELECT DISTINCT n FROM win) WHERE len(words) >= n
+    ), hit AS (
+        SELECT row_no, start, grams.n, item_id FROM grams JOIN win USING (w, n)
+    ), words_hit AS (
+        SELECT row_no, count(DISTINCT slot) AS n_hit
+        FROM (SELECT row_no, unnest(range(start, start + n)) AS slot FROM hit) GROUP BY row_no
+    ), items AS (
+        SELECT row_no, count(*) AS n_items,
+               sha256(string_agg(item_id, ',' ORDER BY item_id)) AS items_sha256
+        FROM (SELECT DISTINCT row_no, item_id::VARCHAR AS item_id FROM hit) GROUP BY row_no
+    )
+    SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+           coalesce(n_items, 0)::BIGINT AS n_items,
+           coalesce(items_sha256, sha256('')) AS items_sha256,
+           coalesce(n_hit, 0) > 0 AS contaminated
+    FROM t LEFT JOIN words_hit USING (row_no) LEFT JOIN items USING (row_no)
+    """
+
+
+@query("op7_decontamination", OP7_SQL)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate(
+        read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), window=10
+    ).select(
+        "doc_id", "n_words", "n_hit", "n_items",
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated",
+    )
+
+
 OP8_SQL = f"""
     WITH RECURSIVE t AS (
         SELECT row_number() OVER () AS row_no, doc_id,
