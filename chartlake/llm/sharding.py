@@ -66,23 +66,25 @@ def cut_keys(groups: DataFrame, shards: int) -> tuple[list[int], int]:
     elsewhere hold no cut, so the search is exact.
     """
 
-    def blocks(bits: int, ranges: list[tuple[int, int]] | None) -> list[tuple]:
-        inside = F.lit(True)
-        if ranges is not None:
-            inside = F.lit(False)
-            for low, high in ranges:
-                inside = inside | F.col("key").between(low, high)
+    def blocks(bits: int, inside: DataFrame) -> list[tuple]:
         block = F.expr(f"shiftright(key, {KEY_BITS - bits})")
-        found = groups.filter(inside).groupBy(block.alias("block")).agg(
+        found = inside.groupBy(block.alias("block")).agg(
             F.sum("bytes"), F.max("bytes"), F.min("key"), F.max("key")
         )
-        return [
-            # first key of the block, bytes, largest group, whether it is a single group
-            (r[3], r[1], r[2], r[3] == r[4], r[0] << (KEY_BITS - bits), bits)
-            for r in found.collect()
-        ]
+        # first key of the block, bytes, largest group, whether it is a single group
+        return [(r[3], r[1], r[2], r[3] == r[4], r[0], bits) for r in found.collect()]
+
+    def refined(own: list[tuple], bits: int) -> list[tuple]:
+        step = 1
+        while bits + step < KEY_BITS and len(own) << (step + 1) <= ROUND_BLOCKS:
+            step += 1
+        wanted = groups.sparkSession.createDataFrame([(x[4],) for x in own], "wanted long")
+        inside = groups.join(
+            F.broadcast(wanted), F.expr(f"shiftright(key, {KEY_BITS - bits}) = wanted"), "left_semi"
+        )
+        return blocks(bits + step, inside)
 
-    items = sorted(blocks(FIRST_BITS, None))
+    items = sorted(blocks(FIRST_BITS, groups))
     if not items:
         return [], 0
     total, largest = sum(x[1] for x in items), max(x[2] for x in items)
@@ -90,11 +92,14 @@ def cut_keys(groups: DataFrame, shards: int) -> tuple[list[int], int]:
         ends = list(accumulate(x[1] for x in items))
         low = max(largest, -(-total // shards))
         high = smallest_capacity(ends, shards, low)
-        coarse, earliest = set(), 0
+        coarse, earliest, latest = set(), 0, 0
         for j in range(1, shards):
             at = bisect_right(ends, earliest + low)
             earliest = ends[at - 1] if at else 0
-            latest = min(total, j * high)
+            latest = min(total, latest + high)
+            inside = bisect_right(ends, latest)
+            if inside < len(items) and items[inside][3]:  # no cut falls inside a single group
+                latest = ends[inside - 1] if inside else 0
             for i in range(at, min(len(items), bisect_right(ends, latest) + 1)):
                 if not items[i][3]:
                     coarse.add(i)
@@ -103,18 +108,7 @@ def cut_keys(groups: DataFrame, shards: int) -> tuple[list[int], int]:
         open_items = [items[i] for i in sorted(coarse)]
         finer: list[tuple] = []
         for bits in sorted({x[5] for x in open_items}):
-            own = [x for x in open_items if x[5] == bits]
-            step = 1
-            while bits + step < KEY_BITS and len(own) << (step + 1) <= ROUND_BLOCKS:
-                step += 1
-            ranges: list[tuple[int, int]] = []
-            for x in own:
-                first, last = x[4], x[4] + (1 << (KEY_BITS - bits)) - 1
-                if ranges and ranges[-1][1] + 1 == first:
-                    ranges[-1] = (ranges[-1][0], last)
-                else:
-                    ranges.append((first, last))
-            finer += blocks(bits + step, ranges)
+            finer += refined([x for x in open_items if x[5] == bits], bits)
         items = sorted([x for i, x in enumerate(items) if i not in coarse] + finer)
     return [items[i][0] for i in greedy(ends, shards, high)[:-1]], high
 
