@@ -11,6 +11,7 @@ from chartlake.llm.exact_dedup import exact_dedup
 from chartlake.llm.decontamination import decontaminate
 from chartlake.llm.ngram_join import ngram_join
 from chartlake.llm.mixing import BLOCK_WORDS, CELL_ROWS, PRIMES, mixed_sizes
+from chartlake.llm.quality import classify
 from chartlake.llm.shared import read_table
 from chartlake.llm.sharding import shard_documents
 
@@ -200,6 +201,11 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join(read_table(spark, sf_dir, "documents"), words=4, percent=85)
 
 
+@query("op9_quality")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 @query(
     "op10_exact_dedup",
     """
