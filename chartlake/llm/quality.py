@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chartlake.llm.shared import chosen, staged
 
@@ -223,3 +224,19 @@ def classify(
             (F.col("_score") >= 0.5).cast("int").alias("predicted"),
         )
     )
+
+
+def reject_poor(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+    label_col: str = "quality", sample: int = SAMPLE, neighbours: int = NEIGHBOURS,
+) -> DataFrame:
+    """The rows of ``docs``, with their columns, that score 0.5 or more; see :func:`classify`."""
+    voters = fit(
+        chosen(docs, doc_id=id_col, text=text_col), chosen(labels, doc_id=id_col, label=label_col), sample
+    )
+    known = docs.sparkSession.sparkContext.broadcast(voters)
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    text = F.col(f"c{docs.columns.index(text_col)}").alias("_text")
+    schema = T.StructType([*plain.schema.fields, T.StructField("_score", T.DoubleType())])
+    scored = plain.select(text, *plain.columns).mapInArrow(scorer(known, neighbours), schema)
+    return scored.filter("_score >= 0.5").drop("_score").toDF(*docs.columns)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from chartlake.llm.exact_dedup import exact_dedup
 from chartlake.llm.decontamination import decontaminate
+from chartlake.llm.html import extract
 from chartlake.llm.ngram_join import ngram_join
 from chartlake.llm.mixing import BLOCK_WORDS, CELL_ROWS, PRIMES, mixed_sizes
 from chartlake.llm.quality import classify
@@ -116,6 +117,11 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LOWER_SQL = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+@query("op3_html_extraction")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(read_table(spark, sf_dir, "pages"))
+
+
 OP7_SQL = f"""
     WITH t AS (
         SELECT row_number() OVER () AS row_no, doc_id,

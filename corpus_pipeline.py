@@ -11,34 +11,67 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chartlake.llm.decontamination import decontaminate
 from chartlake.llm.mixing import mixed_sizes
+from chartlake.llm.ngram_join import ngram_join
+from chartlake.llm.quality import reject_poor
 from chartlake.llm.shared import read_table, staged
 from chartlake.llm.sharding import shard_documents
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier accepts."""
+    return reject_poor(docs, read_table(spark, sf_dir, "labels"))
+
+
+def drop_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each component of similar texts.
+
+    Similar: five-word shingles, Jaccard similarity of 0.8 or more. Rows without an id stay.
+    """
+    found = ngram_join(docs, words=5, percent=80)
+    dropped = staged(found.filter("component_id <> doc_id").select("doc_id").distinct(), "dropped")
+    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no window of any benchmark item. Rows without an id stay."""
+    found = decontaminate(docs, read_table(spark, sf_dir, "benchmark"))
+    hit = staged(found.filter("contaminated").select("doc_id").distinct(), "contaminated")
+    return docs.join(hit, "doc_id", "left_anti").select(*docs.columns)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes its words: 0, 1 or 2 times.
 
-    The fraction left over is rounded up for a share of documents that the id decides.
+    The fraction left over is rounded up for a share of documents that the id decides, so
+    the words of a source come near its target. Rows without an id stay once.
     """
     part = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / (1 << 20)
-    times = mixed_sizes(docs).select(
-        "doc_id", F.floor(F.col("taken") / F.greatest("size", F.lit(1)) + part).alias("_times")
+    times = (
+        mixed_sizes(docs)
+        .withColumn("_times", F.floor(F.col("taken") / F.greatest("size", F.lit(1)) + part))
+        .groupBy("doc_id").agg(F.max("_times").alias("_times"))
     )
     return (
-        docs.join(times.filter("_times > 0"), "doc_id")
+        docs.join(staged(times, "times"), "doc_id", "left")
+        .withColumn("_times", F.coalesce("_times", F.lit(1).cast("long")))
+        .filter("_times > 0")
         .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times"))))
         .select(*docs.columns)
     )
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return shard_documents(docs)
+    return shard_documents(docs, shards=16)
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("quality", keep_good),
+    ("near_duplicates", drop_similar),
+    ("decontamination", drop_contaminated),
     ("mixing", mix_sources),
     ("sharding", shard),
 ]
