@@ -1,8 +1,8 @@
 """Similarity join of documents on word n-grams by rare-first prefix filtering.
 
-1. Each segment of documents sends the hashes of its distinct shingles, packed, to hash
-   buckets. A bucket counts documents per shingle and sends back only the shared ones,
-   as tokens that sort rare-first. An unshared shingle cannot match, but it counts.
+1. The document frequency of every shingle is counted over all documents and brought back
+   (see :mod:`chartlake.llm.counting`). Shared shingles become tokens that sort rare-first;
+   an unshared one cannot match, but it counts.
 2. A document whose prefix holds unshared shingles only has no partner and is done. The
    others become sets of tokens, one for each distinct word sequence.
 3. Sets with an equal minimum hash are compared with a few leaders of their group, which
@@ -20,43 +20,30 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chartlake.llm.components import components
+from chartlake.llm.counting import text_chars, with_counts
 from chartlake.llm.packing import (
     binary_column,
     flat,
     mixed,
-    pack_sorted,
-    segments,
     shingle_hashes,
     space_words,
-    unpack_sorted,
     word_hashes,
 )
 from chartlake.llm.shared import chosen, staged
 
 WORDS = 4
 PERCENT = 85
-# Text length for which a bucket is planned, and the fewest buckets.
-BUCKET_CHARS = 4_000_000
-LEAST_BUCKETS = 256
 # Leaders a document is compared with in one group; only how early links are found depends on it.
 LEADERS = 16
 SUFFIX_CELLS = 32
 
-SENT = "segment long, bucket long, docs binary, data binary, ids array<long>, places array<int>, names array<binary>, sizes array<int>"
 KEPT = "is_set boolean, doc_id long, name binary, size int, tokens binary, unshared int"
 
 
-def bucket_bits(docs: DataFrame) -> int:
-    """Bits of the bucket number, from the amount of text."""
-    chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
-    return max(LEAST_BUCKETS.bit_length() - 1, int(np.ceil(np.log2(max(1, chars / BUCKET_CHARS)))))
-
-
 def least_overlap(size: int, other: int, percent: int) -> int:
     """The smallest intersection with which two sets of these sizes are similar."""
     return -(-percent * (size + other) // (100 + percent))
@@ -67,13 +54,10 @@ def prefix_length(size, percent: int):
     return size - (percent * size + 99) // 100 + 1
 
 
-def send_shingles(batches: Iterator[pa.RecordBatch], k: int, bits: int) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([
-        ("segment", pa.int64()), ("bucket", pa.int64()), ("docs", pa.binary()), ("data", pa.binary()),
-        ("ids", pa.list_(pa.int64())), ("places", pa.list_(pa.int32())),
-        ("names", pa.list_(pa.binary())), ("sizes", pa.list_(pa.int32())),
-    ])
-    for number, ids, words in segments(batches, space_words):
+def shingle_frequencies(k: int):
+    """Digest of a segment: its shingles and how many different word sequences have each."""
+
+    def digest(words: list[list[bytes]]) -> dict:
         places, names, seen, kept = [], [], {}, []
         for own in words:
             name = hashlib.blake2b(b" ".join(own), digest_size=16).digest()
@@ -83,106 +67,60 @@ def send_shingles(batches: Iterator[pa.RecordBatch], k: int, bits: int) -> Itera
                 names.append(name)
             places.append(place)
         encoded, lengths = flat(kept)
-        hashes, owner = shingle_hashes(word_hashes(encoded), lengths, k) if len(encoded) else (
-            np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        hashes, owner = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        if len(encoded):
+            hashes, owner = shingle_hashes(word_hashes(encoded), lengths, k)
         order = np.argsort(hashes, kind="stable")
         hashes, owner = hashes[order], owner[order]
         new = np.ones(len(hashes), bool)
         new[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
         hashes, owner = hashes[new], owner[new]
-        sizes = np.bincount(owner, minlength=len(kept)).astype(np.int32)
-        buckets = (hashes >> np.uint64(64 - bits)).astype(np.int64)
-        first = np.flatnonzero(np.diff(buckets, prepend=-1))
-        ends = np.append(first[1:], len(hashes))
-        rows = [
-            (number, int(buckets[a]), owner[a:b].astype("<u2").view(np.uint8).reshape(-1, 2).T.tobytes(),
-             pack_sorted(hashes[a:b]), None, None, None, None)
-            for a, b in zip(first, ends)
-        ]
-        # The list of the segment's documents goes along with the buckets.
-        rows.append((number, -1 - number % 997, None, None, ids, places, names, sizes.tolist()))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(c), f.type) for c, f in zip(zip(*rows), schema)], schema=schema
-        )
+        return {0: (places, names, hashes, owner), 1: np.unique(hashes, return_counts=True)}
 
+    return digest
 
-def count_shingles(table: pa.Table) -> pa.Table:
-    """Of one bucket: the shared shingles of each segment, as rare-first tokens."""
-    if table.column("bucket")[0].as_py() < 0:
-        return table
-    numbers = table.column("segment").to_pylist()
-    data = [unpack_sorted(x) for x in table.column("data").to_pylist()]
-    docs = [
-        np.frombuffer(x, np.uint8).reshape(2, -1).T.copy().view("<u2").ravel()
-        for x in table.column("docs").to_pylist()
-    ]
-    counts = [len(x) for x in data]
-    hashes = np.concatenate(data)
-    order = np.argsort(hashes, kind="stable")
-    ordered = hashes[order]
-    start = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
-    frequency = np.diff(np.append(start, len(ordered)))
-    each = np.empty(len(ordered), np.int64)
-    each[order] = np.repeat(frequency, frequency)
-    shared = each > 1
-    tokens = (np.minimum(each, 255).astype(np.uint64) << np.uint64(56)) | (
-        hashes & np.uint64((1 << 56) - 1)
-    )
-    rows = []
-    ends = np.cumsum(counts)
-    for i, number in enumerate(numbers):
-        a, b = ends[i] - counts[i], ends[i]
-        keep = shared[a:b]
-        if keep.any():
-            rows.append((number, 0, docs[i][keep].astype("<u2").tobytes(),
-                         tokens[a:b][keep].astype("<u8").tobytes(), None, None, None, None))
-    columns = list(zip(*rows)) if rows else [()] * len(table.schema)
-    return pa.Table.from_arrays(
-        [pa.array(list(c), f.type) for c, f in zip(columns, table.schema)], schema=table.schema
-    )
 
+def make_sets(ids: list, keys: dict, totals: dict, percent: int) -> pa.Table:
+    """Of one segment: its documents, and the token sets that can have partners.
 
-def make_sets(table: pa.Table, percent: int) -> pa.Table:
-    """Of one segment: its documents, and the token sets that can have partners."""
+    A token is a shared shingle, with its frequency in front so that tokens sort
+    rare-first. Frequencies above 255 count as 255 there; any common order will do.
+    """
     schema = pa.schema([
         ("is_set", pa.bool_()), ("doc_id", pa.int64()), ("name", pa.binary()), ("size", pa.int32()),
         ("tokens", pa.binary()), ("unshared", pa.int32()),
     ])
-    blobs = table.filter(pc.is_valid(table.column("data")))
-    lists = table.filter(pc.is_null(table.column("data"))).to_pylist()[0]
-    places = np.array(lists["places"], np.int64)
-    sizes = np.array(lists["sizes"], np.int64)
-    names = np.array(lists["names"], object)
-    listed = pa.Table.from_arrays(
+    places, names, hashes, owner = keys[0]
+    names, places = np.array(names, object), np.array(places, np.int64)
+    sizes = np.bincount(owner, minlength=len(names))
+    docs = pa.Table.from_arrays(
         [
-            pa.array(np.zeros(len(places), bool)), pa.array(lists["ids"], pa.int64()),
+            pa.array(np.zeros(len(places), bool)), pa.array(ids, pa.int64()),
             pa.array(names[places], pa.binary()), pa.array(sizes[places].astype(np.int32)),
             pa.nulls(len(places), pa.binary()), pa.nulls(len(places), pa.int32()),
         ],
         schema=schema,
     )
-    if not len(blobs):
-        return listed
-    owner = np.concatenate([np.frombuffer(x, "<u2") for x in blobs.column("docs").to_pylist()]).astype(np.int64)
-    tokens = np.concatenate([np.frombuffer(x, "<u8") for x in blobs.column("data").to_pylist()])
+    frequency = totals[1][np.searchsorted(keys[1][0], hashes)]
+    shared = frequency > 1
+    tokens = (np.minimum(frequency, np.uint64(255)) << np.uint64(56)) | (hashes & np.uint64((1 << 56) - 1))
+    owner, tokens = owner[shared], tokens[shared]
     counts = np.bincount(owner, minlength=len(sizes))
     unshared = sizes - counts
     able = (counts > 0) & (unshared < prefix_length(sizes, percent))
-    keep = able[owner]
-    owner, tokens = owner[keep], tokens[keep]
+    owner, tokens = owner[able[owner]], tokens[able[owner]]
     order = np.argsort(tokens, kind="stable")
     order = order[np.argsort(owner[order], kind="stable")]
-    chosen_docs = np.flatnonzero(able)
+    found = np.flatnonzero(able)
     sets = pa.Table.from_arrays(
         [
-            pa.array(np.ones(len(chosen_docs), bool)), pa.nulls(len(chosen_docs), pa.int64()),
-            pa.array(names[chosen_docs], pa.binary()), pa.array(sizes[chosen_docs].astype(np.int32)),
-            binary_column(tokens[order], counts[chosen_docs]),
-            pa.array(unshared[chosen_docs].astype(np.int32)),
+            pa.array(np.ones(len(found), bool)), pa.nulls(len(found), pa.int64()),
+            pa.array(names[found], pa.binary()), pa.array(sizes[found].astype(np.int32)),
+            binary_column(tokens[order], counts[found]), pa.array(unshared[found].astype(np.int32)),
         ],
         schema=schema,
     )
-    return pa.concat_tables([listed, sets])
+    return pa.concat_tables([docs, sets])
 
 
 def read_tokens(data: bytes) -> np.ndarray:
@@ -317,16 +255,11 @@ def prefix_pairs(posted: DataFrame, percent: int) -> DataFrame:
 
 def similar_sets(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """(documents, links): each document's set name and size; verified links of sets."""
-    bits = bucket_bits(docs)
-
-    def sets_of(table: pa.Table) -> pa.Table:
-        return make_sets(table, percent)
+    def use(number, ids, texts, keys, totals) -> pa.Table:
+        return make_sets(ids, keys, totals, percent)
 
     kept = staged(
-        docs.mapInArrow(partial(send_shingles, k=words, bits=bits), SENT)
-        .groupBy("bucket").applyInArrow(count_shingles, SENT)
-        .groupBy("segment").applyInArrow(sets_of, KEPT),
-        "shingles",
+        with_counts(docs, space_words, shingle_frequencies(words), use, KEPT, text_chars(docs)), "shingles"
     )
     listed = kept.filter("not is_set").select("doc_id", "name", "size")
     sets = staged(

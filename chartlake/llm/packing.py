@@ -76,10 +76,13 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def shingle_hashes(words: np.ndarray, lengths: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+def shingle_hashes(
+    words: np.ndarray, lengths: np.ndarray, k: int, short_too: bool = True
+) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the k-word shingles of each document, and the document of each.
 
-    A document of fewer words, but not none, has one shingle, its whole sequence.
+    With ``short_too`` a document of fewer words, but not none, has one shingle, its
+    whole sequence; these come last.
     """
     factors = mixed(np.arange(1, k + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
     owner = np.repeat(np.arange(len(lengths)), lengths)
@@ -94,7 +97,7 @@ def shingle_hashes(words: np.ndarray, lengths: np.ndarray, k: int) -> tuple[np.n
     else:
         hashes, docs = np.zeros(0, np.uint64), np.zeros(0, np.int64)
     short = np.flatnonzero((lengths > 0) & (lengths < k))
-    if len(short):
+    if short_too and len(short):
         each = np.array(
             [(words[starts[d] : starts[d] + lengths[d]] * factors[: lengths[d]]).sum() for d in short],
             np.uint64,
@@ -114,21 +117,28 @@ def binary_column(values: np.ndarray, counts: np.ndarray) -> pa.Array:
     )
 
 
+def pack_numbers(values: np.ndarray) -> bytes:
+    """Unsigned numbers by byte planes, as many as the largest needs; small ones compress."""
+    width = max(1, (int(values.max()).bit_length() + 7) // 8) if len(values) else 1
+    planes = values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T
+    return bytes([width]) + planes.tobytes()
+
+
+def unpack_numbers(data: bytes) -> np.ndarray:
+    width = data[0]
+    planes = np.frombuffer(data, np.uint8, offset=1).reshape(width, -1).T
+    wide = np.zeros((len(planes), 8), np.uint8)
+    wide[:, :width] = planes
+    return wide.reshape(-1).view("<u8").astype(np.uint64)
+
+
 def pack_sorted(values: np.ndarray) -> bytes:
-    """Sorted 64-bit numbers as 6-byte steps where all steps fit, else as they are."""
-    steps = np.diff(values, prepend=np.uint64(0))
-    if len(steps) > 1 and int(steps[1:].max()) < 1 << 48:
-        planes = steps[1:].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].T
-        return b"\x01" + values[:1].astype("<u8").tobytes() + planes.tobytes()
-    return b"\x00" + values.astype("<u8").tobytes()
+    """Sorted numbers as the first and the steps."""
+    first = values[:1].astype("<u8").tobytes()
+    return first + pack_numbers(np.diff(values)) if len(values) else b""
 
 
 def unpack_sorted(data: bytes) -> np.ndarray:
-    if data[0] == 0:
-        return np.frombuffer(data, "<u8", offset=1).astype(np.uint64)
-    steps = np.frombuffer(data, np.uint8, offset=9).reshape(6, -1).T
-    wide = np.zeros((len(steps) + 1, 8), np.uint8)
-    wide[1:, :6] = steps
-    whole = wide.reshape(-1).view("<u8").astype(np.uint64)
-    whole[0] = np.frombuffer(data, "<u8", 1, 1)[0]
-    return np.cumsum(whole, dtype=np.uint64)
+    if not data:
+        return np.zeros(0, np.uint64)
+    return np.cumsum(np.concatenate((np.frombuffer(data, "<u8", 1), unpack_numbers(data[8:]))), dtype=np.uint64)

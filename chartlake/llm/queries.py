@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from chartlake.llm.exact_dedup import exact_dedup
 from chartlake.llm.decontamination import decontaminate
 from chartlake.llm.html import extract
+from chartlake.llm.lm import lm_scores
 from chartlake.llm.ngram_join import ngram_join
 from chartlake.llm.mixing import BLOCK_WORDS, CELL_ROWS, PRIMES, mixed_sizes
 from chartlake.llm.quality import classify
+from chartlake.llm.repeats import repeated_passages
 from chartlake.llm.shared import read_table
 from chartlake.llm.sharding import shard_documents
 
@@ -122,6 +124,76 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(read_table(spark, sf_dir, "pages"))
 
 
+OP5_SQL = """
+    WITH t AS (
+        SELECT row_number() OVER () AS row_no, doc_id,
+               coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+'), []) AS words
+        FROM documents
+    ), win AS (
+        SELECT row_no, unnest(range(len(words) - 49)) AS s,
+               unnest(list_transform(range(len(words) - 49),
+                   lambda i: md5(array_to_string(words[i+1:i+50], ' ')))) AS h
+        FROM t WHERE len(words) >= 50
+    ), rep AS (
+        SELECT h FROM win GROUP BY h HAVING count(DISTINCT row_no) > 1
+    ), hit AS (
+        SELECT row_no, s, s - coalesce(lag(s) OVER (PARTITION BY row_no ORDER BY s), -1000) > 50 AS new
+        FROM win SEMI JOIN rep USING (h)
+    ), part AS (
+        SELECT row_no, s, sum(new::INT) OVER (PARTITION BY row_no ORDER BY s) AS p FROM hit
+    )
+    SELECT any_value(doc_id) AS doc_id, min(s)::BIGINT AS first_word,
+           (max(s) + 50 - min(s))::BIGINT AS n_words
+    FROM part JOIN t USING (row_no) GROUP BY row_no, p
+    """
+
+
+@query("op5_suffix_dedup", OP5_SQL)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(read_table(spark, sf_dir, "documents"))
+
+
+OP6_SQL = """
+    WITH t AS (
+        SELECT row_number() OVER () AS row_no, doc_id,
+               coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+'), []) AS words
+        FROM documents
+    ), w AS (
+        SELECT row_no, unnest(range(len(words))) AS i, unnest(words) AS w FROM t
+    ), g AS (
+        SELECT row_no, w, lag(w) OVER (PARTITION BY row_no ORDER BY i) AS v FROM w
+    ), uni AS (SELECT w, count(*) AS n FROM w GROUP BY w),
+    own_uni AS (SELECT row_no, w, count(*) AS n FROM w GROUP BY ALL),
+    bi AS (SELECT v, w, count(*) AS n FROM g WHERE v IS NOT NULL GROUP BY ALL),
+    own_bi AS (SELECT row_no, v, w, count(*) AS n FROM g WHERE v IS NOT NULL GROUP BY ALL),
+    s AS (
+        SELECT g.row_no, g.v, uni.n - own_uni.n AS cw, bi.n - own_bi.n AS cvw, hu.n - ho.n AS cv,
+               greatest((SELECT sum(n) FROM uni) - len(t.words), 1) AS rest
+        FROM g JOIN uni ON uni.w = g.w JOIN own_uni ON own_uni.row_no = g.row_no AND own_uni.w = g.w
+        JOIN t ON t.row_no = g.row_no
+        LEFT JOIN bi ON bi.v = g.v AND bi.w = g.w
+        LEFT JOIN own_bi ON own_bi.row_no = g.row_no AND own_bi.v = g.v AND own_bi.w = g.w
+        LEFT JOIN uni hu ON hu.w = g.v
+        LEFT JOIN own_uni ho ON ho.row_no = g.row_no AND ho.w = g.v
+    ), p AS (
+        SELECT row_no, sum(ln(CASE WHEN cvw > 0 THEN cvw / cv
+            ELSE CASE WHEN v IS NULL THEN 1 ELSE 0.4::DOUBLE END * greatest(cw, 0.5::DOUBLE) / rest END)) AS total
+        FROM s GROUP BY row_no
+    )
+    SELECT doc_id, len(words)::BIGINT AS n_words, round(coalesce(total, 0::DOUBLE), 5) AS log_score
+    FROM t LEFT JOIN p USING (row_no)
+    """
+
+
+@query("op6_lm_scoring", OP6_SQL)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", F.round("log_score", 5).alias("log_score")
+    )
+
+
 OP7_SQL = f"""
     WITH t AS (
         SELECT row_number() OVER () AS row_no, doc_id,
