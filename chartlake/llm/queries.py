@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from chartlake.llm.exact_dedup import exact_dedup
 from chartlake.llm.decontamination import decontaminate
 from chartlake.llm.html import extract
+from chartlake.llm.licenses import document_licenses
 from chartlake.llm.lm import lm_scores
 from chartlake.llm.ngram_join import ngram_join
 from chartlake.llm.mixing import BLOCK_WORDS, CELL_ROWS, PRIMES, mixed_sizes
@@ -124,6 +125,11 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(read_table(spark, sf_dir, "pages"))
 
 
+@query("op4_license_scan")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_licenses(read_table(spark, sf_dir, "documents"))
+
+
 OP5_SQL = """
     WITH t AS (
         SELECT row_number() OVER () AS row_no, doc_id,
