@@ -39,7 +39,7 @@ WORDS = 4
 PERCENT = 85
 # Leaders a document is compared with in one group; only how early links are found depends on it.
 LEADERS = 16
-SUFFIX_CELLS = 32
+SUFFIX_CELLS = 128
 
 KEPT = "is_set boolean, doc_id long, name binary, size int, tokens binary, unshared int"
 
@@ -179,7 +179,7 @@ def postings(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Rec
             owner.append(np.full(len(own[:n]), i))
             place.append(np.arange(len(own[:n])) + unshared[i])
             found = np.bincount((mixed(own) % np.uint64(SUFFIX_CELLS)).astype(np.int64), minlength=SUFFIX_CELLS)
-            cells.append(found.astype(np.int32).tolist())
+            cells.append(found.astype(np.int8) if found.max() < 128 else None)
         if not data:
             continue
         at = pa.array(np.concatenate(owner))
@@ -188,7 +188,7 @@ def postings(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Rec
                 pa.array(np.concatenate(token).astype(np.int64)),
                 pa.array(names, pa.binary()).take(at), pa.array(sizes, pa.int32()).take(at),
                 pa.array(np.concatenate(place).astype(np.int32)),
-                pa.array(cells, pa.list_(pa.int32())).take(at),
+                pa.array(cells, pa.list_(pa.int8())).take(at),
                 batch.column("root").take(at),
             ],
             names=["token", "name", "size", "place", "cells", "root"],
@@ -232,10 +232,13 @@ def prefix_pairs(posted: DataFrame, percent: int) -> DataFrame:
 
     small, large = F.least("x.size", "y.size"), F.greatest("x.size", "y.size")
     need = F.ceil(percent * (col("x.size") + col("y.size")) / F.lit(100 + percent))
-    before = F.least("x.place", "y.place")
+    # At the first token that two sets share, no more can follow than the rest of either.
+    # Later shared tokens need not pass: the first one does if the pair is similar.
     after = F.least(col("x.size") - col("x.place"), col("y.size") - col("y.place"))
+    # Suffix filter: sets share in each cell of the token space no more than the smaller has.
+    # Sets too large for cells of one byte go without it.
     by_cell = F.aggregate(
-        F.zip_with("x.cells", "y.cells", lambda p, q: F.least(p, q)), F.lit(0), lambda s, v: s + v
+        F.zip_with("x.cells", "y.cells", lambda p, q: F.least(p, q)), F.lit(0), lambda s, v: s + v.cast("int")
     )
     once = (col("y.root") == col("y.largest")) | (col("x.name") < col("y.name"))
     return (
@@ -245,8 +248,8 @@ def prefix_pairs(posted: DataFrame, percent: int) -> DataFrame:
             & (col("x.root") != col("y.root"))
             & once
             & (100 * small >= percent * large)
-            & (before + after >= need)
-            & (by_cell >= need),
+            & (after >= need)
+            & (F.coalesce(by_cell, need) >= need),
         )
         .select(F.least("x.name", "y.name").alias("a"), F.greatest("x.name", "y.name").alias("b"))
         .distinct()
@@ -254,7 +257,7 @@ def prefix_pairs(posted: DataFrame, percent: int) -> DataFrame:
 
 
 def similar_sets(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """(documents, links): each document's set name and size; verified links of sets."""
+    """(documents, roots): each document's set name and size; the component of linked sets."""
     def use(number, ids, texts, keys, totals) -> pa.Table:
         return make_sets(ids, keys, totals, percent)
 
@@ -278,14 +281,15 @@ def similar_sets(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame,
         links = found if links is None else links.unionByName(found)
     links = staged(links, "links")
     roots = components(links)
-    rooted = (
+    rooted = staged(
         sets.join(roots, sets["name"] == roots["node"], "left")
-        .select("name", "size", "tokens", "unshared", F.coalesce("root", "name").alias("root"))
+        .select("name", "size", "tokens", "unshared", F.coalesce("root", "name").alias("root")),
+        "rooted",
     )
     posted = staged(
         rooted.mapInArrow(
             partial(postings, percent=percent),
-            "token long, name binary, size int, place int, cells array<int>, root binary",
+            "token long, name binary, size int, place int, cells array<tinyint>, root binary",
         ),
         "postings",
     )
@@ -293,7 +297,20 @@ def similar_sets(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame,
     left = sets.select(F.col("name").alias("a"), F.col("size").alias("size_a"), F.col("tokens").alias("tokens_a"))
     right = sets.select(F.col("name").alias("b"), F.col("size").alias("size_b"), F.col("tokens").alias("tokens_b"))
     late = pairs.join(left, "a").join(right, "b").mapInArrow(partial(verify, percent=percent), "a binary, b binary")
-    return listed, links.unionByName(staged(late, "links"))
+    # Late links join whole components: at most one link for each two of them goes on.
+    root_of = rooted.select("name", "root")
+    joined = staged(
+        late.join(root_of.select(F.col("name").alias("a"), F.col("root").alias("root_a")), "a")
+        .join(root_of.select(F.col("name").alias("b"), F.col("root").alias("root_b")), "b")
+        .select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))
+        .distinct(),
+        "links",
+    )
+    above = components(joined).select(F.col("node").alias("root"), F.col("root").alias("top"))
+    tops = root_of.join(above, "root", "left").select(
+        F.col("name").alias("node"), F.coalesce("top", "root").alias("root")
+    )
+    return listed, tops
 
 
 def ngram_join(
@@ -314,10 +331,7 @@ def ngram_join(
     ids are null. Repeated rows stay and share a component. An empty table gives no rows.
     Other columns are ignored.
     """
-    listed, links = similar_sets(
-        chosen(docs, doc_id=id_col, text=text_col), words, percent
-    )
-    roots = components(links)
+    listed, roots = similar_sets(chosen(docs, doc_id=id_col, text=text_col), words, percent)
     least = listed.groupBy("name").agg(F.min("doc_id").alias("least"))
     rooted = least.join(roots, least["name"] == roots["node"], "left").select(
         "name", "least", F.coalesce("root", "name").alias("root")
