@@ -223,7 +223,12 @@ def prefix_pairs(posted: DataFrame, percent: int) -> DataFrame:
         .filter("roots > 1")
         .drop("roots")
     )
-    open_tokens = staged(posted.join(largest, "token"), "postings")
+    # Two sets in different components share open tokens only, so these tell the first one.
+    meeting = staged(posted.join(largest, "token"), "postings")
+    in_order = meeting.groupBy("name").agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("place", "token"))), lambda x: x["token"]).alias("open")
+    )
+    open_tokens = meeting.join(in_order, "name")
     x = open_tokens.filter("root <> largest").drop("largest").alias("x")
     y = open_tokens.alias("y")
 
@@ -249,10 +254,10 @@ def prefix_pairs(posted: DataFrame, percent: int) -> DataFrame:
             & once
             & (100 * small >= percent * large)
             & (after >= need)
-            & (F.coalesce(by_cell, need) >= need),
+            & (F.coalesce(by_cell, need) >= need)
+            & (F.element_at(F.array_intersect("x.open", "y.open"), 1) == col("x.token")),
         )
         .select(F.least("x.name", "y.name").alias("a"), F.greatest("x.name", "y.name").alias("b"))
-        .distinct()
     )
 
 
