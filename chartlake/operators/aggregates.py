@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,11 +41,14 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> D
     """The last row of each key, where ``order`` says which one is later.
 
     Spark limits every group to one row before the shuffle as well as after it,
-    so a key written very often sends one row per map task.
+    so a key written very often sends one row per map task. Rows with a null in their key
+    name no key: each of them stays, and they are spread like keys of their own.
     """
-    latest_first = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order])
+    unnamed = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    latest_first = Window.partitionBy(*keys, "_alone").orderBy(*[F.col(c).desc() for c in order])
     return (
-        df.withColumn("_place", F.row_number().over(latest_first))
+        df.withColumn("_alone", F.when(unnamed, F.monotonically_increasing_id()))
+        .withColumn("_place", F.row_number().over(latest_first))
         .filter(F.col("_place") == 1)
-        .drop("_place")
+        .drop("_place", "_alone")
     )

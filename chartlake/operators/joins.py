@@ -14,38 +14,12 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, StringType, StructType
-
-# Largest side that may be broadcast, as measured data and as a number of rows.
-BROADCAST_BYTES = 64 * 1024 * 1024
-BROADCAST_ROWS = 2_000_000
-
 
 def inner_renamed(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
     """Inner join on two differently named columns; both stay. Null keys never match."""
     return left.join(right, left[left_key] == right[right_key], "inner")
 
 
-def broadcast_if_small(
-    df: DataFrame, max_bytes: int = BROADCAST_BYTES, max_rows: int = BROADCAST_ROWS
-) -> DataFrame | None:
-    """``df`` marked for broadcast if it was measured to be small, else ``None``.
-
-    Runs one aggregation over ``df``, which should therefore be cheap to compute.
-    """
-    size = reduce(lambda a, b: a + b, [_width(df[f.name], f.dataType) for f in df.schema.fields])
-    rows, measured = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
-    return F.broadcast(df) if rows <= max_rows and measured <= max_bytes else None
-
-
-def _width(column, data_type: DataType):
-    if isinstance(data_type, StringType):
-        return F.coalesce(F.octet_length(column), F.lit(0)).cast("bigint") + 8
-    if isinstance(data_type, StructType) or data_type.typeName() in ("array", "map", "binary"):
-        raise ValueError(f"only flat key columns are measured, not {data_type.simpleString()}")
-    return F.lit(8).cast("bigint")
-
-
 def unseen(
     batch: DataFrame, target: DataFrame, keys: Sequence[str], null_safe: bool = False
 ) -> DataFrame:
@@ -55,24 +29,28 @@ def unseen(
     ``null_safe=True`` null equals null. Copies within the batch all stay. The
     column order of the batch is kept.
 
-    The distinct keys of the target are measured first. If they are small they are
-    broadcast and the batch is not shuffled at all. If not, both sides are shuffled
-    with their copies: a hot key of the batch can then still be split at run time.
+    The target's keys are made distinct first, within each task as well, so its copies
+    do not travel. A hash of the keys is joined on beside them: the distinct keys are then
+    shuffled once more, which lets run-time planning split a hot key of the batch or
+    broadcast the keys if they turn out to be few.
     """
-    wanted = target.select(*keys)
-    known = broadcast_if_small(wanted.distinct())
-    return anti_join(batch, wanted if known is None else known, keys, null_safe)
+    return anti_join(batch, target.select(*keys).distinct(), keys, null_safe)
 
 
 def anti_join(
     batch: DataFrame, known: DataFrame, keys: Sequence[str], null_safe: bool = False
 ) -> DataFrame:
     """Left anti join on equally named keys, with the column order of ``batch``."""
-    if not null_safe:
-        return batch.join(known, list(keys), "left_anti").select(*batch.columns)
-    renamed = known.select(*[F.col(k).alias(f"_known_{k}") for k in keys])
-    same = [F.col(k).eqNullSafe(F.col(f"_known_{k}")) for k in keys]
-    return batch.join(renamed, reduce(lambda a, b: a & b, same), "left_anti")
+    renamed = known.select(
+        *[F.col(k).alias(f"_known_{k}") for k in keys], F.xxhash64(*keys).alias("_known_hash")
+    )
+    hashed = batch.withColumn("_hash", F.xxhash64(*keys))
+    same = [
+        F.col(k).eqNullSafe(F.col(f"_known_{k}")) if null_safe else F.col(k) == F.col(f"_known_{k}")
+        for k in keys
+    ]
+    matches = reduce(lambda a, b: a & b, same, F.col("_hash") == F.col("_known_hash"))
+    return hashed.join(renamed, matches, "left_anti").select(*batch.columns)
 
 
 def enrich(

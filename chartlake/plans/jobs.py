@@ -2,7 +2,8 @@
 
 Layout under the root::
 
-    snapshots/daily, snapshots/history   landed chart snapshots (JSON)
+    snapshots/daily/taken=…   the chart snapshot of a daily run (JSON), by time of the run
+    snapshots/history/snapshot_day=…   archived snapshots, one a file, named in time order
     lookup/{tracks,tracks_features,artists}   records by id (Parquet)
     raw/{tracks,tracks_features,artists}/run=…   landed documents (JSON)
     ref/{tracks,tracks_features,artists}   flat tables (Parquet)
@@ -34,28 +35,41 @@ from chartlake.sinks.writers import overwrite_parquet
 from chartlake.sources.readers import read_json, read_parquet
 
 
+def run_name(run: str) -> str:
+    """The time of a run as it stands in folder names; such names sort in time order."""
+    return run.replace(" ", "T").replace(":", "")
+
+
 def land_daily(spark: SparkSession, root: str, run: str) -> None:
-    """``run`` is the time of the run as ``yyyy-MM-dd HH:mm:ss``; it dates the chart."""
-    snapshots = read_json(spark, f"{root}/snapshots/daily", SNAPSHOT_DAILY, True)
-    taken = snapshots.withColumn("taken_at", F.lit(run).cast("timestamp_ntz"))
-    _land(spark, root, run, landing.daily_entries(taken, "taken_at"), ["taken_at"])
+    """``run`` is the time of the run as ``yyyy-MM-dd HH:mm:ss``; it dates the chart.
+
+    Only the snapshot taken by this run is read, so earlier ones keep their own day.
+    """
+    folder = f"{root}/snapshots/daily/taken={run_name(run)}"
+    snapshots = read_json(spark, folder, SNAPSHOT_DAILY, True).withColumns(
+        {"taken_at": F.lit(run).cast("timestamp_ntz"), "snapshot": F.col("_metadata.file_path")}
+    )
+    _land(spark, root, run, landing.daily_entries(snapshots, "taken_at"), ["taken_at", "snapshot"])
 
 
 def land_history(
     spark: SparkSession,
     root: str,
     run: str,
-    ranges: Sequence[tuple[str, str]] = tuple(landing.HISTORY_RANGES),
+    ranges: Sequence[tuple[str, str]] | None = None,
 ) -> None:
-    """Archived snapshots lie in ``snapshot_day=…`` folders; only wanted days are read."""
+    """Archived snapshots of the wanted days, or of all days.
+
+    Of snapshots of one day the later one, by file name, takes a place that both fill.
+    """
     snapshots = read_json(
         spark,
         f"{root}/snapshots/history",
         f"{SNAPSHOT_HISTORY}, snapshot_day DATE",
         True,
-    )
-    wanted = landing.in_ranges(snapshots, "snapshot_day", ranges)
-    _land(spark, root, run, landing.history_entries(wanted), ["snapshot_day"])
+    ).withColumn("snapshot", F.col("_metadata.file_path"))
+    wanted = landing.in_ranges(snapshots, "snapshot_day", ranges) if ranges else snapshots
+    _land(spark, root, run, landing.history_entries(wanted), ["snapshot_day", "snapshot"])
 
 
 def _land(
@@ -68,18 +82,32 @@ def _land(
         read_parquet(spark, f"{root}/lookup/artists"),
         order,
     )
-    landing.write_landed(landed, f"{root}/raw", run.replace(" ", "T").replace(":", ""))
+    landing.write_landed(landed, f"{root}/raw", run_name(run))
 
 
-def ref_artists(spark: SparkSession, root: str, runs: Sequence[str] | None = None) -> None:
+def ref_artists(
+    spark: SparkSession,
+    root: str,
+    runs: Sequence[str] | None = None,
+    outer: bool = False,
+    dedupe: bool = False,
+    null_safe: bool = False,
+) -> None:
     """With ``runs`` only these landing runs are read; the earlier ones must be in ``ref``."""
     docs = landing.landed_documents(spark, f"{root}/raw", "artists", RAW_ARTISTS, runs)
-    refine.load_artists(docs, f"{root}/ref/artists", run="run")
+    refine.load_artists(docs, f"{root}/ref/artists", outer, dedupe, "run", null_safe)
 
 
-def ref_tracks(spark: SparkSession, root: str, runs: Sequence[str] | None = None) -> None:
+def ref_tracks(
+    spark: SparkSession,
+    root: str,
+    runs: Sequence[str] | None = None,
+    outer: bool = False,
+    dedupe: bool = False,
+    null_safe: bool = False,
+) -> None:
     docs = landing.landed_documents(spark, f"{root}/raw", "tracks", RAW_TRACKS, runs)
-    refine.load_tracks(docs, f"{root}/ref/tracks", run="run")
+    refine.load_tracks(docs, f"{root}/ref/tracks", outer, dedupe, "run", null_safe)
 
 
 def ref_tracks_features(
@@ -97,10 +125,12 @@ def dim_track(spark: SparkSession, root: str) -> None:
     overwrite_parquet(marts.dim_track(_ref(spark, root, "tracks")), f"{root}/exp/dim_track")
 
 
-def f_artist(spark: SparkSession, root: str, since: str | None = None) -> None:
+def f_artist(
+    spark: SparkSession, root: str, since: str | None = None, null_safe: bool = False
+) -> None:
     """With ``since`` only chart days from then on are read and compared."""
     marts.load_f_artist(
-        _ref(spark, root, "artists"), _tracks(spark, root, since), f"{root}/exp/f_artist"
+        _ref(spark, root, "artists"), _tracks(spark, root, since), f"{root}/exp/f_artist", null_safe
     )
 
 
@@ -109,20 +139,25 @@ def f_genre(spark: SparkSession, root: str) -> None:
     overwrite_parquet(fact, f"{root}/exp/f_genre")
 
 
-def f_ranking(spark: SparkSession, root: str, since: str | None = None) -> None:
-    marts.load_f_ranking(_tracks(spark, root, since), f"{root}/exp/f_ranking")
+def f_ranking(
+    spark: SparkSession, root: str, since: str | None = None, null_safe: bool = False
+) -> None:
+    marts.load_f_ranking(_tracks(spark, root, since), f"{root}/exp/f_ranking", null_safe)
 
 
-def f_track_statistics(spark: SparkSession, root: str, since: str | None = None) -> None:
+def f_track_statistics(
+    spark: SparkSession, root: str, since: str | None = None, null_safe: bool = False
+) -> None:
     marts.load_f_track_statistics(
         _tracks(spark, root, since),
         _ref(spark, root, "tracks_features"),
         f"{root}/exp/f_track_statistics",
+        null_safe,
     )
 
 
-def csv_to_parquet(spark: SparkSession, root: str) -> None:
-    extras.csv_to_parquet(spark, f"{root}/landing-zone", f"{root}/processing/csv")
+def csv_to_parquet(spark: SparkSession, root: str, schema: str | None = None) -> None:
+    extras.csv_to_parquet(spark, f"{root}/landing-zone", f"{root}/processing/csv", schema=schema)
 
 
 def order_total(spark: SparkSession, root: str) -> None:

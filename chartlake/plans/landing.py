@@ -18,18 +18,12 @@ from chartlake.operators.aggregates import latest_by_key
 from chartlake.operators.generators import rank_entries
 from chartlake.operators.joins import enrich
 from chartlake.schemas import LANDED_KEYS
+from chartlake.sinks.staging import staged
 from chartlake.sinks.writers import write_json
 from chartlake.sources.readers import read_json
 
-# Month ranges of the historical load, both ends included.
-HISTORY_RANGES = [
-    ("2022-04-01", "2022-04-30"),
-    ("2022-05-01", "2022-05-31"),
-    ("2022-06-01", "2022-06-30"),
-    ("2022-07-01", "2022-07-31"),
-    ("2022-08-01", "2022-08-31"),
-    ("2022-09-01", "2022-09-30"),
-]
+# Fixed value: the folder and name that start the key of a landed chart entry.
+TRACKS_PREFIX = "tracks/musica"
 
 
 class Landed(NamedTuple):
@@ -39,7 +33,7 @@ class Landed(NamedTuple):
 
 
 def tracks_key(day: Column, position: Column) -> Column:
-    return natural_key("tracks/musica", day, position, ".json")
+    return natural_key(TRACKS_PREFIX, day, position, ".json")
 
 
 def record_key(kind: str, record_id: Column) -> Column:
@@ -100,23 +94,23 @@ def land_entries(
 
     ``tracks``, ``features`` and ``artists`` hold one record per ``id``. ``order``
     names the entry columns that say which entry was seen later; it decides between
-    two entries at the same place of the same day. That decision needs the entry
-    alone, so it is made before the wide track records are joined. A record looked
-    up by its own id is the same whichever entry asked for it, so features and
-    artists only need their ids to be distinct.
+    two entries at the same place of the same day, so it must tell snapshots apart. That
+    decision needs the entry alone, so it is made before the wide track records are
+    joined. A record looked up by its own id is the same whichever entry asked for it, so
+    features and artists only need their ids to be distinct.
+
+    The wide track lookup is read once: the few records that any entry names are written
+    to the shared folder, and all else is derived from them.
     """
+    listed = entries.select(F.col("track_id").alias("id")).distinct()
+    found = staged(tracks.join(listed, "id", "left_semi").select(*tracks.columns), "found-tracks")
     # Only an entry whose track is known is ever written, so only those compete.
-    known = entries.join(tracks.select(F.col("id").alias("track_id")), "track_id", "left_semi")
-    placed = latest_by_key(known, LANDED_KEYS["tracks"], [*order, "track_id"])
+    known = entries.join(found.select(F.col("id").alias("track_id")), "track_id", "left_semi")
+    placed = latest_by_key(known, LANDED_KEYS["tracks"], order)
     documents = enrich(
-        placed.select("track_id", "position", "date_ranking"), tracks, "track_id"
+        placed.select("track_id", "position", "date_ranking"), found, "track_id"
     ).select("record.*", F.col("position").cast("bigint").alias("position"), "date_ranking")
-
-    listed = entries.select(F.col("track_id").alias("id")).distinct()
-    found = tracks.select("id", F.col("artists.id").alias("artist_ids")).join(
-        listed, "id", "left_semi"
-    )
-    artist_ids = found.select(F.explode("artist_ids").alias("id")).distinct()
+    artist_ids = found.select(F.explode("artists.id").alias("id")).distinct()
     return Landed(
         tracks=documents,
         tracks_features=features.join(found.select("id"), "id", "left_semi"),

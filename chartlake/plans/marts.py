@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chartlake.operators.aggregates import distinct_projection, group_concat, group_count
-from chartlake.operators.joins import broadcast_if_small, inner_renamed
+from chartlake.operators.joins import inner_renamed
 from chartlake.schemas import DAY, DIM_ARTIST, DIM_TRACK, KEYS, TRACK_STATISTICS
-from chartlake.sinks.incremental import days_in, incremental_append
+from chartlake.sinks.incremental import incremental_append
+from chartlake.sinks.staging import staged
 
 
 def dim_artist(artists: DataFrame) -> DataFrame:
@@ -25,14 +26,13 @@ def f_artist(artists: DataFrame, tracks: DataFrame) -> DataFrame:
     Copies in ``tracks`` are kept. An artist with two follower totals gives two rows
     per place.
 
-    The artists, one row each, are measured first (a job over ``artists`` alone). If
-    they are small they are broadcast, and the far larger ``tracks`` is not shuffled;
-    left to run-time planning it would be shuffled before that size is known.
+    The artists, one row each, are written once. The size of that table is known before
+    the join is planned: if it is small it is broadcast, and the far larger ``tracks`` is
+    not shuffled.
     """
-    genres = group_concat(artists, ["id", "total"], "genres", "genres")
-    small = broadcast_if_small(genres)
+    genres = staged(group_concat(artists, ["id", "total"], "genres", "genres"), "artist-genres")
     places = tracks.select(DAY, "artists_id", "position")
-    return inner_renamed(genres if small is None else small, places, "id", "artists_id")
+    return inner_renamed(genres, places, "id", "artists_id")
 
 
 def f_genre(artists: DataFrame, tracks: DataFrame) -> DataFrame:
@@ -71,18 +71,26 @@ def f_track_statistics(tracks: DataFrame, features: DataFrame) -> DataFrame:
     return inner_renamed(records, places, "id", "track_id")
 
 
-def load_f_artist(artists: DataFrame, tracks: DataFrame, path: str) -> None:
-    _load(f_artist(artists, tracks), tracks, path, "exp/f_artist")
+def load_f_artist(
+    artists: DataFrame, tracks: DataFrame, path: str, null_safe: bool = False
+) -> None:
+    _load(f_artist(artists, tracks), tracks, path, "exp/f_artist", null_safe)
 
 
-def load_f_ranking(tracks: DataFrame, path: str) -> None:
-    _load(f_ranking(tracks), tracks, path, "exp/f_ranking")
+def load_f_ranking(tracks: DataFrame, path: str, null_safe: bool = False) -> None:
+    _load(f_ranking(tracks), tracks, path, "exp/f_ranking", null_safe)
 
 
-def load_f_track_statistics(tracks: DataFrame, features: DataFrame, path: str) -> None:
-    _load(f_track_statistics(tracks, features), tracks, path, "exp/f_track_statistics")
+def load_f_track_statistics(
+    tracks: DataFrame, features: DataFrame, path: str, null_safe: bool = False
+) -> None:
+    _load(f_track_statistics(tracks, features), tracks, path, "exp/f_track_statistics", null_safe)
 
 
-def _load(fact: DataFrame, tracks: DataFrame, path: str, table: str) -> None:
-    # The days of the fact are those of the tracks, where they are cheap to list.
-    incremental_append(fact, path, KEYS[table], partition_by=DAY, days=days_in(tracks, DAY))
+def _load(
+    fact: DataFrame, tracks: DataFrame, path: str, table: str, null_safe: bool
+) -> None:
+    # The days of the fact are among those of the tracks, whose folders give them.
+    incremental_append(
+        fact, path, KEYS[table], partition_by=DAY, days=tracks.select(DAY), null_safe=null_safe
+    )

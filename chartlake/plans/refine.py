@@ -9,13 +9,18 @@ from chartlake.functions.columns import parse_day
 from chartlake.operators.aggregates import latest_by_key
 from chartlake.operators.generators import explode_columns
 from chartlake.operators.projections import leaves, prefixed
-from chartlake.schemas import DAY, KEYS, LANDED_KEYS, TRACK_FEATURES
+from chartlake.schemas import (
+    ALBUM_FIELDS,
+    ARTIST_FIELDS,
+    DAY,
+    KEYS,
+    LANDED_KEYS,
+    REF_ARTISTS,
+    REF_TRACKS_OWN,
+    TRACK_FEATURES,
+)
 from chartlake.sinks.incremental import incremental_append
 from chartlake.sinks.writers import rebalanced
-from chartlake.sources.readers import partition_values
-
-ALBUM_FIELDS = ["href", "id", "name", "release_date", "total_tracks", "uri"]
-ARTIST_FIELDS = ["href", "id", "name", "type", "uri"]
 
 
 def flat_artists(docs: DataFrame, outer: bool = False, dedupe: bool = False) -> DataFrame:
@@ -24,10 +29,7 @@ def flat_artists(docs: DataFrame, outer: bool = False, dedupe: bool = False) ->
     Artists without a genre or without an image vanish unless ``outer``.
     """
     rows = explode_columns(docs, ["genres", "images"], outer).select(
-        *leaves("external_urls.spotify", "followers.total"),
-        "genres", "href", "id",
-        *leaves("images.height", "images.url", "images.width"),
-        "name", "popularity", "type", "uri",
+        *leaves(*REF_ARTISTS)
     )
     return rows.distinct() if dedupe else rows
 
@@ -50,10 +52,8 @@ def _flat_tracks(docs: DataFrame, outer: bool, dedupe: bool) -> DataFrame:
         *leaves("album.album_type"),
         *prefixed("album", ALBUM_FIELDS),
         *prefixed("artists", ARTIST_FIELDS),
-        "disc_number", "duration_ms", "explicit",
-        *leaves("external_ids.isrc", "external_urls.spotify"),
-        "href", "id", "is_local", "name", "popularity", "preview_url",
-        "track_number", "type", "uri", "position", DAY,
+        *leaves(*REF_TRACKS_OWN),
+        DAY,
     )
     return rows.distinct() if dedupe else rows
 
@@ -64,6 +64,7 @@ def load_artists(
     outer: bool = False,
     dedupe: bool = False,
     run: str | None = None,
+    null_safe: bool = False,
 ) -> None:
     """Append the artists that ``path`` does not hold yet.
 
@@ -74,6 +75,7 @@ def load_artists(
         docs,
         path,
         KEYS["ref/artists"],
+        null_safe=null_safe,
         finish=lambda new: flat_artists(_latest(new, "artists", run), outer, dedupe),
     )
 
@@ -84,6 +86,7 @@ def load_tracks(
     outer: bool = False,
     dedupe: bool = False,
     run: str | None = None,
+    null_safe: bool = False,
 ) -> None:
     """Append the chart entries whose position and day ``path`` does not hold yet.
 
@@ -100,16 +103,20 @@ def load_tracks(
         path,
         KEYS["ref/tracks"],
         partition_by=DAY,
-        days=partition_values(docs, "date_ranking"),
+        days=with_day(docs).select(DAY),
+        null_safe=null_safe,
         finish=finish,
         rebalance=dedupe,
     )
 
 
 def load_track_features(docs: DataFrame, path: str, run: str | None = None) -> None:
-    """Append the feature records of tracks that ``path`` does not hold yet."""
+    """Append the feature records of tracks that ``path`` does not hold yet.
+
+    Records without an id, such as lines that are not JSON, belong to no track and go.
+    """
     incremental_append(
-        docs,
+        docs.filter(F.col("id").isNotNull()),
         path,
         KEYS["ref/tracks_features"],
         schema=TRACK_FEATURES,

@@ -74,21 +74,22 @@ def natural_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "json_roundtrip",
     """
-    SELECT event_id, user_id, event_type, value, CAST(props->>'k' AS DOUBLE) AS k FROM events
+    SELECT event_id, user_id, event_type, ts, value, CAST(props->>'k' AS DOUBLE) AS k FROM events
     """,
 )
 def json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    text = C.to_json_text("event_id", "user_id", "event_type", "value", "props")
+    text = C.to_json_text("event_id", "user_id", "event_type", F.col("ts").cast("string").alias("ts"), "value", "props")
     record = C.from_json_text(
         F.col("text"),
-        "event_id BIGINT, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+        "event_id BIGINT, user_id BIGINT, event_type STRING, ts STRING, value DOUBLE, props STRING",
     )
     return (
         V.table(spark, sf_dir, "events")
         .select(text.alias("text"))
         .select(record.alias("r"))
         .select(
-            "r.event_id", "r.user_id", "r.event_type", "r.value",
+            "r.event_id", "r.user_id", "r.event_type",
+            F.col("r.ts").cast("timestamp_ntz").alias("ts"), "r.value",
             C.from_json_text(F.col("r.props"), "map<string,double>")["k"].alias("k"),
         )
     )

@@ -76,11 +76,11 @@ def group_concat_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     "join_inner_renamed",
     f"""
     SELECT a.id, a.genres, t.artists_id, t."position", t.ranking_date
-    FROM {ARTISTS} a JOIN {TRACKS} t ON a.id = t.artists_id
+    FROM (SELECT DISTINCT id, genres FROM {ARTISTS}) a JOIN {TRACKS} t ON a.id = t.artists_id
     """,
 )
 def join_inner_renamed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    artists = V.flat_artists(spark, sf_dir).select("id", "genres")
+    artists = distinct_projection(V.flat_artists(spark, sf_dir), ["id", "genres"])
     places = V.flat_tracks(spark, sf_dir).select("artists_id", "position", "ranking_date")
     return inner_renamed(artists, places, "id", "artists_id")
 
@@ -130,14 +130,12 @@ def anti_join_three_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "latest_by_key",
     """
-    SELECT event_id, user_id, event_type, ts, value FROM events
+    SELECT event_id, user_id, event_type, ts, value, props FROM events
     QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1
     """,
 )
 def latest_by_key_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = V.table(spark, sf_dir, "events").select(
-        "event_id", "user_id", "event_type", "ts", "value"
-    )
+    events = V.table(spark, sf_dir, "events")
     return latest_by_key(events, ["user_id", "event_type"], ["ts", "event_id"])
 
 
@@ -175,6 +173,86 @@ def enrich_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_NULL_TRACKS = f"""
+    SELECT CASE WHEN id % 7 <> 0 THEN id END AS id, "position",
+           CASE WHEN id % 5 <> 0 THEN ranking_date END AS ranking_date, artists_id FROM {TRACKS}
+"""
+
+
+def _null_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chart places of which some have no day and some no track."""
+    return V.flat_tracks(spark, sf_dir).select(
+        F.when(F.col("id") % 7 != 0, F.col("id")).alias("id"),
+        "position",
+        F.when(F.col("id") % 5 != 0, F.col("ranking_date")).alias("ranking_date"),
+        "artists_id",
+    )
+
+
+@query(
+    "anti_join_null_keys",
+    f"""
+    WITH t AS ({_NULL_TRACKS})
+    SELECT * FROM t WHERE NOT EXISTS
+        (SELECT 1 FROM t o WHERE o."position" <= 4 AND o."position" = t."position"
+         AND o.ranking_date = t.ranking_date)
+    """,
+)
+def anti_join_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tracks = _null_tracks(spark, sf_dir)
+    return unseen(tracks, tracks.filter("position <= 4"), ["position", "ranking_date"])
+
+
+@query(
+    "anti_join_null_safe",
+    f"""
+    WITH t AS ({_NULL_TRACKS})
+    SELECT * FROM t WHERE NOT EXISTS
+        (SELECT 1 FROM t o WHERE o."position" <= 4 AND o."position" = t."position"
+         AND o.ranking_date IS NOT DISTINCT FROM t.ranking_date)
+    """,
+)
+def anti_join_null_safe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tracks = _null_tracks(spark, sf_dir)
+    return unseen(
+        tracks, tracks.filter("position <= 4"), ["position", "ranking_date"], null_safe=True
+    )
+
+
+@query(
+    "join_null_keys",
+    f"""
+    WITH t AS ({_NULL_TRACKS})
+    SELECT t.id, t."position", t.ranking_date, f.features_id, f.energy
+    FROM t JOIN (SELECT CASE WHEN id % 3 <> 0 THEN id END AS features_id, energy FROM {FEATURES}) f
+      ON t.id = f.features_id
+    """,
+)
+def join_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    features = V.flat_features(spark, sf_dir).select(
+        F.when(F.col("id") % 3 != 0, F.col("id")).alias("features_id"), "energy"
+    )
+    places = _null_tracks(spark, sf_dir).select("id", "position", "ranking_date")
+    return inner_renamed(places, features, "id", "features_id")
+
+
+@query(
+    "latest_by_key_null_keys",
+    """
+    WITH e AS (SELECT * REPLACE (CASE WHEN user_id % 10 <> 0 THEN user_id END AS user_id) FROM events)
+    SELECT * FROM e WHERE user_id IS NOT NULL
+    QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1
+    UNION ALL
+    SELECT * FROM e WHERE user_id IS NULL
+    """,
+)
+def latest_by_key_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = V.table(spark, sf_dir, "events").withColumn(
+        "user_id", F.when(F.col("user_id") % 10 != 0, F.col("user_id"))
+    )
+    return latest_by_key(events, ["user_id", "event_type"], ["ts", "event_id"])
+
+
 # --- marts -------------------------------------------------------------------
 
 

@@ -6,7 +6,9 @@ shared folder, and returns what is read back.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chartlake.plans import extras, landing, marts, refine
@@ -21,21 +23,32 @@ from chartlake.registry.relational_queries import (
     f_ranking_sql,
     f_track_statistics_sql,
 )
-from chartlake.schemas import DAY, DIM_ARTIST, DIM_TRACK, RAW_ARTISTS, RAW_TRACKS, TRACK_FEATURES
+from chartlake.schemas import (
+    DAY,
+    DIM_ARTIST,
+    DIM_TRACK,
+    RAW_ARTISTS,
+    RAW_TRACKS,
+    SNAPSHOT_DAILY,
+    SNAPSHOT_HISTORY,
+    TRACK_FEATURES,
+)
 from chartlake.sinks.catalog import register_exports
 from chartlake.sinks.incremental import incremental_append
-from chartlake.sinks.preview import preview_rows
+from chartlake.sinks.preview import preview_rows, preview_schema
 from chartlake.sinks.staging import new_path, staged
 from chartlake.sinks.writers import append_parquet, overwrite_parquet, write_json
 from chartlake.sources.readers import read_json, read_parquet
 
-_ORDER = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"]
+_ORDER = [
+    "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority",
+]
 _ORDERS_SQL = f"SELECT {_names(_ORDER)} FROM orders"
 _BY_DAY_SQL = f"""
-    SELECT {_names(_ORDER)}, CAST(date_trunc('month', o_orderdate) AS DATE) AS ranking_date
+    SELECT {_names(_ORDER)}, CAST(o_orderdate AS DATE) AS ranking_date
     FROM orders
 """
-TRACKS = f"({V.MONTHLY_TRACKS_SQL})"
+TRACKS = f"({V.FLAT_TRACKS_SQL})"
 
 
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,7 +57,7 @@ def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _orders_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return V.table(spark, sf_dir, "orders").select(
-        *_ORDER, F.trunc("o_orderdate", "month").alias(DAY)
+        *_ORDER, F.col("o_orderdate").cast("date").alias(DAY)
     )
 
 
@@ -94,9 +107,13 @@ def scan_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.withColumn("l_shipdate", F.col("l_shipdate").cast("date"))
 
 
-@query("scan_parquet_schema", "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem")
+@query("scan_parquet_schema", "SELECT * FROM lineitem")
 def scan_parquet_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = "l_orderkey BIGINT, l_linenumber INT, l_quantity DOUBLE"
+    schema = """
+        l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE,
+        l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING,
+        l_linestatus STRING, l_shipdate TIMESTAMP_NTZ
+    """
     return read_parquet(spark, f"{sf_dir}/lineitem.parquet", schema)
 
 
@@ -152,6 +169,19 @@ def preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preview_rows(_orders(spark, sf_dir), 20, order_by=["o_orderkey"])
 
 
+@query(
+    "preview_schema",
+    """
+    SELECT CAST(column_index + 1 AS INTEGER) AS place, column_name AS "name",
+           CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'VARCHAR' THEN 'string'
+                WHEN 'DOUBLE' THEN 'double' WHEN 'INTEGER' THEN 'int' ELSE 'timestamp_ntz' END AS "type"
+    FROM duckdb_columns() WHERE table_name = 'lineitem'
+    """,
+)
+def preview_schema_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return preview_schema(V.table(spark, sf_dir, "lineitem"))
+
+
 _FIRST_LOAD = f"ranking_date < DATE '{CUT}' AND \"position\" <= 4"
 
 
@@ -169,8 +199,9 @@ _FIRST_LOAD = f"ranking_date < DATE '{CUT}' AND \"position\" <= 4"
 def incremental_append_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A first load, then everything, then everything once more: the last adds nothing."""
     path = new_path(spark, "incremental")
-    tracks = V.flat_tracks(spark, sf_dir, monthly=True).select(
-        "id", "position", "ranking_date", "artists_id"
+    tracks = staged(
+        V.flat_tracks(spark, sf_dir).select("id", "position", "ranking_date", "artists_id"),
+        "places",
     )
     for batch in (tracks.filter(_FIRST_LOAD.replace('"', "")), tracks, tracks):
         incremental_append(batch, path, ["position", "ranking_date"], partition_by=DAY)
@@ -195,7 +226,7 @@ def catalog_register(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write and register all exports, then count their rows through the catalog."""
     root = new_path(spark, "exports")
     artists = staged(V.flat_artists(spark, sf_dir), "ref-artists")
-    tracks = staged(V.flat_tracks(spark, sf_dir, monthly=True), "ref-tracks")
+    tracks = staged(V.flat_tracks(spark, sf_dir), "ref-tracks")
     features = V.flat_features(spark, sf_dir)
     overwrite_parquet(marts.dim_artist(artists), f"{root}/dim_artist")
     overwrite_parquet(marts.dim_track(tracks), f"{root}/dim_track")
@@ -213,6 +244,52 @@ def catalog_register(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(" UNION ALL ".join(counts))
 
 
+FACTS = {
+    "f_artist": f_artist_sql, "f_ranking": f_ranking_sql, "f_track_statistics": f_track_statistics_sql,
+}
+
+
+def _loads(spark: SparkSession, sf_dir: str, load: Callable[[DataFrame, str], None]) -> DataFrame:
+    """Some chart places first, then all, then all once more; the last load adds nothing."""
+    path = new_path(spark, "fact")
+    tracks = staged(V.flat_tracks(spark, sf_dir), "ref-tracks")
+    for part in (tracks.filter(_FIRST_LOAD.replace('"', "")), tracks, tracks):
+        load(part, path)
+    return read_parquet(spark, path)
+
+
+def _twice_sql(fact: str) -> str:
+    """The places of the early load as they were then, the others as they are now."""
+    early = f"(SELECT * FROM {TRACKS} WHERE {_FIRST_LOAD})"
+    same = 'h."position" = n."position" AND h.ranking_date = n.ranking_date'
+    return f"""
+    WITH held AS ({FACTS[fact](early)}), now AS ({FACTS[fact](TRACKS)})
+    SELECT * FROM held
+    UNION ALL
+    SELECT n.* FROM now n WHERE NOT EXISTS
+        (SELECT 1 FROM held h WHERE {same}{" AND h.id = n.id" if fact == "f_artist" else ""})
+    """
+
+
+@query("load_f_artist", _twice_sql("f_artist"))
+def load_f_artist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    artists = staged(V.flat_artists(spark, sf_dir), "ref-artists")
+    return _loads(spark, sf_dir, lambda tracks, path: marts.load_f_artist(artists, tracks, path))
+
+
+@query("load_f_ranking", _twice_sql("f_ranking"))
+def load_f_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _loads(spark, sf_dir, marts.load_f_ranking)
+
+
+@query("load_f_track_statistics", _twice_sql("f_track_statistics"))
+def load_f_track_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    features = V.flat_features(spark, sf_dir)
+    return _loads(
+        spark, sf_dir, lambda tracks, path: marts.load_f_track_statistics(tracks, features, path)
+    )
+
+
 # --- loads -------------------------------------------------------------------
 
 
@@ -275,6 +352,16 @@ def ref_tracks_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- landing -----------------------------------------------------------------
 
 
+_SNAPSHOT_KEYS = "l_orderkey BIGINT, l_linenumber INT, l_partkey BIGINT, l_suppkey BIGINT"
+
+
+def _through_json(spark: SparkSession, snapshots: DataFrame, schema: str) -> DataFrame:
+    """The snapshots as the jobs find them: JSON documents, read with their fixed schema."""
+    path = new_path(spark, "snapshots")
+    write_json(snapshots, path)
+    return read_json(spark, path, schema)
+
+
 def _land(
     spark: SparkSession, sf_dir: str, entries: DataFrame, order: list[str]
 ) -> DataFrame:
@@ -289,21 +376,20 @@ def _land(
     )
     landing.write_landed(landed, root, "1")
 
-    def read(kind: str, schema: str) -> DataFrame:
-        return landing.read_landed(spark, root, kind, schema)
-
-    tracks = read("tracks", RAW_TRACKS).select(
-        landing.tracks_key(F.col("date_ranking"), F.col("position")).alias("landed_key"),
-        "id",
-        "name",
+    def read(kind: str, schema: str, key: Column, name: str, number: str) -> DataFrame:
+        return landing.read_landed(spark, root, kind, schema).select(
+            key.alias("landed_key"), "id", F.col(name).alias("name"), "uri",
+            F.col(number).cast("bigint").alias("number"),
+        )
+
+    by_place = landing.tracks_key(F.col("date_ranking"), F.col("position"))
+    tracks = read("tracks", RAW_TRACKS, by_place, "name", "popularity")
+    features = read(
+        "tracks_features", TRACK_FEATURES, landing.record_key("tracks_features", F.col("id")),
+        "analysis_url", "duration_ms",
     )
-    features = read("tracks_features", TRACK_FEATURES).select(
-        landing.record_key("tracks_features", F.col("id")).alias("landed_key"),
-        "id",
-        F.col("analysis_url").alias("name"),
-    )
-    artists = read("artists", RAW_ARTISTS).select(
-        landing.record_key("artists", F.col("id")).alias("landed_key"), "id", "name"
+    artists = read(
+        "artists", RAW_ARTISTS, landing.record_key("artists", F.col("id")), "name", "popularity"
     )
     return tracks.unionByName(features).unionByName(artists)
 
@@ -317,14 +403,16 @@ def _landed_sql(entries: str, order: str) -> str:
                      l_orderkey DESC, l_linenumber DESC, l_partkey DESC, l_suppkey DESC,
                      CAST(track AS VARCHAR) DESC) = 1)
     SELECT 'tracks/musica' || "day" || "position" || '.json' AS landed_key,
-           CAST(track AS VARCHAR) AS id, 'Track ' || track AS "name"
+           CAST(track AS VARCHAR) AS id, 'Track ' || track AS "name",
+           'chart:track:' || track AS uri, CAST(o_custkey % 100 AS BIGINT) AS number
     FROM placed
     UNION ALL
     SELECT DISTINCT 'tracks_features/' || track || '.json', CAST(track AS VARCHAR),
-           '{V.SITE}/analysis/' || track
+           '{V.SITE}/analysis/' || track, 'chart:track:' || track, CAST(o_custkey * 10 AS BIGINT)
     FROM known WHERE o_orderpriority <> '5-LOW'
     UNION ALL
-    SELECT DISTINCT 'artists/C' || c_custkey || '.json', 'C' || c_custkey, c_name
+    SELECT DISTINCT 'artists/C' || c_custkey || '.json', 'C' || c_custkey, c_name,
+           'chart:artist:C' || c_custkey, CAST(c_nationkey AS BIGINT)
     FROM known, (VALUES (0), (1)) AS artist(n), customer
     WHERE (artist.n = 0 OR o_orderstatus = 'P') AND c_custkey = o_custkey + artist.n
     """
@@ -338,7 +426,7 @@ _LISTED = "CASE item.n WHEN 1 THEN l_orderkey WHEN 2 THEN l_partkey ELSE l_suppk
     _landed_sql(
         f"""
         SELECT lineitem.*, {_LISTED},
-               date_trunc('month', l_shipdate) + to_hours(l_linenumber) AS taken_at,
+               l_shipdate + to_hours(l_linenumber) AS taken_at,
                strftime(taken_at, '%Y-%m-%d') AS "day",
                CASE WHEN item.n = 3 AND l_returnflag = 'R' THEN 4 ELSE item.n END AS "position"
         FROM lineitem, (VALUES (1), (2), (3)) AS item(n)
@@ -347,7 +435,12 @@ _LISTED = "CASE item.n WHEN 1 THEN l_orderkey WHEN 2 THEN l_partkey ELSE l_suppk
     ),
 )
 def land_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    entries = landing.daily_entries(V.daily_snapshots(spark, sf_dir), "taken_at")
+    snapshots = _through_json(
+        spark,
+        V.daily_snapshots(spark, sf_dir),
+        f"{SNAPSHOT_DAILY}, {_SNAPSHOT_KEYS}, taken_at TIMESTAMP_NTZ",
+    )
+    entries = landing.daily_entries(snapshots, "taken_at")
     return _land(spark, sf_dir, entries, ["taken_at", *V.SNAPSHOT_ORDER])
 
 
@@ -359,7 +452,7 @@ HISTORY_RANGES = [("1990-01-01", "1996-12-31"), ("1997-02-01", "2010-12-31")]
     _landed_sql(
         f"""
         SELECT lineitem.*, {_LISTED}, item.n AS "position",
-               strftime(date_trunc('month', l_shipdate) + to_days(CASE item.n WHEN 1 THEN 0 WHEN 2 THEN l_linenumber
+               strftime(l_shipdate + to_days(CASE item.n WHEN 1 THEN 0 WHEN 2 THEN l_linenumber
                                              ELSE 2 END), '%Y-%m-%d') AS "day"
         FROM lineitem, (VALUES (1), (2), (3)) AS item(n)
         WHERE """
@@ -370,8 +463,11 @@ HISTORY_RANGES = [("1990-01-01", "1996-12-31"), ("1997-02-01", "2010-12-31")]
     ),
 )
 def land_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    snapshots = landing.in_ranges(
-        V.history_snapshots(spark, sf_dir), "snapshot_day", HISTORY_RANGES
+    archived = _through_json(
+        spark,
+        V.history_snapshots(spark, sf_dir),
+        f"{SNAPSHOT_HISTORY}, {_SNAPSHOT_KEYS}, snapshot_day TIMESTAMP_NTZ",
     )
+    snapshots = landing.in_ranges(archived, "snapshot_day", HISTORY_RANGES)
     entries = landing.history_entries(snapshots)
     return _land(spark, sf_dir, entries, ["snapshot_day", *V.SNAPSHOT_ORDER])

@@ -4,9 +4,6 @@ A line is a chart entry: its order is the track, its supplier the artist, the or
 date the day. Nested documents are built row by row, with ``array`` and ``struct``,
 so that no group of rows is ever collected into one. The ``*_SQL`` texts give the
 same rows to the SQL checks; they never build arrays.
-
-The given orders spread over some 2,400 days. Queries that write one folder per day
-take the first of the month as the chart day, which leaves about 80 folders.
 """
 
 from __future__ import annotations
@@ -47,13 +44,12 @@ ENTRIES_SQL = """
 # --- flat tables -------------------------------------------------------------
 
 
-def flat_tracks(spark: SparkSession, sf_dir: str, monthly: bool = False) -> DataFrame:
+def flat_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("l_orderkey")
-    day = F.trunc("o_orderdate", "month") if monthly else F.col("o_orderdate").cast("date")
     return entries(spark, sf_dir).select(
         key.alias("id"),
         F.col("l_linenumber").alias("position"),
-        day.alias("ranking_date"),
+        F.col("o_orderdate").cast("date").alias("ranking_date"),
         F.col("l_suppkey").alias("artists_id"),
         F.col("s_name").alias("artists_name"),
         F.col("o_orderpriority").alias("album_name"),
@@ -81,13 +77,10 @@ FLAT_TRACKS_SQL = f"""
            'track' AS "type", 'chart:track:' || l_orderkey AS uri
     FROM {ENTRIES_SQL}
 """
-MONTHLY_TRACKS_SQL = FLAT_TRACKS_SQL.replace(
-    "CAST(o_orderdate AS DATE)", "CAST(date_trunc('month', o_orderdate) AS DATE)"
-)
 
 
 def flat_artists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem").filter("l_discount >= 0.095 AND l_quantity >= 45")
+    lines = table(spark, sf_dir, "lineitem")
     suppliers = table(spark, sf_dir, "supplier")
     parts = table(spark, sf_dir, "part")
     key = F.col("s_suppkey")
@@ -112,7 +105,6 @@ FLAT_ARTISTS_SQL = f"""
            '{SITE}/artists/' || s_suppkey AS href, s_nationkey AS popularity,
            'artist' AS "type", 'chart:artist:' || s_suppkey AS uri
     FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN part ON l_partkey = p_partkey
-    WHERE l_discount >= 0.095 AND l_quantity >= 45
 """
 
 
@@ -209,7 +201,6 @@ def track_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     Lines numbered 7 carry a day that does not exist.
     """
     quantity = F.col("l_quantity")
-    month = F.date_format(F.trunc("o_orderdate", "month"), "yyyy-MM-dd")
     artists = F.array_compact(
         F.array(
             _artist_struct(_text("S", F.col("l_suppkey")), F.col("s_name")),
@@ -232,7 +223,7 @@ def track_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
         _album_struct().alias("album"),
         F.when(F.col("l_tax") > 0, artists).alias("artists"),
         markets.alias("available_markets"),
-        F.when(F.col("l_linenumber") == 7, "2022-13-40").otherwise(month).alias("date_ranking"),
+        F.when(F.col("l_linenumber") == 7, "2022-13-40").otherwise(_order_day()).alias("date_ranking"),
         *_track_fields(F.col("l_orderkey")),
         F.col("l_linenumber").cast("bigint").alias("position"),
         F.col("l_linenumber").cast("bigint").alias("track_number"),
@@ -260,7 +251,7 @@ TRACK_DOCS_SQL = f"""
            CAST(l_linenumber AS BIGINT) AS "position",
            CAST(l_linenumber AS BIGINT) AS track_number,
            CASE WHEN l_linenumber <> 7
-                THEN CAST(date_trunc('month', o_orderdate) AS DATE) END AS ranking_date,
+                THEN CAST(o_orderdate AS DATE) END AS ranking_date,
            l_quantity, l_returnflag, l_linestatus, l_tax, l_suppkey, s_name, o_custkey,
            o_orderstatus
     FROM {ENTRIES_SQL}
@@ -429,10 +420,6 @@ def lookup_artists(spark: SparkSession, sf_dir: str) -> DataFrame:
 SNAPSHOT_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 
 
-def _ship_month() -> Column:
-    return F.trunc("l_shipdate", "month").cast("timestamp_ntz")
-
-
 def daily_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One snapshot per line, listing three tracks and sometimes one that is unknown."""
 
@@ -441,7 +428,7 @@ def daily_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return table(spark, sf_dir, "lineitem").select(
         *SNAPSHOT_ORDER,
-        (_ship_month() + F.make_dt_interval(hours=F.col("l_linenumber"))).alias("taken_at"),
+        (F.col("l_shipdate") + F.make_dt_interval(hours=F.col("l_linenumber"))).alias("taken_at"),
         F.array_compact(
             F.array(
                 item(F.col("l_orderkey")),
@@ -457,7 +444,7 @@ def history_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One archived snapshot per line; its tracks were added on or after its day."""
 
     def entry(track_id: Column, days: Column) -> Column:
-        added = F.date_add(F.trunc("l_shipdate", "month"), days)
+        added = F.date_add(F.col("l_shipdate").cast("date"), days)
         return F.struct(
             _text(f"{SITE}/track/", track_id, "?si=", F.col("l_linenumber")).alias("url"),
             _text(F.date_format(added, "yyyy-MM-dd"), "T05:00:00Z").alias("added_at"),

@@ -53,6 +53,19 @@ TRACK_FEATURES = """
 SNAPSHOT_DAILY = "items ARRAY<STRUCT<track: STRUCT<id: STRING>>>"
 SNAPSHOT_HISTORY = "tracks ARRAY<STRUCT<url: STRING, added_at: STRING>>"
 
+# Columns of the flat tables, in order.
+REF_ARTISTS = [
+    "external_urls.spotify", "followers.total", "genres", "href", "id",
+    "images.height", "images.url", "images.width", "name", "popularity", "type", "uri",
+]
+ALBUM_FIELDS = ["href", "id", "name", "release_date", "total_tracks", "uri"]
+ARTIST_FIELDS = ["href", "id", "name", "type", "uri"]
+REF_TRACKS_OWN = [
+    "disc_number", "duration_ms", "explicit", "external_ids.isrc", "external_urls.spotify",
+    "href", "id", "is_local", "name", "popularity", "preview_url",
+    "track_number", "type", "uri", "position",
+]
+
 # Columns of the exported tables.
 DIM_ARTIST = ["href", "id", "name", "popularity", "type", "uri"]
 DIM_TRACK = [
@@ -75,7 +88,7 @@ KEYS = {
     "exp/f_ranking": ["position", "ranking_date"],
     "exp/f_track_statistics": ["position", "ranking_date"],
 }
-# Keys under which landed documents replace each other.
+# Keys under which landed documents replace each other, and the exports.
 LANDED_KEYS = {
     "tracks": ["date_ranking", "position"],
     "tracks_features": ["id"],

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import SparkSession
 
 from chartlake.schemas import EXPORTS
-from chartlake.sources.readers import partition_values, read_parquet
+from chartlake.sources.readers import partition_columns, read_parquet, root_paths
 
 
 def register_table(
@@ -17,17 +17,28 @@ def register_table(
 
     Files with different but compatible columns are merged into one schema. The
     partitions are recovered as well: without that the table would be empty.
-    Dropping or re-registering the table never touches the files.
+    Dropping or re-registering the table never touches the files. A table that is
+    registered with the same columns and place stays, and only its partitions are renewed.
     """
     files = read_parquet(spark, path, merge_schema=True)
     table = f"`{database}`.`{name}`"
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in files.schema.fields)
     partitioned = f"PARTITIONED BY (`{partition_by}`)" if partition_by else ""
     escaped = path.replace("\\", "\\\\").replace("'", "\\'")
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet {partitioned} LOCATION '{escaped}'")
+    if not _registered(spark, database, name, files.dtypes, path):
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet {partitioned} LOCATION '{escaped}'")
     if partition_by:
         spark.sql(f"MSCK REPAIR TABLE {table}")
+    spark.catalog.refreshTable(table)
+
+
+def _registered(spark: SparkSession, database: str, name: str, columns: list, path: str) -> bool:
+    if not spark.catalog.tableExists(f"`{database}`.`{name}`"):
+        return False
+    table = spark.table(f"`{database}`.`{name}`")
+    here = [p.removeprefix("file:").rstrip("/") for p in root_paths(table)]
+    return sorted(table.dtypes) == sorted(columns) and here == [path.removeprefix("file:").rstrip("/")]
 
 
 def register_exports(
@@ -43,6 +54,6 @@ def register_exports(
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` {location}")
     for name in names:
         path = f"{root}/{name}"
-        laid_out = partition_values(read_parquet(spark, path), partition_by) is not None
+        laid_out = partition_by in partition_columns(read_parquet(spark, path))
         register_table(spark, database, name, path, partition_by if laid_out else None)
     return [f"{database}.{name}" for name in names]

@@ -7,7 +7,6 @@ both find a key missing and both write it.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,16 +15,12 @@ from chartlake.operators.joins import unseen
 from chartlake.sinks.writers import append_parquet, overwrite_parquet
 from chartlake.sources.readers import read_parquet_if_exists
 
-# Ten years. With more days than this in a batch the target is not pruned.
-MAX_LISTED_DAYS = 3660
-
-
 def incremental_append(
     batch: DataFrame,
     path: str,
     keys: Sequence[str],
     partition_by: str | None = None,
-    days: Sequence[str | None] | None = None,
+    days: DataFrame | None = None,
     null_safe: bool = False,
     schema: str | None = None,
     finish: Callable[[DataFrame], DataFrame] | None = None,
@@ -36,10 +31,10 @@ def incremental_append(
     The first write wins: a key that is there is neither changed nor added to. Copies
     within the batch all stay. Only the key columns of the target are read.
 
-    ``days`` names the partition values the batch can contain, if the caller knows
-    them cheaply (see ``days_in`` and ``partition_values``); the other partitions of
-    the target are then not read. Too many names cost reading, a missing one repeats
-    rows.
+    With ``partition_by`` only the partitions of the target from the first to the last
+    value in the batch are read. ``days`` is a frame with that column alone from which
+    these two bounds are cheaper to get than from the batch; it must hold every value of
+    the batch. However many days there are, one row reaches the driver.
 
     ``finish`` is applied to the unseen rows before they are written. Work that
     multiplies rows and keeps the key columns belongs there, because then it is done
@@ -47,8 +42,8 @@ def incremental_append(
     """
     target = read_parquet_if_exists(batch.sparkSession, path, schema)
     if target is not None:
-        if partition_by and days and len(days) <= MAX_LISTED_DAYS:
-            target = target.filter(_in_days(partition_by, days, null_safe))
+        if partition_by in keys:
+            target = within_days(target, days if days is not None else batch, partition_by, null_safe)
         batch = unseen(batch, target, keys, null_safe)
     rows = finish(batch) if finish else batch
     if target is None and not partition_by:
@@ -57,29 +52,17 @@ def incremental_append(
         append_parquet(rows, path, partition_by, rebalance)
 
 
-def days_in(df: DataFrame, column: str) -> list[str | None] | None:
-    """The days of a table that is partitioned by, or stores, ``column``.
-
-    Reads that column only, and returns ``None`` beyond ``MAX_LISTED_DAYS``.
-    """
-    listed = df.select(F.col(column).cast("string")).distinct().limit(MAX_LISTED_DAYS + 1)
-    days = [row[0] for row in listed.collect()]
-    return days if len(days) <= MAX_LISTED_DAYS else None
-
-
-def _in_days(column: str, days: Sequence[str | None], null_safe: bool):
-    """A filter on the partition column that keeps every one of ``days``.
+def within_days(target: DataFrame, days: DataFrame, column: str, null_safe: bool = False) -> DataFrame:
+    """The rows of ``target`` whose ``column`` lies between the bounds of ``days``.
 
-    Text that is not a day became a null in the batch, so it is treated as null.
+    The bounds become filters on the target's partitions. Values in between that the batch
+    does not hold are dropped by a semi-join, which prunes further at run time where the
+    batch has a selective filter of its own.
     """
-    known = sorted({d for d in map(_day, days) if d is not None})
+    low, high = days.agg(F.min(column), F.max(column)).first()
     day = F.col(column)
-    wanted = day.isin(known) if known else F.lit(False)
-    return wanted | day.isNull() if null_safe else wanted
-
-
-def _day(text: str | None) -> date | None:
-    try:
-        return date.fromisoformat(text) if text else None
-    except ValueError:
-        return None
+    if low is None:
+        return target.filter(day.isNull() if null_safe else F.lit(False))
+    known = target.filter(day.between(F.lit(low), F.lit(high)))
+    known = known.join(days.select(column).distinct(), column, "left_semi").select(*target.columns)
+    return known.unionByName(target.filter(day.isNull())) if null_safe else known

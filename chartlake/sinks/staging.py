@@ -6,26 +6,22 @@ the copy survives lost executors, and later readers get column pruning on it.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
+WAREHOUSE = "spark.sql.warehouse.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 
-    Only a local session, where the driver is the sole machine, gets a temporary
-    folder of its own if the setting is missing.
+    Where that is unset it is ``_staging`` under ``spark.sql.warehouse.dir``, the folder
+    that Spark's own tables share.
     """
     folder = spark.conf.get(SETTING, None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {SETTING} to a folder that all executors can reach")
-    return tempfile.mkdtemp(prefix="chartlake-")
+    return folder.rstrip("/") if folder else f"{spark.conf.get(WAREHOUSE).rstrip('/')}/_staging"
 
 
 def new_path(spark: SparkSession, name: str) -> str:

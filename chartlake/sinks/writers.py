@@ -12,6 +12,8 @@ from urllib.parse import unquote, urlsplit
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from chartlake.sources.readers import root_paths
+
 
 class OverwriteOfInputError(ValueError):
     """The target of an overwrite is also read by the frame to be written."""
@@ -56,12 +58,13 @@ def _write(
 
 
 def reads_from(df: DataFrame, path: str) -> bool:
-    """Whether any file ``df`` reads lies under ``path``."""
+    """Whether ``df`` scans ``path``, something under it, or a folder that holds it."""
     target = _parts(path)
-    for file in df.inputFiles():
-        scheme, host, name = _parts(file)
+    for root in root_paths(df):
+        scheme, host, name = _parts(root)
         same_store = not target[0] or not scheme or (scheme, host) == target[:2]
-        if same_store and (name + "/").startswith(target[2] + "/"):
+        inside = (name + "/").startswith(target[2] + "/") or (target[2] + "/").startswith(name + "/")
+        if same_store and inside:
             return True
     return False
 

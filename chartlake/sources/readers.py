@@ -2,14 +2,9 @@
 
 from __future__ import annotations
 
-import re
-from urllib.parse import unquote
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
-_HIVE_NULL = "__HIVE_DEFAULT_PARTITION__"
-
 
 def read_json(
     spark: SparkSession, path: str, schema: str | None = None, multi_line: bool = False
@@ -66,14 +61,23 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return read_parquet_if_exists(spark, path) is not None
 
 
-def partition_values(df: DataFrame, column: str) -> list[str | None] | None:
-    """Values of a partition column, read off the file listing without any scan.
+def file_relations(df: DataFrame) -> list:
+    """The file-based tables that ``df`` reads, as the planner sees them.
 
-    Meant for text formats, where even a query for the partition column alone reads
-    the files. ``None`` if the files are not laid out by that column.
+    Taken from the plan, so no file is listed on the Python side.
     """
-    pattern = re.compile(rf"/{re.escape(column)}=([^/]*)/")
-    found = {m.group(1) for m in map(pattern.search, df.inputFiles()) if m}
-    if not found:
-        return None
-    return sorted((None if v == _HIVE_NULL else unquote(v) for v in found), key=lambda v: v or "")
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    found = [leaves.apply(i) for i in range(leaves.size())]
+    scans = [leaf.relation() for leaf in found if leaf.getClass().getSimpleName() == "LogicalRelation"]
+    return [scan for scan in scans if scan.getClass().getSimpleName() == "HadoopFsRelation"]
+
+
+def root_paths(df: DataFrame) -> list[str]:
+    """The folders and files that the scans of ``df`` were pointed at."""
+    paths = [relation.location().rootPaths() for relation in file_relations(df)]
+    return [own.apply(i).toString() for own in paths for i in range(own.size())]
+
+
+def partition_columns(df: DataFrame) -> list[str]:
+    """The columns by whose folders the tables under ``df`` are laid out."""
+    return [name for relation in file_relations(df) for name in relation.partitionSchema().fieldNames()]

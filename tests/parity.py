@@ -68,7 +68,8 @@ def main() -> None:
     spark = build_session(
         "parity", "local[8]", 8,
         {"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
-         "spark.driver.memory": "12g"},
+         "spark.driver.memory": "12g",
+         "spark.checkpoint.dir": os.environ.get("PARITY_SHARED_DIR", "/tmp/chartlake-parity")},
     )
     spark.sparkContext.setLogLevel("ERROR")
     connection, failed = connect(sf_dir), 0

@@ -31,6 +31,11 @@ def archived(*pairs):
     return {"tracks": [{"url": f"https://x/track/{i}?si=1", "added_at": at} for i, at in pairs]}
 
 
+def take(tmp_path, run, *ids):
+    """The snapshot that the daily run of this name takes; earlier ones stay."""
+    write_one_per_file(tmp_path / "snapshots" / "daily" / f"taken={run}", [daily(*ids)])
+
+
 @pytest.fixture
 def root(spark, tmp_path):
     for kind, documents, schema in (
@@ -40,7 +45,7 @@ def root(spark, tmp_path):
     ):
         docs = read_json(spark, write_lines(tmp_path / "docs" / kind, documents), schema)
         docs.drop("position", "date_ranking").write.parquet(str(tmp_path / "lookup" / kind))
-    write_one_per_file(tmp_path / "snapshots" / "daily", [daily("t2", "t1", "gone", "t1")])
+    take(tmp_path, "2022-04-01T235959", "t2", "t1", "gone", "t1")
     return str(tmp_path)
 
 
@@ -70,8 +75,10 @@ def test_daily_lake(spark, root, tmp_path):
     assert spark.table("tracks.dim_track").count() == 2
 
     before = {n: spark.table(f"tracks.{n}").count() for n in ("f_ranking", "f_artist")}
-    write_one_per_file(tmp_path / "snapshots" / "daily", [daily("t3")])
+    take(tmp_path, "2022-04-02T000001", "t3")
     jobs.land_daily(spark, root, "2022-04-02 00:00:01")
+    second = landing.landed_documents(spark, f"{root}/raw", "tracks", RAW_TRACKS, ["2022-04-02T000001"])
+    assert rows(second, "date_ranking", "position", "id") == [("2022-04-02", 1, "t3")]
     later = {
         "ref_artists": {"runs": ["2022-04-02T000001"]},
         "ref_tracks": {"runs": ["2022-04-02T000001"]},
@@ -88,8 +95,9 @@ def test_daily_lake(spark, root, tmp_path):
 
 
 def test_a_later_run_replaces_the_document_of_a_key(spark, root, tmp_path):
+    take(tmp_path, "2022-04-01T100000", "t2", "t1", "gone", "t1")
     jobs.land_daily(spark, root, "2022-04-01 10:00:00")
-    write_one_per_file(tmp_path / "snapshots" / "daily", [daily("t3")])
+    take(tmp_path, "2022-04-01T110000", "t3")
     jobs.land_daily(spark, root, "2022-04-01 11:00:00")
     landed = landing.read_landed(spark, f"{root}/raw", "tracks", RAW_TRACKS)
     assert rows(landed, "position", "id") == [(1, "t3"), (2, "t1"), (4, "t1")]
@@ -100,8 +108,9 @@ def test_a_later_run_replaces_the_document_of_a_key(spark, root, tmp_path):
 
 
 def test_refine_uses_the_latest_document_of_a_key(spark, root, tmp_path):
+    take(tmp_path, "2022-04-01T100000", "t2", "t1", "gone", "t1")
     jobs.land_daily(spark, root, "2022-04-01 10:00:00")
-    write_one_per_file(tmp_path / "snapshots" / "daily", [daily("t3")])
+    take(tmp_path, "2022-04-01T110000", "t3")
     jobs.land_daily(spark, root, "2022-04-01 11:00:00")
     jobs.ref_tracks(spark, root)
     table = read_parquet(spark, f"{root}/ref/tracks")
@@ -118,7 +127,8 @@ def test_history(spark, root, tmp_path):
         "2022-10-01": archived(("t3", "2022-04-01T03:00:00Z")),
     }.items():
         write_one_per_file(folder / f"snapshot_day={day}", [snapshot])
-    jobs.land_history(spark, root, "2022-10-02 00:00:00")
+    april = [("2022-04-01", "2022-04-30")]
+    jobs.land_history(spark, root, "2022-10-02 00:00:00", april)
     landed = landing.read_landed(spark, f"{root}/raw", "tracks", RAW_TRACKS)
     # The later snapshot takes the place of the earlier one at (2022-04-01, 1).
     assert rows(landed, "date_ranking", "position", "id") == [
@@ -127,6 +137,35 @@ def test_history(spark, root, tmp_path):
     jobs.land_history(spark, root, "2022-10-03 00:00:00", [("2022-03-31", "2022-03-31")])
     landed = landing.read_landed(spark, f"{root}/raw", "tracks", RAW_TRACKS)
     assert ("2022-03-31", 1, "t3") in rows(landed, "date_ranking", "position", "id")
+    # Without ranges every snapshot counts, and the one of October is the latest.
+    jobs.land_history(spark, root, "2022-10-04 00:00:00")
+    landed = landing.read_landed(spark, f"{root}/raw", "tracks", RAW_TRACKS)
+    assert rows(landed, "date_ranking", "position", "id") == [
+        ("2022-03-30", 2, "t2"), ("2022-03-31", 1, "t3"), ("2022-04-01", 1, "t3"),
+    ]
+
+
+def test_the_later_snapshot_of_a_day_wins(spark, root, tmp_path):
+    folder = tmp_path / "snapshots" / "history" / "snapshot_day=2022-05-01"
+    at = "2022-05-01T00:00:00Z"
+    write_one_per_file(folder, [archived(("t3", at)), archived(("t1", at))])
+    jobs.land_history(spark, root, "2022-05-02 00:00:00")
+    landed = landing.read_landed(spark, f"{root}/raw", "tracks", RAW_TRACKS)
+    assert rows(landed, "position", "id") == [(1, "t1")]
+
+
+def test_null_keys_and_bad_records(spark, root, tmp_path):
+    raw = tmp_path / "raw"
+    nulls = [track("t1", "2022-04-01", None), track("t2", "2022-04-01", None)]
+    write_lines(raw / "tracks" / "run=1", nulls)
+    jobs.ref_tracks(spark, root)
+    table = read_parquet(spark, f"{root}/ref/tracks")
+    assert rows(table.select("id").distinct()) == [("t1",), ("t2",)]
+    (raw / "tracks_features" / "run=1").mkdir(parents=True)
+    (raw / "tracks_features" / "run=1" / "part.json").write_text('{"id": "t1"}\nnot json\n{"mode": 1.0}\n')
+    for _ in range(2):
+        jobs.ref_tracks_features(spark, root)
+    assert rows(read_parquet(spark, f"{root}/ref/tracks_features", TRACK_FEATURES), "id") == [("t1",)]
 
 
 def test_history_prunes_snapshot_folders(spark, root, tmp_path):
@@ -136,9 +175,9 @@ def test_history_prunes_snapshot_folders(spark, root, tmp_path):
     snapshots = spark.read.schema(
         "tracks ARRAY<STRUCT<url: STRING, added_at: STRING>>, snapshot_day DATE"
     ).json(str(folder))
-    wanted = landing.in_ranges(snapshots, "snapshot_day", landing.HISTORY_RANGES)
+    wanted = landing.in_ranges(snapshots, "snapshot_day", [("2022-04-01", "2022-05-31")])
     plan = wanted._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [((" in plan.replace("[(((", "[((")
+    assert "< 2022-06-01)], PushedFilters" in plan and "PartitionFilters: [isnotnull(snapshot_day" in plan
 
 
 def test_command_line(monkeypatch, spark, root, tmp_path):
@@ -158,16 +197,25 @@ def test_command_line(monkeypatch, spark, root, tmp_path):
     assert rows(read_parquet(spark, f"{root}/processing/csv")) == [(1, "x")]
     (tmp_path / "orders").mkdir()
     (tmp_path / "orders" / "day.json").write_text(
-        '{"1001": 301.27, "1002": 433.21, "1003": 502.22}\n'
+        '{"7": 12.5, "8": 30.25, "9": 1.1}\n'
     )
     cli.main(["order_total", "--root", root])
     totals = read_parquet(spark, f"{root}/processing/order_totals")
-    assert totals.first()["total_text"] == "1236.70"
+    assert totals.first()["total_text"] == "43.85"
+    take(tmp_path, "2022-04-01T000000", "t2", "t1", "gone", "t1")
     cli.main(["land_daily", "--root", root, "--run", "2022-04-01 00:00:00"])
-    cli.main(["ref_tracks", "--root", root, "--runs", "2022-04-01T000000"])
+    cli.main(["ref_tracks", "--root", root, "--runs", "2022-04-01T000000", "--dedupe", "--null-safe"])
     cli.main(["f_ranking", "--root", root, "--since", "2022-04-01"])
     assert read_parquet(spark, f"{root}/exp/f_ranking").count() == 3
-    for wrong in (["land_daily"], ["f_ranking", "--runs", "x"], ["dim_track", "--since", "x"]):
+    cli.main(["csv_to_parquet", "--root", root, "--schema", "a STRING, b STRING"])
+    assert rows(read_parquet(spark, f"{root}/processing/csv")) == [("1", "x")]
+    write_one_per_file(
+        tmp_path / "snapshots" / "history" / "snapshot_day=2022-06-01", [archived(("t1", "2022-06-01"))]
+    )
+    cli.main(["land_history", "--root", root, "--run", "2022-07-01 00:00:00", "--ranges", "2022-06-01:2022-06-30"])
+    landed = landing.read_landed(spark, f"{root}/raw", "tracks", RAW_TRACKS)
+    assert ("2022-06-01", 1, "t1") in rows(landed, "date_ranking", "position", "id")
+    for wrong in (["dim_track", "--outer"], ["land_history", "--run", "x", "--ranges", "May"], ["land_daily"], ["f_ranking", "--runs", "x"], ["dim_track", "--since", "x"]):
         with pytest.raises(SystemExit):
             cli.main([*wrong, "--root", root])
 

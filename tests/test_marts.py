@@ -144,29 +144,39 @@ def test_many_copies_of_one_entry_shrink_before_the_shuffle(spark, tmp_path):
     assert "HashAggregate" in plan[plan.index("Exchange hashpartitioning(id"):]
 
 
-def test_load_reads_only_the_days_of_the_batch(spark, tracks, tmp_path):
-    """The anti-join against the target prunes its partitions."""
+def test_only_the_days_of_a_batch_are_read(spark, tracks, tmp_path):
     from chartlake.sinks import incremental
 
     path = str(tmp_path / "fact")
     marts.load_f_ranking(tracks, path)
     target = read_parquet(spark, path)
-    pruned = target.filter(incremental._in_days("ranking_date", ["2022-04-01", "x", None], False))
-    plan = final_plan(pruned.select("position"))
-    assert "PartitionFilters: [isnotnull(ranking_date" in plan.replace("(1) ", "")
-    assert {r[0] for r in pruned.select("ranking_date").collect()} == {D1}
-    with_null = target.filter(incremental._in_days("ranking_date", ["2022-04-01"], True))
+    days = spark.createDataFrame([(D1,), (None,)], "ranking_date DATE")
+    known = incremental.within_days(target, days, "ranking_date")
+    plan = known.select("position")._jdf.queryExecution().executedPlan().toString()
+    scan = next(line for line in plan.splitlines() if "PartitionFilters" in line)
+    assert ">= 2022-04-01" in scan and "<= 2022-04-01" in scan
+    assert {r[0] for r in known.select("ranking_date").collect()} == {D1}
+    with_null = incremental.within_days(target, days, "ranking_date", null_safe=True)
     assert {r[0] for r in with_null.select("ranking_date").collect()} == {D1, None}
+    nothing = incremental.within_days(target, days.filter("ranking_date is null"), "ranking_date")
+    assert nothing.count() == 0
 
 
-def test_days_of_a_table(tracks, monkeypatch):
+def test_any_number_of_days_prunes(spark, tmp_path):
+    """One row with two bounds reaches the driver, however many days the batch has."""
     from chartlake.sinks import incremental
 
-    assert set(incremental.days_in(tracks, "ranking_date")) == {None, "2022-04-01", "2022-04-02"}
-    later = tracks.filter(F.col("ranking_date") >= F.lit("2022-04-02").cast("date"))
-    assert incremental.days_in(later, "ranking_date") == ["2022-04-02"]
-    monkeypatch.setattr(incremental, "MAX_LISTED_DAYS", 2)
-    assert incremental.days_in(tracks, "ranking_date") is None
+    path = str(tmp_path / "target")
+    spark.range(3).select(
+        "id", F.date_add(F.lit("1990-01-01").cast("date"), (F.col("id") * 9000).cast("int")).alias("d")
+    ).write.partitionBy("d").parquet(path)
+    days = spark.range(5000).select(
+        F.date_add(F.lit("2000-01-01").cast("date"), F.col("id").cast("int")).alias("d")
+    )
+    known = incremental.within_days(read_parquet(spark, path), days, "d")
+    assert rows(known, "id") == []
+    plan = known._jdf.queryExecution().executedPlan().toString()
+    assert ">= 2000-01-01" in plan and "<= 2013-09-08" in plan
 
 
 def test_batches_in_any_split_give_the_same_table(spark, tmp_path):

@@ -52,27 +52,25 @@ def target(spark):
     )
 
 
-@pytest.mark.parametrize("limit", [joins.BROADCAST_ROWS, 0], ids=["broadcast", "shuffled"])
-def test_unseen(batch, target, limit, monkeypatch, setting):
-    monkeypatch.setattr(joins.broadcast_if_small, "__defaults__", (joins.BROADCAST_BYTES, limit))
+@pytest.mark.parametrize("threshold", ["10MB", "-1"], ids=["broadcast", "shuffled"])
+def test_unseen(batch, target, threshold, setting):
     setting("spark.sql.autoBroadcastJoinThreshold", -1)
-    setting("spark.sql.adaptive.autoBroadcastJoinThreshold", -1)
+    setting("spark.sql.adaptive.autoBroadcastJoinThreshold", threshold)
     left = joins.unseen(batch, target, KEYS)
     assert left.columns == batch.columns
     assert rows(left, "id") == [("w",), ("x",), ("x",), ("z",)]
     null_safe = joins.unseen(batch, target, KEYS, null_safe=True)
     assert rows(null_safe, "id") == [("w",), ("x",), ("x",)]
-    assert ("BroadcastHashJoin" in final_plan(left)) == (limit > 0)
-    assert ("SortMergeJoin" in final_plan(left)) == (limit == 0)
+    assert ("BroadcastHashJoin" in final_plan(left)) == (threshold != "-1")
 
 
-def test_broadcast_is_refused_beyond_its_bounds(spark):
-    df = spark.range(100).select("id", F.lit("x" * 1000).alias("text"))
-    assert joins.broadcast_if_small(df) is not None
-    assert joins.broadcast_if_small(df, max_rows=99) is None
-    assert joins.broadcast_if_small(df, max_bytes=99_999) is None
-    with pytest.raises(ValueError, match="flat"):
-        joins.broadcast_if_small(df.select(F.array("id").alias("a")))
+def test_copies_of_the_target_shrink_before_the_shuffle(spark):
+    batch = spark.range(10).select(F.col("id").alias("key"))
+    target = spark.range(5000).select((F.col("id") % 5).alias("key"))
+    plan = final_plan(joins.unseen(batch, target, ["key"]))
+    # The first aggregation stands below the first exchange of the target's side.
+    assert plan.count("HashAggregate(keys=[key") >= 2
+    assert joins.unseen(batch, target, ["key"]).count() == 5
 
 
 def test_enrich_drops_entries_without_a_record(spark):
@@ -91,14 +89,13 @@ def test_inner_join_keeps_both_keys(spark):
 
 
 @pytest.mark.parametrize("shape", ["inner", "anti"])
-def test_a_hot_key_is_split_at_run_time(spark, setting, monkeypatch, shape):
+def test_a_hot_key_is_split_at_run_time(spark, setting, shape):
     """A third of all rows share one key; nothing may be broadcast."""
     setting("spark.sql.autoBroadcastJoinThreshold", -1)
     setting("spark.sql.adaptive.autoBroadcastJoinThreshold", -1)
     setting("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64KB")
     setting("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "100KB")
     setting("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "2")
-    monkeypatch.setattr(joins.broadcast_if_small, "__defaults__", (0, 0))
     hot = spark.range(0, 300_000, 1, 20).select(
         F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("key"),
         F.xxhash64("id").alias("payload"),

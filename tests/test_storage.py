@@ -20,7 +20,7 @@ from chartlake.sinks.writers import (
     write_json,
 )
 from chartlake.sources.readers import (
-    partition_values,
+    partition_columns,
     path_exists,
     read_csv,
     read_json,
@@ -67,8 +67,8 @@ def test_partitioned_round_trip(spark, frame, tmp_path):
     append_parquet(frame, path, partition_by="ranking_date")
     back = read_parquet(spark, path)
     assert back.columns == ["n", "v", "ranking_date"] and rows(back) == rows(frame)
-    assert partition_values(back, "ranking_date") == [None, "2022-04-01", "2022-04-02"]
-    assert partition_values(back, "n") is None
+    assert partition_columns(back) == ["ranking_date"]
+    assert partition_columns(frame) == []
 
 
 def test_a_large_day_is_written_by_several_tasks(spark, setting, tmp_path):
@@ -128,7 +128,7 @@ def test_incremental_append(spark, frame, tmp_path):
     assert rows(read_parquet(spark, path), "n") == [(1,), (2,), (3,), (3,)]
     incremental_append(
         frame, path, ["n", "ranking_date"], partition_by="ranking_date",
-        days=["2022-04-01", "2022-04-02", None], null_safe=True,
+        days=frame.select("ranking_date"), null_safe=True,
     )
     assert read_parquet(spark, path).count() == 4
 
@@ -161,18 +161,14 @@ def test_staged_table_lies_in_the_shared_folder(spark, frame):
     assert all(spark.conf.get(SETTING) in f for f in table.inputFiles())
 
 
-def test_shared_folder_must_be_named_on_a_cluster():
+def test_shared_folder_without_a_setting_is_in_the_warehouse():
     class Unset:
         class conf:
             @staticmethod
-            def get(key, default):
-                return default
+            def get(key, *default):
+                return default[0] if default else "hdfs://store/warehouse/"
 
-        class sparkContext:
-            master = "yarn"
-
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_folder(Unset)
+    assert shared_folder(Unset) == "hdfs://store/warehouse/_staging"
 
 
 def test_catalog(spark, frame, tmp_path):
