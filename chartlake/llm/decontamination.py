@@ -20,6 +20,8 @@ from chartlake.llm.packing import binary_column, flat, letter_words, segments
 from chartlake.llm.shared import chosen, staged
 
 WINDOW = 10
+# Words of a segment of the index; smaller ones take less memory, larger ones fewer rows.
+SEGMENT_WORDS = 200_000
 # Documents of a segment are this many slots apart, more than any proximity asked for.
 GAP = 64
 
@@ -28,7 +30,7 @@ INDEX = "segment long, term binary, n long, slots binary, ids array<long>, sizes
 
 def index_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The postings of each segment, and a row without term that lists its documents."""
-    for number, ids, words in segments(batches, letter_words):
+    for number, ids, words in segments(batches, letter_words, SEGMENT_WORDS):
         encoded, lengths = flat(words)
         codes = encoded.indices.to_numpy()
         slots = np.arange(len(codes), dtype=np.int64) + np.repeat(np.arange(len(lengths)), lengths) * GAP

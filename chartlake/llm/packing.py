@@ -35,8 +35,13 @@ def letter_words(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").translate(LETTERS).split() if text else []
 
 
-def segments(batches: Iterator[pa.RecordBatch], split) -> Iterator[tuple[int, list, list]]:
-    """(segment number, ids, word lists) of runs of documents; columns: id, text."""
+def segments(
+    batches: Iterator[pa.RecordBatch], split, most: int = SEGMENT_WORDS
+) -> Iterator[tuple[int, list, list]]:
+    """(segment number, ids, word lists) of runs of documents; columns: id, text.
+
+    A segment ends with the document that brings it to ``most`` words.
+    """
     number = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 32
     ids, words, total = [], [], 0
     for batch in batches:
@@ -47,9 +52,10 @@ def segments(batches: Iterator[pa.RecordBatch], split) -> Iterator[tuple[int, li
             ids.append(row)
             words.append(found)
             total += len(found)
-            if total >= SEGMENT_WORDS or len(ids) >= SEGMENT_DOCS:
+            if total >= most or len(ids) >= SEGMENT_DOCS:
                 yield number, ids, words
                 number, ids, words, total = number + 1, [], [], 0
+                pa.default_memory_pool().release_unused()
     if ids:
         yield number, ids, words
 
