@@ -172,7 +172,7 @@ def preview(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "preview_schema",
     """
-    SELECT CAST(column_index + 1 AS INTEGER) AS place, column_name AS "name",
+    SELECT CAST(column_index AS INTEGER) AS place, column_name AS "name",
            CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'VARCHAR' THEN 'string'
                 WHEN 'DOUBLE' THEN 'double' WHEN 'INTEGER' THEN 'int' ELSE 'timestamp_ntz' END AS "type"
     FROM duckdb_columns() WHERE table_name = 'lineitem'
