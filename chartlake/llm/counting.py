@@ -129,6 +129,7 @@ def with_counts(docs: DataFrame, split, digest: Digest, use, schema: str, chars:
     )
 
     def cogrouped(rows: pa.Table, found: pa.Table) -> pa.Table:
+        pa.default_memory_pool().release_unused()  # workers live on and would keep it
         rows = rows.sort_by("place")
         found = found.sort_by("key")
         words = [split(t) for t in rows.column("text").to_pylist()]

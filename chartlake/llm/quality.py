@@ -24,8 +24,8 @@ FEATURES = 4096
 LATENT = 64
 NEIGHBOURS = 15
 # Labelled rows of each class that are learnt from, at most. The broadcast holds
-# 2 * SAMPLE * LATENT floats and FEATURES * LATENT floats: 1.6 MB.
-SAMPLE = 1000
+# 2 * SAMPLE * LATENT floats and about FEATURES * LATENT floats: 1.4 MB.
+SAMPLE = 750
 BLOCK = 512
 # How much a style share of 1 counts beside the tf-idf vector, whose length is 1.
 STYLE_WEIGHT = 3
@@ -154,12 +154,13 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, latent: int =
         )
     rows.sort(key=lambda r: (r["label"], bytes(r["features"])))
     matrix = np.stack([np.frombuffer(r["features"], np.float32) for r in rows])
+    labels_of = np.array([r["label"] for r in rows], np.float32)
+    rows.clear()
     # Right singular vectors through the smaller Gram matrix of the sample.
     values, left = np.linalg.eigh((matrix @ matrix.T).astype(np.float64))
     keep = np.argsort(values)[::-1][:latent]
     keep = keep[values[keep] > 1e-9]
     axes = (matrix.T @ left[:, keep] / np.sqrt(values[keep])).astype(np.float32)
-    labels_of = np.array([r["label"] for r in rows], np.float32)
     return Voters(idf=idf, axes=axes, vectors=projected(matrix, axes), labels=labels_of, prior=prior)
 
 
