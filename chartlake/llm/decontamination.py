@@ -9,7 +9,6 @@ shifted by their offsets, from the rarest term on; most phrases end after two li
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import partial
 
 import numpy as np
 import pyarrow as pa
