@@ -8,7 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import pytest
-from llm_helpers import odd_rows, prose
+from llm_helpers import odd_rows, prose, stored  # noqa: F401
 from pyspark.sql import functions as F
 
 from chartlake.llm.decontamination import decontaminate
