@@ -74,7 +74,7 @@ def scan(files: DataFrame, path_col: str, text_col: str, speaks: Column, thresho
 
     ``files`` has a path (directories separated by ``/``), a text, and what else is to be
     kept. ``speaks`` decides whether a notice makes its file a licence file; it may use
-    the path, the text and ``closing``, whether the notice is the last line with words.
+    ``_path`` and ``closing``, whether the notice is the last line with words.
     ``how``: ``notice``, ``inherited`` or null. Of several notices the one most similar
     counts, then the licence first by name; of several licence files in a directory too.
 
@@ -90,31 +90,34 @@ def scan(files: DataFrame, path_col: str, text_col: str, speaks: Column, thresho
     plain = files.select(
         F.col(path_col).alias("_path"), F.col(text_col).alias("_text"), *[F.col(c).alias(f"k{i}") for i, c in enumerate(kept)]
     )
-    entries = staged(
-        plain.withColumns({
-            "_found": F.array_intersect(tokens(F.coalesce("_text", F.lit(""))), known),
-            "_dir": F.when(F.instr("_path", "/") > 0, F.regexp_replace("_path", "/[^/]*$", "")),
-            "_row": F.monotonically_increasing_id(),
-        }),
-        "files",
-    )
     # One row per template word at most.
-    total = entries.count()
-    counted = entries.select(F.explode("_found").alias("t")).groupBy("t").count().collect()
+    found = F.array_intersect(tokens(F.coalesce("_text", F.lit(""))), known)
+    counted = plain.select(F.explode(found).alias("t")).groupBy("t").count().collect()
+    total = plain.count()
     frequency = {r["t"]: r["count"] for r in counted}
     idf = {t: math.log((1 + total) / (1 + frequency.get(t, 0))) + 1 for t in names}
     unseen = math.log(1 + total) + 1
     vectors = template_vectors(idf)
     needed = F.array(*map(F.lit, telling(vectors, threshold)))
 
-    lines = (
-        entries.filter(F.arrays_overlap("_found", needed))
-        .withColumn("lines", F.filter(F.split("_text", "\n"), lambda x: F.rlike(F.lower(x), F.lit("[a-z0-9]"))))
-        .select("_row", "_path", "_dir", "_text", F.posexplode("lines").alias("line", "words"), F.size("lines").alias("n"))
-        .withColumns({"closing": F.col("line") == F.col("n") - 1, "words": tokens(F.col("words"))})
-        .filter(F.arrays_overlap("words", needed))
+    # Of the texts only the lines that can match are kept.
+    spoken = F.filter(F.split("_text", "\n"), lambda x: F.rlike(F.lower(x), F.lit("[a-z0-9]")))
+    numbered = F.transform(
+        F.col("_spoken"),
+        lambda x, i: F.struct(
+            i.alias("line"), (i == F.size("_spoken") - 1).alias("closing"), tokens(x).alias("words")
+        ),
+    )
+    entries = staged(
+        plain.withColumn("_spoken", spoken).withColumns({
+            "_lines": F.filter(numbered, lambda x: F.arrays_overlap(x["words"], needed)),
+            "_dir": F.when(F.instr("_path", "/") > 0, F.regexp_replace("_path", "/[^/]*$", "")),
+            "_row": F.monotonically_increasing_id(),
+        }).drop("_text", "_spoken"),
+        "files",
     )
-    lines = staged(lines.withColumn("speaks", speaks).drop("_text", "n"), "lines")
+    lines = entries.select("_row", "_path", "_dir", F.inline("_lines")).withColumn("speaks", speaks)
+    lines = staged(lines, "lines")
     # A table of a few hundred rows that the templates fix.
     weights = spark.createDataFrame(
         [(t, i, lic, w) for i, lic, vector in vectors for t, w in sorted(vector.items())],
@@ -155,7 +158,7 @@ def scan(files: DataFrame, path_col: str, text_col: str, speaks: Column, thresho
     )
     own, near = F.col("own"), F.col("near")
     return (
-        entries.drop("_text", "_found")
+        entries.drop("_lines")
         .join(noticed, "_row", "left")
         .join(above, "_dir", "left")
         .select(
