@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chartlake.llm.packing import pack_numbers, pack_sorted, segments, unpack_numbers, unpack_sorted
+from chartlake.llm.shared import small_batches
 
 # Length of text for which a bucket is planned, and the fewest bits of a bucket number.
 BUCKET_CHARS = 4_000_000
@@ -123,7 +124,7 @@ def with_counts(docs: DataFrame, split, digest: Digest, use, schema: str, chars:
     segments; a segment whose counts do not fit its keys stops the job.
     """
     counted = (
-        docs.mapInArrow(sender(split, digest, bucket_bits(chars)), SENT)
+        small_batches(docs).mapInArrow(sender(split, digest, bucket_bits(chars)), SENT)
         .groupBy("key").applyInArrow(add_up, SENT)
         .select(F.col("segment").alias("at"), "key", "counts")
     )

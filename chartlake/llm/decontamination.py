@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chartlake.llm.packing import binary_column, flat, letter_words, segments
-from chartlake.llm.shared import chosen, staged
+from chartlake.llm.shared import chosen, small_batches, staged
 
 WINDOW = 10
 # Words of a segment of the index; smaller ones take less memory, larger ones fewer rows.
@@ -51,7 +51,7 @@ def index_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The stored index of all words of ``docs``, itself a stored table."""
-    rows = chosen(docs, doc_id=id_col, text=text_col)
+    rows = small_batches(chosen(docs, doc_id=id_col, text=text_col))
     return staged(rows.mapInArrow(index_documents, INDEX), "postings")
 
 

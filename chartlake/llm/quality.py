@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chartlake.llm.shared import chosen
+from chartlake.llm.shared import chosen, small_batches
 
 FEATURES = 4096
 LATENT = 64
@@ -119,7 +119,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, latent: int =
     each class with the smallest hashes of their id, at most ``sample`` a class; rows with
     conflicting labels for one id, with null labels or of the held-out fold do not count.
     """
-    spark = docs.sparkSession
+    spark = small_batches(docs).sparkSession
     counted = (
         docs.select("text").mapInArrow(document_frequencies, "feature long, n long")
         .groupBy("feature").agg(F.sum("n").alias("n")).collect()
