@@ -2,8 +2,9 @@
 
 Pages of one host are taken in groups. The block trees of a group are aligned with the tree
 of one of them by simple tree matching. A text slot with the same content on nearly all
-pages belongs to the template; slots that vary are content, unless they lie in a part of
-the page that its tag, its class or its links mark as a menu, advert or the like.
+pages belongs to the template; slots that vary are content, inside and outside of articles.
+Adverts and menus vary too: between slots that vary, the tag and the whole class names of
+an element decide, unless that would leave most of the pages that bear them empty.
 """
 
 from __future__ import annotations
@@ -40,13 +41,18 @@ BLOCK = frozenset(
     "thead tr ul".split()
 )
 VOID = frozenset("hr".split())
-ASIDE = frozenset("head nav footer header aside form menu dialog button select search".split())
-MARKS = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|banner\w*|sponsor\w*|promo\w*|nav\w*|menus?|sidebar\w*|footer\w*|"
-    r"header\w*|masthead|comments?|replies|discussion|cookies?|consent|notices?|notification|popup|"
-    r"modal|newsletter|subscribe|share|sharing|social|related|breadcrumbs?|widget\w*|disclaimer)(?=$|[\s_-])",
-    re.I,
+# Navigation and controls are never content.
+NEVER = frozenset("head nav menu dialog button select".split())
+# Tags and whole class, id or role names that settle what slots that vary leave open.
+ASIDE = frozenset("footer header aside form search".split())
+MARKS = frozenset(
+    "ad ads advert advertisement advertising banner sponsor sponsored promo promotion nav navbar navigation menu "
+    "sidebar footer header masthead comment comments reply replies discussion cookie cookies cookie-banner "
+    "cookie-consent cookie-notice consent notice notification popup modal newsletter subscribe share sharing social "
+    "related breadcrumb breadcrumbs widget disclaimer".split()
 )
+# These hold the content, whatever they are called.
+HOLDERS = frozenset("html body main article".split())
 # An open element of the key closes when one of these begins inside it.
 CLOSES = {
     "p": BLOCK, "li": frozenset({"li"}), "dt": frozenset({"dt", "dd"}), "dd": frozenset({"dt", "dd"}),
@@ -59,16 +65,31 @@ TEXT = "#"
 class Node:
     """A block element, or with label ``#`` a block of text."""
 
-    __slots__ = ("label", "kids", "aside", "text", "linked")
+    __slots__ = ("label", "kids", "mark", "inside", "text", "linked")
 
-    def __init__(self, label: str, aside: bool, text: str = "", linked: bool = False):
-        self.label, self.aside, self.text, self.linked = label, aside, text, linked
+    def __init__(self, label: str, mark: str = "", inside: bool = False, text: str = "", linked: bool = False):
+        # The mark is the word that sets the element aside; inside: of an article or main element.
+        self.label, self.mark, self.inside, self.text, self.linked = label, mark, inside, text, linked
         self.kids: list[Node] = []
 
 
+def mark_of(tag: str, names: list[str], parent: Node) -> str:
+    """The word that sets an element aside, or none; its parts inherit it up to the next article."""
+    if parent.mark in NEVER or tag in NEVER:
+        return parent.mark if parent.mark in NEVER else tag
+    if tag in HOLDERS:
+        return "" if tag in ("article", "main") and parent.mark not in ASIDE else parent.mark
+    if parent.mark:
+        return parent.mark
+    # The header of an article is its title, the footer of one is not text.
+    if tag in ASIDE and not (tag == "header" and parent.inside):
+        return tag
+    return next((w for name in names for w in name.lower().split() if w in MARKS), "")
+
+
 def parse(html: str) -> Node:
     """The tree of block elements and text blocks of a page, however broken its markup."""
-    root = Node("page", False)
+    root = Node("page")
     open_nodes, tags = [root], [""]
     pieces: list[str] = []
     plain = links = 0  # characters of the block outside and inside links
@@ -81,7 +102,7 @@ def parse(html: str) -> Node:
             text = " ".join("".join(pieces).split())
             if text:
                 top = open_nodes[-1]
-                top.kids.append(Node(TEXT, top.aside, text, links > plain))
+                top.kids.append(Node(TEXT, top.mark, top.inside, text, links > plain))
             pieces.clear()
         plain = links = 0
 
@@ -131,11 +152,11 @@ def parse(html: str) -> Node:
             if tag in VOID:
                 continue
             parent = open_nodes[-1]
-            marks = [next(filter(None, m.groups()[1:]), "") for m in ATTRIBUTE.finditer(found[3])] if found[3] else []
-            aside = parent.aside or tag in ASIDE or any(map(MARKS.search, marks))
+            names = [next(filter(None, m.groups()[1:]), "") for m in ATTRIBUTE.finditer(found[3])] if found[3] else []
+            mark = mark_of(tag, names, parent)
             node = parent
-            if len(tags) <= DEEPEST or aside != parent.aside:
-                node = Node(" ".join([tag, *sorted(marks)]), aside)
+            if len(tags) <= DEEPEST or (mark and not parent.mark):
+                node = Node(" ".join([tag, *sorted(names)]), mark, parent.inside or tag in ("article", "main"))
                 parent.kids.append(node)
             open_nodes.append(node)
             tags.append(tag)
@@ -197,54 +218,51 @@ def texts_of(node: Node) -> list[Node]:
     return found
 
 
-def main_parts(root: Node) -> list[Node]:
-    """The outermost article elements that are not set aside, or else main elements."""
-    for name in ("article", "main"):
-        found, stack = [], [root]
-        while stack:
-            top = stack.pop()
-            if top.label.split(" ")[0] == name and not top.aside:
-                found.append(top)
-            else:
-                stack += reversed(top.kids)
-        if found:
-            return found
-    return []
+def template_slots(roots: list[Node], different: list[int]) -> set[int]:
+    """Text blocks with the same content in their slot on nearly all of the different pages."""
+    model = max(different, key=lambda i: len(texts_of(roots[i])) if len(texts_of(roots[i])) < 200 else 0)
+    slots: dict[int, list[Node]] = {}
+    for i in different:
+        for mine, other in match(roots[model], roots[i])[1]:
+            slots.setdefault(id(mine), []).append(other)
+    constant = []
+    for found in slots.values():
+        text, n = Counter(t.text for t in found).most_common(1)[0]
+        if n >= AT_LEAST and n >= AGREE * len(different):
+            constant.append([t for t in found if t.text == text])
+    own = [t for t in texts_of(roots[model]) if t.mark not in NEVER]
+    articles = any(t.inside for t in own)
+    template: set[int] = set()
+    for inside in (False, True):
+        here = [c for c in constant if c[0].inside == inside]
+        found = {id(t) for c in here for t in c}
+        size = sum(len(t.text) for t in own if t.inside == inside)
+        # Where most of the text agrees, the pages are versions of one text.
+        if 2 * sum(len(t.text) for t in own if id(t) in found) <= size or (articles and not inside):
+            template |= found
+    return template
 
 
-def extract_group(pages: list[str | None]) -> list[str]:
-    """Main texts of pages of one host."""
+def extract_group(pages: list[str | None], marks: bool = True) -> list[str]:
+    """Main texts of pages of one host; without ``marks``, what alignment alone gives."""
     roots = [parse(html or "") for html in pages]
-    parts = [main_parts(root) for root in roots]
-    bodies = [
-        [t for part in own for t in texts_of(part) if not t.aside] if own
-        else [t for t in texts_of(root) if not t.aside]
-        for root, own in zip(roots, parts)
-    ]
+    blocks = [[t for t in texts_of(root) if t.mark != "head"] for root in roots]
     # Copies of a page say nothing about its template.
-    different = list({tuple(t.text for t in body): i for i, body in reversed(list(enumerate(bodies)))}.values())
-    template: set[int] = set()
-    if len(different) >= AT_LEAST:
-        model = max(different, key=lambda i: len(texts_of(roots[i])) if len(texts_of(roots[i])) < 200 else 0)
-        slots: dict[int, list[Node]] = {}
-        for i in different:
-            for mine, other in match(roots[model], roots[i])[1]:
-                slots.setdefault(id(mine), []).append(other)
-        constant = []
-        for found in slots.values():
-            text, n = Counter(t.text for t in found).most_common(1)[0]
-            if n >= AT_LEAST and n >= AGREE * len(different):
-                constant.append({id(t) for t in found if t.text == text})
-        in_body = {id(t) for i in different for t in bodies[i]}
-        # Where most of the body agrees, the pages are versions of one text.
-        inside = [c for c in constant if c & in_body]
-        if 2 * len(inside) <= len(bodies[model]):
-            template = set().union(*inside) if inside else set()
-    texts = []
-    for i, body in enumerate(bodies):
-        kept = [t for t in body if id(t) not in template and (parts[i] or not t.linked)]
-        texts.append("\n".join(t.text for t in kept))
-    return texts
+    different = list({tuple(t.text for t in own): i for i, own in reversed(list(enumerate(blocks)))}.values())
+    template = template_slots(roots, different) if len(different) >= AT_LEAST else set()
+    varying = [[t for t in own if id(t) not in template] for own in blocks]
+    if not marks:
+        return ["\n".join(t.text for t in own) for own in varying]
+    able = [[t for t in own if t.mark not in NEVER and (t.inside or not t.linked)] for own in varying]
+    # A mark says nothing where it leaves most of the pages that bear it without content.
+    bears, empty = Counter(), Counter()
+    for i in different:
+        words = {t.mark for t in able[i]}
+        bears.update(words)
+        if "" not in words:
+            empty.update(words)
+    overruled = {w for w in bears if 2 * empty[w] > bears[w]} | {""}
+    return ["\n".join(t.text for t in own if t.mark in overruled) for own in able]
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

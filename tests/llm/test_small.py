@@ -251,3 +251,25 @@ def test_licences_are_inherited_from_the_nearest_directory(spark):
         "r/a/b/LICENSE": ("CC-BY-NC-4.0", "notice", None), "r/a/b/c/y": ("CC-BY-NC-4.0", "inherited", "r/a/b"),
         "r/a/z": ("Apache-2.0", "notice", None), "q/w": (None, None, None), None: (None, None, None),
     }
+
+
+@pytest.mark.parametrize("body", ["<body class='has-sidebar'>", "<body class='no-sidebar'>", "<body class='widget'>"])
+def test_html_marks_are_whole_names_of_the_element_itself(spark, body):
+    def page(i):
+        return (
+            f"<html class='promo'>{body}<nav>Menu {i}</nav><div class='share-price'><p>Price {i}</p></div><div>{prose(i, 30)}</div>"
+            f"<article><p><a href='/'>Teaser {i}</a></p></article><div class='big ad'>Buy {i}</div><div>All rights</div></body></html>"
+        )
+
+    rows = [(i, f"http://h.example/{i}", page(i)) for i in range(8)]
+    found = {r["page_id"]: r["text"] for r in extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert found == {i: f"Price {i}\n{prose(i, 30)}\nTeaser {i}" for i in range(8)}
+
+
+def test_html_keeps_content_that_is_only_in_marked_elements(spark):
+    rows = [
+        (i, f"http://h.example/{i}", f"<div>Site name</div><form><div class='related'><p>{prose(i, 30)}</p></div></form><div>All rights</div><div>End</div>")
+        for i in range(8)
+    ]
+    found = {r["page_id"]: r["text"] for r in extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(prose(i, 30) in text for i, text in found.items()) and len(found) == 8
