@@ -11,8 +11,10 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from functools import lru_cache
 from html import unescape
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,8 +24,8 @@ from chartlake.llm.shared import chosen, staged
 GROUP_PAGES = 256
 # A slot is template text if this share of at least so many different pages agrees on it.
 AGREE, AT_LEAST = 0.8, 5
-# Beyond so many pairs of siblings, only equal runs at both ends are matched.
-ALIGN_PAIRS = 2500
+# Scores of pairs of shapes that are remembered in a group of pages; others are computed anew.
+REMEMBERED = 1 << 17
 # Deeper elements count as part of the one around them.
 DEEPEST = 200
 
@@ -65,12 +67,13 @@ TEXT = "#"
 class Node:
     """A block element, or with label ``#`` a block of text."""
 
-    __slots__ = ("label", "kids", "mark", "inside", "text", "linked")
+    __slots__ = ("label", "kids", "mark", "inside", "text", "linked", "shape")
 
     def __init__(self, label: str, mark: str = "", inside: bool = False, text: str = "", linked: bool = False):
         # The mark is the word that sets the element aside; inside: of an article or main element.
         self.label, self.mark, self.inside, self.text, self.linked = label, mark, inside, text, linked
         self.kids: list[Node] = []
+        self.shape = 0
 
 
 def mark_of(tag: str, names: list[str], parent: Node) -> str:
@@ -164,46 +167,111 @@ def parse(html: str) -> Node:
     return root
 
 
-def match(a: Node, b: Node) -> tuple[int, list[tuple[Node, Node]]]:
-    """Simple tree matching of two nodes with equal labels: score and pairs of text blocks."""
-    if a.label == TEXT:
-        return 1, [(a, b)]
-    score, pairs = 1, []
-    x, y = a.kids, b.kids
+class Alignment:
+    """Simple tree matching of the trees of one group, exact in memory linear in the siblings.
+
+    A shape numbers a label with the shapes of its children; how well two trees match
+    depends on their shapes only.
+    """
+
+    def __init__(self) -> None:
+        self.numbers: dict[tuple, int] = {}
+        self.parts: list[tuple[int, tuple[int, ...]]] = []  # of each shape: label number, children
+        self.sizes: list[int] = []
+        self.labels: dict[str, int] = {}
+        self.score = lru_cache(REMEMBERED)(self.score_anew)
+
+    def add(self, root: Node) -> None:
+        """Set the shapes of a tree."""
+        order, stack = [], [root]
+        while stack:
+            order.append(stack.pop())
+            stack += order[-1].kids
+        for node in reversed(order):
+            key = (self.labels.setdefault(node.label, len(self.labels)), tuple(k.shape for k in node.kids))
+            node.shape = self.numbers.setdefault(key, len(self.parts))
+            if node.shape == len(self.parts):
+                self.parts.append(key)
+                self.sizes.append(1 + sum(self.sizes[k] for k in key[1]))
+
+    def score_anew(self, a: int, b: int) -> int:
+        """Nodes of the best match of two shapes whose labels are equal."""
+        if a == b:
+            return self.sizes[a]
+        x, y = self.parts[a][1], self.parts[b][1]
+        first, last = equal_ends(x, y)
+        same = sum(self.sizes[k] for k in x[:first]) + sum(self.sizes[k] for k in x[len(x) - last :])
+        return 1 + same + int(self.best_scores(x[first : len(x) - last], y[first : len(y) - last])[-1])
+
+    def best_scores(self, x: tuple[int, ...], y: tuple[int, ...]) -> np.ndarray:
+        """The best score of all of ``x`` with each beginning of ``y``, one row at a time."""
+        best = np.zeros(len(y) + 1, np.int64)
+        if not x or not y:
+            return best
+        kinds, which = np.unique(np.array(y), return_inverse=True)
+        labelled: dict[int, list[int]] = {}
+        for at, kind in enumerate(kinds.tolist()):
+            labelled.setdefault(self.parts[kind][0], []).append(at)
+        kinds = kinds.tolist()
+        before, worth = None, None
+        for shape in x:
+            if shape != before:
+                gains = np.zeros(len(kinds), np.int64)
+                for at in labelled.get(self.parts[shape][0], ()):
+                    gains[at] = self.score(min(shape, kinds[at]), max(shape, kinds[at]))
+                before, worth = shape, gains[which] if gains.any() else None
+            if worth is not None:
+                best[1:] = np.maximum(best[1:], best[:-1] + worth)
+                np.maximum.accumulate(best, out=best)
+        return best
+
+    def pairs(self, a: Node, b: Node) -> list[tuple[Node, Node]]:
+        """The pairs of text blocks of the best match of two trees with equal labels."""
+        found, nodes = [], [(a, b)]
+        while nodes:
+            p, q = nodes.pop()
+            if p.label == TEXT:
+                found.append((p, q))
+                continue
+            # Hirschberg: halve the one list and find where the other is cut.
+            runs = [(p.kids, q.kids)]
+            while runs:
+                x, y = runs.pop()
+                xs, ys = tuple(k.shape for k in x), tuple(k.shape for k in y)
+                first, last = equal_ends(xs, ys)
+                nodes += zip(x[:first], y[:first])
+                nodes += zip(x[len(x) - last :], y[len(y) - last :])
+                x, y = x[first : len(x) - last], y[first : len(y) - last]
+                if not x or not y:
+                    continue
+                if len(x) == 1:
+                    gains = [
+                        self.score(min(x[0].shape, k.shape), max(x[0].shape, k.shape)) if k.label == x[0].label else 0
+                        for k in y
+                    ]
+                    at = max(range(len(y)), key=gains.__getitem__)
+                    if gains[at]:
+                        nodes.append((x[0], y[at]))
+                    continue
+                xs, ys = xs[first : len(xs) - last], ys[first : len(ys) - last]
+                half = len(x) // 2
+                ahead = self.best_scores(xs[:half], ys)
+                behind = self.best_scores(xs[:half - 1 : -1], ys[::-1])[::-1]
+                cut = int(np.argmax(ahead + behind))
+                runs += [(x[:half], y[:cut]), (x[half:], y[cut:])]
+        return found
+
+
+def equal_ends(x, y) -> tuple[int, int]:
+    """How many shapes are equal at the beginning and then at the end; matching them is best."""
+    short = min(len(x), len(y))
     first = 0
-    while first < len(x) and first < len(y) and x[first].label == y[first].label:
+    while first < short and x[first] == y[first]:
         first += 1
     last = 0
-    while last < min(len(x), len(y)) - first and x[-1 - last].label == y[-1 - last].label:
+    while last < short - first and x[-1 - last] == y[-1 - last]:
         last += 1
-    both = list(zip(x[:first], y[:first])) + list(zip(x[len(x) - last :], y[len(y) - last :]))
-    x, y = x[first : len(x) - last], y[first : len(y) - last]
-    for p, q in both:
-        s, found = match(p, q)
-        score += s
-        pairs += found
-    if x and y and len(x) * len(y) <= ALIGN_PAIRS:
-        best = [[(0, None)] * (len(y) + 1) for _ in range(len(x) + 1)]
-        for i in range(1, len(x) + 1):
-            for j in range(1, len(y) + 1):
-                up, left = best[i - 1][j], best[i][j - 1]
-                best[i][j] = (up[0], "up") if up[0] >= left[0] else (left[0], "left")
-                if x[i - 1].label == y[j - 1].label:
-                    s, found = match(x[i - 1], y[j - 1])
-                    if best[i - 1][j - 1][0] + s > best[i][j][0]:
-                        best[i][j] = (best[i - 1][j - 1][0] + s, found)
-        score += best[-1][-1][0]
-        i, j = len(x), len(y)
-        while i and j:
-            step = best[i][j][1]
-            if step == "up":
-                i -= 1
-            elif step == "left":
-                j -= 1
-            else:
-                pairs += step
-                i, j = i - 1, j - 1
-    return score, pairs
+    return first, last
 
 
 def texts_of(node: Node) -> list[Node]:
@@ -222,8 +290,11 @@ def template_slots(roots: list[Node], different: list[int]) -> set[int]:
     """Text blocks with the same content in their slot on nearly all of the different pages."""
     model = max(different, key=lambda i: len(texts_of(roots[i])) if len(texts_of(roots[i])) < 200 else 0)
     slots: dict[int, list[Node]] = {}
+    alignment = Alignment()
+    for i in different:
+        alignment.add(roots[i])
     for i in different:
-        for mine, other in match(roots[model], roots[i])[1]:
+        for mine, other in alignment.pairs(roots[model], roots[i]):
             slots.setdefault(id(mine), []).append(other)
     constant = []
     for found in slots.values():

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from chartlake.llm.decontamination import decontaminate
 from chartlake.llm.exact_dedup import directory, exact_dedup
-from chartlake.llm.html import extract
+from chartlake.llm.html import Alignment, extract, extract_group, parse
 from chartlake.llm.licenses import document_licenses, scan
 from chartlake.llm.lm import lm_scores
 from chartlake.llm.mixing import mix, mixed_sizes
@@ -273,3 +273,40 @@ def test_html_keeps_content_that_is_only_in_marked_elements(spark):
     ]
     found = {r["page_id"]: r["text"] for r in extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert all(prose(i, 30) in text for i, text in found.items()) and len(found) == 8
+
+
+def test_html_aligns_long_lists_of_siblings():
+    def page(i):
+        blocks = []
+        for k in range(70):
+            blocks += [f"<p>{prose(1000 * i + 10 * k + j, 12)}</p>" for j in range(1 + (i * 7 + k * 3) % 5 % 2)]
+            blocks.append(f"<div class=c{k}><h4>Notice {k}</h4><p>Terms {k}</p><p>Rules {k}</p></div>")
+        return "".join([*(f"<h2>Top {i}</h2>" for _ in range(i % 2)), *blocks, *(f"<h3>End {i}</h3>" for _ in range(i % 3))])
+
+    pages = [page(i) for i in range(10)]
+    for html, text in zip(pages, extract_group(pages)):
+        content = re.sub(r"<div.*?</div>", "", html)
+        assert text == "\n".join(re.findall(r">([^<]+)<", content))
+
+
+def test_html_alignment_is_the_best_one():
+    def best(a, b):
+        if a.label != b.label:
+            return 0
+        table = [[0] * (len(b.kids) + 1) for _ in range(len(a.kids) + 1)]
+        for i, x in enumerate(a.kids, 1):
+            for j, y in enumerate(b.kids, 1):
+                table[i][j] = max(table[i - 1][j], table[i][j - 1], table[i - 1][j - 1] + best(x, y))
+        return 1 + table[-1][-1]
+
+    for seed in range(60):
+        trees = []
+        for part in (0, 1):
+            draw = [int(w[1:]) for w in prose(2 * seed + part, 30, 9).split()]
+            trees.append(parse("".join(f"<{('p', 'div', '/div', 'h2', 'ul', '/ul', 'li', 'div', '/p')[w]}>t{w}" for w in draw)))
+        alignment = Alignment()
+        for tree in trees:
+            alignment.add(tree)
+        assert alignment.score(trees[0].shape, trees[1].shape) == best(*trees)
+        pairs = alignment.pairs(*trees)
+        assert len({id(a) for a, _ in pairs}) == len({id(b) for _, b in pairs}) == len(pairs)
