@@ -200,6 +200,57 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# With order 3: word w after u and v.
+LM_ORDER3_SQL = """
+    WITH t AS (
+        SELECT row_number() OVER () AS row_no, doc_id,
+               coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+'), []) AS words
+        FROM documents
+    ), a AS (
+        SELECT row_no, unnest(range(len(words))) AS i, unnest(words) AS w FROM t
+    ), g AS (
+        SELECT row_no, w, lag(w) OVER place AS v, lag(w, 2) OVER place AS u
+        FROM a WINDOW place AS (PARTITION BY row_no ORDER BY i)
+    ), own_uni AS (SELECT row_no, w, count(*) AS n FROM g GROUP BY ALL),
+    own_bi AS (SELECT row_no, v, w, count(*) AS n FROM g WHERE v IS NOT NULL GROUP BY ALL),
+    own_tri AS (SELECT row_no, u, v, w, count(*) AS n FROM g WHERE u IS NOT NULL GROUP BY ALL),
+    uni AS (SELECT row_no, w, sum(n) OVER (PARTITION BY w) - n AS n FROM own_uni),
+    bi AS (SELECT row_no, v, w, sum(n) OVER (PARTITION BY v, w) - n AS n FROM own_bi),
+    tri AS (SELECT row_no, u, v, w, sum(n) OVER (PARTITION BY u, v, w) - n AS n FROM own_tri),
+    s AS (
+        SELECT g.row_no, g.u, g.v, x.n AS cw, y.n AS cvw, z.n AS cuvw, hx.n AS cv, hy.n AS cuv,
+               greatest((SELECT sum(n) FROM own_uni) - len(t.words), 1) AS rest
+        FROM g JOIN t ON t.row_no = g.row_no JOIN uni x ON x.row_no = g.row_no AND x.w = g.w
+        LEFT JOIN bi y ON y.row_no = g.row_no AND y.v = g.v AND y.w = g.w
+        LEFT JOIN tri z ON z.row_no = g.row_no AND z.u = g.u AND z.v = g.v AND z.w = g.w
+        LEFT JOIN uni hx ON hx.row_no = g.row_no AND hx.w = g.v
+        LEFT JOIN bi hy ON hy.row_no = g.row_no AND hy.v = g.u AND hy.w = g.v
+    ), one AS (SELECT *, greatest(cw, 0.5::DOUBLE)::DOUBLE / rest::DOUBLE AS p1 FROM s),
+    two AS (
+        SELECT *, CASE WHEN v IS NULL THEN p1 WHEN cvw > 0 THEN cvw::DOUBLE / cv::DOUBLE ELSE 0.4::DOUBLE * p1 END AS p2
+        FROM one
+    ), p AS (
+        SELECT row_no, sum(ln(CASE WHEN u IS NULL THEN p2 WHEN cuvw > 0 THEN cuvw::DOUBLE / cuv::DOUBLE
+                              ELSE 0.4::DOUBLE * p2 END)) AS total
+        FROM two GROUP BY row_no
+    )
+    SELECT doc_id, len(words)::BIGINT AS n_words, round(coalesce(total, 0::DOUBLE), 5) AS log_score
+    FROM t LEFT JOIN p USING (row_no)
+    """
+
+
+def lm_order3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(read_table(spark, sf_dir, "documents"), order=3).select(
+        "doc_id", "n_words", F.round("log_score", 5).alias("log_score")
+    )
+
+
+# Registered besides the ten; the SQL of op6 is of order 2.
+MORE_QUERIES: dict[str, Query] = {"lm_scoring_order3": lm_order3}
+MORE_ORACLES: dict[str, str] = {"lm_scoring_order3": LM_ORDER3_SQL}
+
+
 OP7_SQL = f"""
     WITH t AS (
         SELECT row_number() OVER () AS row_no, doc_id,

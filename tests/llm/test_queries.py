@@ -12,7 +12,7 @@ from parity import compare, connect
 
 import __spark_entry__ as contract
 import corpus_pipeline
-from chartlake.llm.queries import ORACLES, QUERIES
+from chartlake.llm.queries import MORE_ORACLES, ORACLES, QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -114,3 +114,9 @@ def test_pipeline_stages(spark, tmp_path):
         for i, a in enumerate(ids) for b in ids[:i]
     )
     assert corpus_pipeline.run(spark, SF_DIR).count() == sum(kept["sharding"][1].values())
+
+
+@pytest.mark.parametrize("name", list(MORE_ORACLES))
+def test_further_query(spark, duck, name):
+    _, wrong = compare(contract.queries()[name](spark, SF_DIR), duck, MORE_ORACLES[name])
+    assert wrong == "" and contract.oracle_sql()[name] == MORE_ORACLES[name]
