@@ -26,21 +26,36 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return reject_poor(docs, read_table(spark, sf_dir, "labels"))
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` as a stored table with a key of its own for each row, ``_row``."""
+    return staged(docs.withColumn("_row", F.monotonically_increasing_id()), "keyed")
+
+
 def drop_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each component of similar texts.
+    """One document of each component of similar texts: the one with the smallest id.
 
-    Similar: five-word shingles, Jaccard similarity of 0.8 or more. Rows without an id stay.
+    Similar: five-word shingles, Jaccard similarity of 0.8 or more. Of rows with the same
+    id one stays; a row without an id stays only if no row of its component has one.
     """
-    found = ngram_join(docs, words=5, percent=80)
-    dropped = staged(found.filter("component_id <> doc_id").select("doc_id").distinct(), "dropped")
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    rows = keyed(docs)
+    found = staged(
+        ngram_join(rows, id_col="_row", words=5, percent=80)
+        .select(F.col("doc_id").alias("_row"), "component_id")
+        .join(rows.select("_row", F.col("doc_id").alias("id")), "_row"),
+        "similar",
+    )
+    first = F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "_row"))["_row"]
+    kept = found.groupBy("component_id").agg(first.alias("_row")).select("_row")
+    dropped = staged(found.select("_row").join(kept, "_row", "left_anti"), "dropped")
+    return rows.join(dropped, "_row", "left_anti").select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no window of any benchmark item. Rows without an id stay."""
-    found = decontaminate(docs, read_table(spark, sf_dir, "benchmark"))
-    hit = staged(found.filter("contaminated").select("doc_id").distinct(), "contaminated")
-    return docs.join(hit, "doc_id", "left_anti").select(*docs.columns)
+    """Documents that hold no window of any benchmark item, each row judged by its own text."""
+    rows = keyed(docs)
+    found = decontaminate(rows, read_table(spark, sf_dir, "benchmark"), id_col="_row")
+    hit = staged(found.filter("contaminated").select(F.col("doc_id").alias("_row")), "contaminated")
+    return rows.join(hit, "_row", "left_anti").select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -310,3 +310,25 @@ def test_html_alignment_is_the_best_one():
         assert alignment.score(trees[0].shape, trees[1].shape) == best(*trees)
         pairs = alignment.pairs(*trees)
         assert len({id(a) for a, _ in pairs}) == len({id(b) for _, b in pairs}) == len(pairs)
+
+
+def test_pipeline_decides_by_row(stored, spark, tmp_path):
+    import corpus_pipeline
+
+    twin, near, leak = prose(81, 120), prose(82, 120), prose(83, 60)
+    docs = stored([
+        (1, twin, "a"), (1, twin, "a"), (1, twin, "a"), (None, twin, "b"), (None, near, "a"), (None, near + " end", "a"),
+        (5, prose(84, 120), "a"), (5, near, "b"), (6, leak, "a"), (6, prose(85, 90), "a"), (None, leak, "b"),
+        (None, prose(86, 90), "b"), (7, None, "a"), (None, None, "a"), (None, prose(87, 90), "a"), (None, prose(87, 90), "a"),
+    ])
+    spark.createDataFrame([("x", leak)], "item_id string, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    alone = corpus_pipeline.drop_similar(spark, docs, str(tmp_path))
+    assert alone.columns == docs.columns
+    got = lists(alone, "doc_id", "text")
+    assert got == Counter((str(i), str(t)) for i, t in [
+        (1, twin), (5, near), (5, prose(84, 120)), (6, leak), (6, prose(85, 90)),
+        (None, prose(86, 90)), (7, None), (None, None), (None, prose(87, 90)),
+    ])
+    clean = corpus_pipeline.drop_contaminated(spark, docs, str(tmp_path))
+    assert lists(clean, "doc_id", "text") == lists(docs.filter("text is null or text <> '" + leak + "'"), "doc_id", "text")
+    assert clean.columns == docs.columns
