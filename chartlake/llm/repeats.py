@@ -1,11 +1,11 @@
-"""Passages that repeat across documents, through a sparse suffix array.
-
-Suffixes are kept at minimiser positions only: of every run of 39 consecutive 12-word
-grams the one with the smallest hash, so every passage of 50 words holds one, and copies of
-a passage hold the same. Suffixes are sorted by their gram in hash partitions; one whose
-neighbours differ cannot lie in a repeat. The others are extended left and right: the
-50-word windows around them are sorted and compared with their neighbours in turn, and
-windows that repeat are merged to passages.
+"""Passages that repeat across documents, by counting hashes of windows.
+
+No suffix array is built. Of every run of 39 consecutive 12-word grams the one with the
+smallest hash is a minimiser, so every passage of 50 words holds one, and copies of a
+passage hold the same. Minimisers are counted in hash buckets; one that a single document
+has cannot lie in a repeat. Around the others the hashes of all 50-word windows are counted
+in buckets in turn, and windows that repeat are merged to passages. Words are not compared:
+windows are equal if their 64-bit hashes are.
 """
 
 from __future__ import annotations
