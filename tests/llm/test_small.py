@@ -7,6 +7,8 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from llm_helpers import odd_rows, prose, stored  # noqa: F401
 from pyspark.sql import functions as F
@@ -18,6 +20,7 @@ from chartlake.llm.licenses import document_licenses, scan
 from chartlake.llm.lm import lm_scores
 from chartlake.llm.mixing import mix, mixed_sizes
 from chartlake.llm.ngram_join import ngram_join
+from chartlake.llm import quality
 from chartlake.llm.quality import classify, reject_poor
 from chartlake.llm.repeats import repeated_passages
 from chartlake.llm.sharding import cut_keys, greedy, shard_documents, smallest_capacity
@@ -332,3 +335,14 @@ def test_pipeline_decides_by_row(stored, spark, tmp_path):
     clean = corpus_pipeline.drop_contaminated(spark, docs, str(tmp_path))
     assert lists(clean, "doc_id", "text") == lists(docs.filter("text is null or text <> '" + leak + "'"), "doc_id", "text")
     assert clean.columns == docs.columns
+
+
+def test_classifier_learns_from_a_thousand_rows_a_class_sent_small():
+    idf = np.ones(quality.FEATURES, np.float32)
+    texts = [prose(i, 100) for i in range(4)]
+    batch = pa.RecordBatch.from_pydict({"text": pa.array(texts), "label": pa.array([0, 1, 0, 1])})
+    (sent,) = quality.sample_features(idf)(iter([batch]))
+    raw = quality.features(texts, idf)
+    assert quality.SAMPLE == 1000
+    for own, data in zip(raw, sent.column("features").to_pylist()):
+        assert len(data) < own.nbytes / 4 and zlib.decompress(data) == own.tobytes()
