@@ -10,10 +10,13 @@ from pyspark.sql import functions as F
 from chartlake.llm.exact_dedup import exact_dedup
 from chartlake.llm.decontamination import decontaminate
 from chartlake.llm.html import extract
+from chartlake.llm.lexical import lexical_search
 from chartlake.llm.licenses import document_licenses
+from chartlake.llm.lines import drop_repeated_lines
 from chartlake.llm.lm import lm_scores
 from chartlake.llm.ngram_join import ngram_join
 from chartlake.llm.mixing import BLOCK_WORDS, CELL_ROWS, PRIMES, mixed_sizes
+from chartlake.llm.negatives import hard_negatives
 from chartlake.llm.quality import classify
 from chartlake.llm.repeats import repeated_passages
 from chartlake.llm.shared import read_table
@@ -363,3 +366,104 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read_table(spark, sf_dir, "documents")).select(
         "doc_id", "keep_id", "group_size", "kept", "text_sha256"
     )
+
+
+KEY_SQL = r"""
+    translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+              'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
+"""
+OP11_SQL = f"""
+    WITH t AS (
+        SELECT row_number() OVER () AS row_no, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines
+        FROM documents
+    ), l AS (
+        SELECT row_no, doc_id, unnest(range(len(lines))) AS place, unnest(lines) AS line FROM t
+    ), k AS (
+        SELECT *, {KEY_SQL} AS key FROM l
+    ), common AS (
+        SELECT key, min(doc_id) AS keeper FROM k WHERE length(key) >= 10 GROUP BY key
+        HAVING count(DISTINCT doc_id) + max((doc_id IS NULL)::INT) >= 2
+    ), m AS (
+        SELECT row_no, place, line, common.key IS NOT NULL AND doc_id IS DISTINCT FROM keeper AS gone
+        FROM k LEFT JOIN common USING (key)
+    ), g AS (
+        SELECT row_no, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+               coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT gone), '') AS kept
+        FROM m GROUP BY row_no
+    )
+    SELECT doc_id, n_lines, n_dropped, sha256(kept) AS kept_sha256 FROM t JOIN g USING (row_no)
+    """
+
+
+@query("op11_line_dedup", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drop_repeated_lines(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256")
+    )
+
+
+TERMS_SQL = r"coalesce(regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), [])"
+OP12_SQL = f"""
+    WITH d AS (
+        SELECT row_number() OVER () AS row_no, doc_id, {TERMS_SQL} AS words FROM documents
+    ), p AS (
+        SELECT row_no, translate(w, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term,
+               count(*) AS tf
+        FROM (SELECT row_no, unnest(words) AS w FROM d) GROUP BY ALL
+    ), a AS (
+        SELECT count(*)::BIGINT AS n_all, sum(len(words))::BIGINT AS terms_all FROM d WHERE len(words) > 0
+    ), df AS (
+        SELECT term, floor(1000 * ln((2 * n_all + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS weight
+        FROM p, a GROUP BY term, n_all
+    ), q AS (
+        SELECT DISTINCT item_id, translate(w, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term
+        FROM (SELECT item_id, unnest({TERMS_SQL}) AS w FROM benchmark)
+    ), s AS (
+        SELECT item_id, row_no, sum(weight * ((1000000000 * tf)
+                   // (1000 * tf + 20 * (100 - 50 + (50 * len(words)::BIGINT * n_all) // terms_all))))::BIGINT AS score
+        FROM q JOIN df USING (term) JOIN p USING (term) JOIN d USING (row_no), a
+        GROUP BY item_id, row_no
+    ), r AS (
+        SELECT item_id, doc_id, score, row_number() OVER (
+                   PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank
+        FROM s JOIN d USING (row_no) WHERE score > 0
+    )
+    SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 50
+    """
+
+
+@query("op12_lexical_search", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search(
+        read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), k=50
+    )
+
+
+OP13_SQL = """
+    WITH v AS (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+               list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+        FROM embeddings
+        WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ), s AS (
+        SELECT a.vec_id AS anchor_id, c.vec_id AS id, a.label = c.label AS same,
+               list_inner_product(a.q, c.q)::BIGINT AS score
+        FROM v a JOIN v c ON a.vec_id % 50 = 0 AND a.vec_id <> c.vec_id
+    ), p AS (
+        SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+    )
+    SELECT anchor_id, positive_id, row_number() OVER w ::INTEGER AS rank, id AS negative_id,
+           positive_score, score AS negative_score
+    FROM p JOIN s USING (anchor_id)
+    WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+    WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id)
+    QUALIFY rank <= 3
+    """
+
+
+@query("op13_hard_negatives", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(read_table(spark, sf_dir, "embeddings").withColumn("label", label))
