@@ -7,12 +7,20 @@ the copy survives lost executors, and later readers get column pruning on it.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+from chartlake.sources.readers import root_paths
+
 SETTING = "spark.checkpoint.dir"
 WAREHOUSE = "spark.sql.warehouse.dir"
 
+# The tables staged within the innermost ``scratch`` block.
+_staged: ContextVar[list[str] | None] = ContextVar("staged", default=None)
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
@@ -37,5 +45,42 @@ def staged(df: DataFrame, name: str, balance: bool = False) -> DataFrame:
     rows in every later read.
     """
     path = new_path(df.sparkSession, name)
+    opened = _staged.get()
+    if opened is not None:
+        opened.append(path)
     (df.hint("rebalance") if balance else df).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Delete what is staged within the block when it ends, except for what is still read.
+
+    The block gets a function ``keep``: a frame passed through it leaves all staged tables
+    that it reads in place, those of a surrounding block take over. Frames that are not
+    passed on must have been written or collected by then.
+    """
+    opened: list[str] = []
+    kept: set[str] = set()
+
+    def keep(df: DataFrame) -> DataFrame:
+        kept.update(root.rstrip("/").rsplit("/", 1)[-1] for root in root_paths(df))
+        return df
+
+    token = _staged.set(opened)
+    try:
+        yield keep
+    finally:
+        _staged.reset(token)
+        outer = _staged.get()
+        for path in opened:
+            if path.rsplit("/", 1)[-1] not in kept:
+                remove(spark, path)
+            elif outer is not None:
+                outer.append(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a staged table; Spark's own file system client does it, whatever the store."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -7,9 +7,11 @@ plain repartition it also splits a day that is much larger than the others.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from urllib.parse import unquote, urlsplit
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chartlake.sources.readers import root_paths
@@ -19,10 +21,30 @@ class OverwriteOfInputError(ValueError):
     """The target of an overwrite is also read by the frame to be written."""
 
 
+# Run-time planning joins shuffled partitions below this size although cores are idle.
+LEAST_PARTITION = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+
+
 def rebalanced(df: DataFrame, *columns: str) -> DataFrame:
     return df.hint("rebalance", *[F.col(c) for c in columns])
 
 
+@contextmanager
+def many_small_files(spark: SparkSession) -> Iterator[None]:
+    """While the body writes, small partitions are joined only as far as all cores stay busy.
+
+    A write by day opens a file per day, and that takes the time, not the bytes: by
+    Spark's default a thousand tiny days would be one task. Large partitions are joined and
+    split by the advisory size as ever.
+    """
+    before = spark.conf.get(LEAST_PARTITION, None)
+    spark.conf.set(LEAST_PARTITION, "1KB")
+    try:
+        yield
+    finally:
+        spark.conf.unset(LEAST_PARTITION) if before is None else spark.conf.set(LEAST_PARTITION, before)
+
+
 def overwrite_parquet(df: DataFrame, path: str, partition_by: str | None = None) -> None:
     """Replace a table. Refused when ``df`` reads from it: its files would be gone mid-job."""
     if reads_from(df, path):
@@ -43,7 +65,8 @@ def write_json(df: DataFrame, path: str, partition_by: str | None = None) -> Non
     writer = df.write.mode("overwrite").option("ignoreNullFields", False)
     if partition_by:
         writer = writer.partitionBy(partition_by)
-    writer.json(path)
+    with many_small_files(df.sparkSession):
+        writer.json(path)
 
 
 def _write(
@@ -52,9 +75,11 @@ def _write(
     if partition_by and rebalance:
         df = rebalanced(df, partition_by)
     writer = df.write.mode(mode)
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
-    writer.parquet(path)
+    if not partition_by:
+        writer.parquet(path)
+        return
+    with many_small_files(df.sparkSession):
+        writer.partitionBy(partition_by).parquet(path)
 
 
 def reads_from(df: DataFrame, path: str) -> bool:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
@@ -81,3 +83,12 @@ def root_paths(df: DataFrame) -> list[str]:
 def partition_columns(df: DataFrame) -> list[str]:
     """The columns by whose folders the tables under ``df`` are laid out."""
     return [name for relation in file_relations(df) for name in relation.partitionSchema().fieldNames()]
+
+
+def partition_folders(df: DataFrame) -> list[str]:
+    """The partition folders that the scans of ``df`` found when they were listed."""
+    found = []
+    for relation in file_relations(df):
+        listed = relation.location().partitionSpec().partitions().mkString("\n")
+        found += [re.search(r"\],([\w+.-]+:.*)\)$", line)[1] for line in listed.split("\n") if line]
+    return found

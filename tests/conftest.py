@@ -27,6 +27,8 @@ def spark(tmp_path_factory):
             "spark.driver.memory": "8g",
             "spark.checkpoint.dir": str(folder / "shared"),
             "spark.sql.warehouse.dir": str(folder / "warehouse"),
+            # Plans are compared as text, whatever the length of the temporary path in them.
+            "spark.sql.maxMetadataStringLength": "2000",
         },
     )
     session.sparkContext.setLogLevel("ERROR")
