@@ -20,7 +20,7 @@ from chartlake.sinks.catalog import quoted
 from chartlake.sinks.incremental import within_days
 from chartlake.sinks.staging import staged
 from chartlake.sinks.writers import append_parquet, many_small_files, rebalanced
-from chartlake.sources.readers import partition_columns, read_parquet, read_parquet_if_exists, root_paths
+from chartlake.sources.readers import listing_by_cores, partition_columns, read_parquet, read_parquet_if_exists, root_paths
 
 
 # --- newer documents ----------------------------------------------------------
@@ -74,7 +74,7 @@ def exchange_days(rows: DataFrame, path: str, partition_by: str, spread: bool =
 
 def file_sizes(spark: SparkSession, path: str, partition_by: str) -> DataFrame:
     """(file, bytes, day) of every data file, from a listing that tasks make; no file is read."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+    files = listing_by_cores(spark).read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
     return files.select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("bytes"),
         F.col(partition_by).alias("day"),

@@ -13,7 +13,7 @@ from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chartlake.sources.readers import root_paths
+from chartlake.sources.readers import listing_by_cores, root_paths
 
 SETTING = "spark.checkpoint.dir"
 WAREHOUSE = "spark.sql.warehouse.dir"
@@ -49,7 +49,7 @@ def staged(df: DataFrame, name: str, balance: bool = False) -> DataFrame:
     if opened is not None:
         opened.append(path)
     (df.hint("rebalance") if balance else df).write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return listing_by_cores(df.sparkSession).read.schema(df.schema).parquet(path)
 
 
 @contextmanager

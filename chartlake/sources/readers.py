@@ -8,6 +8,23 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Spark lists a table of more than 32 folders in a job of one task a folder, up to this number.
+LISTING = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+LISTING_TASKS_PER_CORE, MOST_LISTING_TASKS = 4, 10_000
+
+
+def listing_by_cores(spark: SparkSession) -> SparkSession:
+    """``spark``, after limiting its listing jobs to a few tasks a core.
+
+    Folders are dealt evenly to the tasks, so a table of a thousand days is listed in a
+    second and not in the ten that a thousand tasks take.
+    """
+    wanted = min(MOST_LISTING_TASKS, LISTING_TASKS_PER_CORE * spark.sparkContext.defaultParallelism)
+    if int(spark.conf.get(LISTING)) > wanted:
+        spark.conf.set(LISTING, wanted)
+    return spark
+
+
 def read_json(
     spark: SparkSession, path: str, schema: str | None = None, multi_line: bool = False
 ) -> DataFrame:
@@ -17,7 +34,7 @@ def read_json(
     otherwise each line is a document and large files are split. Without ``schema``
     Spark reads the whole input once more to infer it.
     """
-    reader = spark.read.option("multiLine", multi_line)
+    reader = listing_by_cores(spark).read.option("multiLine", multi_line)
     if schema:
         reader = reader.schema(schema)
     return reader.json(path)
@@ -27,7 +44,7 @@ def read_csv(
     spark: SparkSession, path: str, schema: str | None = None, separator: str = ","
 ) -> DataFrame:
     """Delimited text with a header row; types are inferred unless given."""
-    reader = spark.read.option("header", True).option("sep", separator)
+    reader = listing_by_cores(spark).read.option("header", True).option("sep", separator)
     reader = reader.schema(schema) if schema else reader.option("inferSchema", True)
     return reader.csv(path)
 
@@ -36,7 +53,7 @@ def read_parquet(
     spark: SparkSession, path: str, schema: str | None = None, merge_schema: bool = False
 ) -> DataFrame:
     """Parquet directory; partition folders come back as typed columns, placed last."""
-    reader = spark.read.option("mergeSchema", merge_schema)
+    reader = listing_by_cores(spark).read.option("mergeSchema", merge_schema)
     if schema:
         reader = reader.schema(schema)
     return reader.parquet(path)

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chartlake.sources.readers import partition_columns, read_parquet
+from chartlake.sources.readers import listing_by_cores, partition_columns, read_parquet
 
 # Whole numbers and fractions from narrow to wide.
 WHOLE = [T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType()]
@@ -99,7 +99,7 @@ def _nullable(kind: T.DataType) -> T.DataType:
 
 def merged_or_none(spark: SparkSession, path: str | list[str], base: str | None = None) -> DataFrame | None:
     """The files read with ``mergeSchema``; ``None`` if their types cannot be merged."""
-    reader = spark.read.option("mergeSchema", True)
+    reader = listing_by_cores(spark).read.option("mergeSchema", True)
     reader = reader.option("basePath", base) if base else reader
     try:
         return reader.parquet(*([path] if isinstance(path, str) else path))
