@@ -1,72 +1,72 @@
 """Licence scan: notices in texts, licence files, and inheritance by directory (native).
 
-Lines of a text are compared with templates of licence notices by the cosine of sparse
-tf-idf vectors. A licence file speaks for its directory; a file without a notice of its
-own inherits from the nearest directory above it that has a licence file.
+Windows of consecutive words, anywhere in a text and across its lines, are compared with
+templates of headers and licence texts by the cosine of sparse tf-idf vectors. A licence file
+speaks for its directory; a file without a notice of its own inherits from the nearest
+directory above it that has a licence file.
 """
 
 from __future__ import annotations
 
 import math
-import re
 from collections import Counter
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from chartlake.llm.notices import TOKEN, Template, templates
 from chartlake.llm.shared import chosen, staged
 
 THRESHOLD = 0.7
-# Words with their numbers: "2.0" is one.
-TOKEN = r"[a-z0-9]+(?:\.[0-9]+)*"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-# The notices that licences ask for, with their SPDX names.
-TEMPLATES = (
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License."),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
-    ("CC-BY-4.0", "Licensed under CC BY 4.0."),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
-    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
-    ("MIT", "Released under the MIT License."),
-    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
-    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
-)
-
 
 def tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.translate(text, UPPER, LOWER), F.lit(f"({TOKEN})"), F.lit(1))
 
 
-def template_vectors(idf: dict[str, float]) -> list[tuple[int, str, dict[str, float]]]:
-    """(number, licence, unit vector) of each template."""
-    found = []
-    for i, (licence, text) in enumerate(TEMPLATES):
-        counts = Counter(re.findall(TOKEN, text.lower()))
-        raw = {t: n * idf[t] for t, n in counts.items()}
-        norm = math.sqrt(sum(w * w for w in raw.values()))
-        found.append((i, licence, {t: w / norm for t, w in raw.items()}))
-    return found
+def unit_vector(template: Template, idf: dict[str, float]) -> dict[str, float]:
+    raw = {t: n * idf[t] for t, n in Counter(template.words).items()}
+    norm = math.sqrt(sum(w * w for w in raw.values()))
+    return {t: w / norm for t, w in raw.items()}
+
 
+def anchor(template: Template, frequency: dict[str, int]) -> tuple[str, list[int]]:
+    """The rarest of the words that a window must have, and where the template has it."""
+    word = min(template.named, key=lambda t: (frequency.get(t, 0), t))
+    return word, [i for i, t in enumerate(template.words) if t == word]
 
-def telling(vectors: list[tuple[int, str, dict[str, float]]], threshold: float) -> list[str]:
-    """Terms of which a line needs at least one to reach the threshold with any template.
 
-    The lightest terms of a template that together stay below the threshold are left out:
-    by the Cauchy-Schwarz inequality a line with none but those cannot reach it.
+def windows(texts: DataFrame, known: list[Template], frequency: dict[str, int]) -> DataFrame:
+    """(_row, start, template, closing, words): the windows that can be notices.
+
+    ``texts`` has (_row, words). For each template a window of its length is laid wherever
+    the text has the template's anchor, so that the anchor stands where the template has it,
+    as far as the text goes. Windows without all the words that name the licence are left
+    out. ``closing``: the window reaches the end of the text.
     """
-    needed: set[str] = set()
-    for _, _, vector in vectors:
-        light = 0.0
-        for term, weight in sorted(vector.items(), key=lambda x: (x[1], x[0])):
-            light += weight * weight
-            if light >= threshold * threshold * 0.999:
-                needed.add(term)
-    return sorted(needed)
+    # A table of a few hundred rows that the templates fix.
+    laid = texts.sparkSession.createDataFrame(
+        [
+            (word, i, place, len(template.words), template.named)
+            for i, template in enumerate(known)
+            for word, places in [anchor(template, frequency)]
+            for place in places
+        ],
+        "anchor string, template int, place int, length int, named array<string>",
+    )
+    met = texts.select("_row", F.posexplode("words").alias("at", "anchor")).join(F.broadcast(laid), "anchor")
+    return (
+        met.join(texts, "_row")
+        .withColumn("start", F.greatest(F.lit(0), F.col("at") - F.col("place")))
+        .withColumn("end", F.least(F.size("words"), F.col("at") - F.col("place") + F.col("length")))
+        .select(
+            "_row", "start", "template", (F.col("end") == F.size("words")).alias("closing"), "named",
+            F.slice("words", F.col("start") + 1, F.col("end") - F.col("start")).alias("words"),
+        )
+        .filter(F.size(F.array_except("named", "words")) == 0)
+        .drop("named")
+    )
 
 
 def scan(files: DataFrame, path_col: str, text_col: str, speaks: Column, threshold: float = THRESHOLD) -> DataFrame:
@@ -74,9 +74,11 @@ def scan(files: DataFrame, path_col: str, text_col: str, speaks: Column, thresho
 
     ``files`` has a path (directories separated by ``/``), a text, and what else is to be
     kept. ``speaks`` decides whether a notice makes its file a licence file; it may use
-    ``_path`` and ``closing``, whether the notice is the last line with words.
-    ``how``: ``notice``, ``inherited`` or null. Of several notices the one most similar
-    counts, then the licence first by name; of several licence files in a directory too.
+    ``_path`` and ``closing``, whether the notice ends with the last word of the text.
+    ``how``: ``notice``, ``inherited`` or null. Of several notices the one counts whose score
+    to one decimal is highest, then the one of the longest template, since a text can hold
+    the shorter text of another licence, then the highest score, then the licence first by
+    name; of several licence files in a directory too.
 
     Frequencies are counted over all files; a word of no template has the weight of an
     unseen one. Null and empty texts have no notice and can inherit. A null path is an
@@ -84,65 +86,70 @@ def scan(files: DataFrame, path_col: str, text_col: str, speaks: Column, thresho
     rows.
     """
     spark = files.sparkSession
-    names = sorted({t for _, text in TEMPLATES for t in re.findall(TOKEN, text.lower())})
-    known = F.array(*map(F.lit, names))
+    known = templates()
+    names = sorted({t for template in known for t in template.words})
     kept = [c for c in files.columns if c not in (path_col, text_col)]
     plain = files.select(
         F.col(path_col).alias("_path"), F.col(text_col).alias("_text"), *[F.col(c).alias(f"k{i}") for i, c in enumerate(kept)]
     )
     # One row per template word at most.
-    found = F.array_intersect(tokens(F.coalesce("_text", F.lit(""))), known)
+    found = F.array_intersect(tokens(F.coalesce("_text", F.lit(""))), F.array(*map(F.lit, names)))
     counted = plain.select(F.explode(found).alias("t")).groupBy("t").count().collect()
     total = plain.count()
     frequency = {r["t"]: r["count"] for r in counted}
     idf = {t: math.log((1 + total) / (1 + frequency.get(t, 0))) + 1 for t in names}
     unseen = math.log(1 + total) + 1
-    vectors = template_vectors(idf)
-    needed = F.array(*map(F.lit, telling(vectors, threshold)))
-
-    # Of the texts only the lines that can match are kept.
-    spoken = F.filter(F.split("_text", "\n"), lambda x: F.rlike(F.lower(x), F.lit("[a-z0-9]")))
-    numbered = F.transform(
-        F.col("_spoken"),
-        lambda x, i: F.struct(
-            i.alias("line"), (i == F.size("_spoken") - 1).alias("closing"), tokens(x).alias("words")
-        ),
-    )
+
+    # Only texts with an anchor go on with their words.
+    anchors = sorted({anchor(template, frequency)[0] for template in known})
+    words = tokens(F.col("_text"))
     entries = staged(
-        plain.withColumn("_spoken", spoken).withColumns({
-            "_lines": F.filter(numbered, lambda x: F.arrays_overlap(x["words"], needed)),
+        plain.withColumn("words", words).withColumns({
+            "words": F.when(F.arrays_overlap("words", F.array(*map(F.lit, anchors))), F.col("words")),
             "_dir": F.when(F.instr("_path", "/") > 0, F.regexp_replace("_path", "/[^/]*$", "")),
             "_row": F.monotonically_increasing_id(),
-        }).drop("_text", "_spoken"),
+        }).drop("_text"),
         "files",
     )
-    lines = entries.select("_row", "_path", "_dir", F.inline("_lines")).withColumn("speaks", speaks)
-    lines = staged(lines, "lines")
-    # A table of a few hundred rows that the templates fix.
+    spans = staged(
+        windows(entries.filter("words is not null").select("_row", "words"), known, frequency).distinct(), "windows"
+    )
+    # A table of a few thousand rows that the templates fix.
     weights = spark.createDataFrame(
-        [(t, i, lic, w) for i, lic, vector in vectors for t, w in sorted(vector.items())],
-        "term string, template int, licence string, share double",
+        [
+            (t, i, template.licence, len(template.words), w)
+            for i, template in enumerate(known) for t, w in sorted(unit_vector(template, idf).items())
+        ],
+        "term string, template int, licence string, length int, share double",
     )
     idfs = spark.createDataFrame(sorted(idf.items()), "term string, idf double")
+    window = ["_row", "start", "template", "closing"]
     terms = (
-        lines.select("_row", "line", F.explode("words").alias("term"))
-        .groupBy("_row", "line", "term").agg(F.count("*").alias("tf"))
+        spans.select(*window, F.explode("words").alias("term"))
+        .groupBy(*window, "term").agg(F.count("*").alias("tf"))
         .join(F.broadcast(idfs), "term", "left")
         .withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(unseen)))
+        .join(F.broadcast(weights), ["term", "template"], "left")
     )
-    norms = terms.groupBy("_row", "line").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
     cosines = (
-        terms.join(F.broadcast(weights), "term")
-        .groupBy("_row", "line", "template", "licence").agg(F.sum(F.col("w") * F.col("share")).alias("dot"))
-        .join(norms, ["_row", "line"])
+        terms.groupBy(*window)
+        .agg(
+            F.max("licence").alias("licence"), F.max("length").alias("length"), F.sum(F.col("w") * F.coalesce("share", F.lit(0.0))).alias("dot"),
+            F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"),
+        )
         .withColumn("score", F.round(F.col("dot") / F.col("norm"), 6))
         .filter(F.col("score") >= threshold)
     )
-    rank = F.struct((-F.col("score")).alias("less"), "licence")
-    best_lines = cosines.groupBy("_row", "line").agg(F.min(rank).alias("best")).join(lines, ["_row", "line"])
-    noticed = best_lines.groupBy("_row").agg(F.min("best").alias("own"))
+    rank = F.struct(
+        (-F.round("score", 1)).alias("about"), (-F.col("length")).alias("shorter"), (-F.col("score")).alias("less"), "licence"
+    )
+    places = entries.select("_row", "_path", "_dir")
+    best_windows = (
+        cosines.groupBy("_row", "closing").agg(F.min(rank).alias("best")).join(places, "_row").withColumn("speaks", speaks)
+    )
+    noticed = best_windows.groupBy("_row").agg(F.min("best").alias("own"))
     speaking = (
-        best_lines.filter("speaks and _dir is not null").groupBy("_dir").agg(F.min("best").alias("given"))
+        best_windows.filter("speaks and _dir is not null").groupBy("_dir").agg(F.min("best").alias("given"))
     )
 
     # Each directory finds its nearest licensed ancestor, itself first.
@@ -158,7 +165,7 @@ def scan(files: DataFrame, path_col: str, text_col: str, speaks: Column, thresho
     )
     own, near = F.col("own"), F.col("near")
     return (
-        entries.drop("_lines")
+        entries.drop("words")
         .join(noticed, "_row", "left")
         .join(above, "_dir", "left")
         .select(
