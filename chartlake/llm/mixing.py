@@ -17,6 +17,10 @@ WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 CEILING = 2
 BLOCK_WORDS = 128
+# A source has at least so many blocks, or one for each word, so its blocks may be shorter.
+LEAST_BLOCKS = 4096
+# Blocks are made longer than asked for when a mix would have more slots than this.
+MOST_SLOTS = 1 << 30
 SHARD_BLOCKS = 8192
 CELL_ROWS = 4096
 # Primes just below 2^31. A source has fewer blocks, so each is coprime to any block count.
@@ -98,6 +102,10 @@ def mix(
 ) -> tuple[DataFrame, DataFrame]:
     """(pieces, slots) of the mix.
 
+    All blocks of a source have the same length: ``block_words``, less for a source that
+    would have fewer than ``LEAST_BLOCKS`` blocks, so that a short source meets its target
+    too, and more for a mix of over 2^30 blocks.
+
     ``pieces``: doc_id, source, size, source_size, target, start, block, words: which words
     of which document a block holds; documents without words have a null block.
     ``slots``: source, shard, slot, block: what each output shard takes. A block is taken
@@ -119,11 +127,17 @@ def mix(
         ),
         "sizes",
     )
-    length = F.lit(block_words).cast("long")
-    blocks = F.ceil(F.col("source_size") / length)
+    everything = Window.partitionBy(F.lit(0))
+    asked = F.greatest(
+        F.lit(block_words), F.ceil(F.sum("source_size").over(everything) * F.lit(share) / F.lit(MOST_SLOTS))
+    )
     sources = staged(
         source_targets(entries, weights, share)
-        .withColumn("blocks", F.coalesce(blocks, F.lit(0)))
+        .withColumn(
+            "length",
+            F.greatest(F.lit(1), F.least(asked, F.floor(F.col("source_size") / LEAST_BLOCKS))).cast("long"),
+        )
+        .withColumn("blocks", F.coalesce(F.ceil(F.col("source_size") / F.col("length")), F.lit(0)))
         .withColumn(
             "quota",
             F.when(F.col("source_size") > 0, F.round(F.col("target") / F.col("source_size") * F.col("blocks")))
@@ -132,10 +146,10 @@ def mix(
         )
         .withColumn("first", F.coalesce(F.sum("quota").over(
             Window.orderBy("source_no").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-        .withColumn("all", F.sum("quota").over(Window.partitionBy(F.lit(0))))
+        .withColumn("all", F.sum("quota").over(everything))
         .withColumn(
-            "blocks",
-            F.when(F.greatest("blocks", "all") >= PRIMES[-1], F.raise_error(F.lit("use longer blocks")))
+            "blocks",  # only some 100,000 sources, each with many short blocks, come to this
+            F.when(F.greatest("blocks", "all") >= PRIMES[-1], F.raise_error(F.lit("too many blocks")))
             .otherwise(F.col("blocks")),
         ),
         "sources",
@@ -144,16 +158,17 @@ def mix(
     # Packing: where each document starts in the words of its source.
     cells = F.ceil(F.col("source_rows") / F.lit(CELL_ROWS))
     joined = entries.join(
-        sources.select("source", "source_no", "source_size", "source_rows", "target", "blocks"),
+        sources.select("source", "source_no", "source_size", "source_rows", "target", "length"),
         entries["source"].eqNullSafe(sources["source"]),
     ).drop(sources["source"])
     cell = F.pmod(F.coalesce("doc_id", "size"), cells)
     packed = numbered(
         joined, ["source_no"], cell, [F.col("doc_id"), F.col("size")], F.col("size"), "start"
     )
+    length = F.col("length")
     first, last = F.floor(F.col("start") / length), F.floor((F.col("start") + F.col("size") - 1) / length)
     pieces = packed.select(
-        "doc_id", "source", "source_no", "size", "source_size", "target", "start",
+        "doc_id", "source", "source_no", "size", "source_size", "target", "start", "length",
         F.explode_outer(F.when(F.col("size") > 0, F.sequence(first, last))).alias("block"),
     ).withColumn(
         "words",
@@ -176,6 +191,8 @@ def mix(
     before = Window.partitionBy("source_no").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     slots = (
         drawn.withColumn("from", F.coalesce(F.sum("n").over(before), F.lit(0)))
+        # One row a source and shard up to here; a shard's slots are made in a task of their own.
+        .repartition("source_no", "shard")
         .withColumn("slot", F.explode(F.sequence(F.col("from"), F.col("from") + F.col("n") - 1)))
         .join(sources.select("source_no", "source", "blocks"), "source_no")
         .withColumn("epoch", F.floor(F.col("slot") / F.col("blocks")))
@@ -187,20 +204,27 @@ def mix(
 
 
 def mixed_sizes(docs: DataFrame, **options) -> DataFrame:
-    """One row per document: doc_id, size, source_size, target, taken.
+    """One row per document: doc_id, source, size, source_size, target, taken, shards.
 
-    ``taken`` are the words of the document that the mix takes, repeats counted; see
+    ``taken`` are the words of the document that the mix takes, repeats counted, and
+    ``shards`` lists how many of them each output shard takes (shard, words), by shard; see
     :func:`mix` for nulls, empty texts, ties and repeated rows.
     """
     pieces, slots = mix(docs, **options)
-    times = slots.groupBy("source_no", "block").agg(F.count("*").alias("times"))
+    times = slots.groupBy("source_no", "block", "shard").agg(F.count("*").alias("times"))
+    row = ["source_no", "start", "doc_id", "source", "size", "source_size", "target"]
     whole = pieces.filter("size > 0")
-    taken = (
+    by_shard = (
         whole.join(times, ["source_no", "block"], "left")
-        .groupBy("source_no", "start", "doc_id", "source", "size", "source_size", "target")
-        .agg(F.sum(F.coalesce("times", F.lit(0)) * F.col("words")).alias("taken"))
+        .groupBy(*row, "shard")
+        .agg(F.sum(F.coalesce("times", F.lit(0)) * F.col("words")).alias("words"))
+    )
+    taken = by_shard.groupBy(*row).agg(
+        F.sum("words").alias("taken"),
+        F.array_sort(F.collect_list(F.when(F.col("words") > 0, F.struct("shard", "words")))).alias("shards"),
     )
-    columns = ["doc_id", "source", "size", "source_size", "target", "taken"]
+    columns = ["doc_id", "source", "size", "source_size", "target", "taken", "shards"]
+    none = F.array().cast("array<struct<shard: bigint, words: bigint>>")
     return taken.select(*columns).unionByName(
-        pieces.filter("size = 0").withColumn("taken", F.lit(0).cast("long")).select(*columns)
+        pieces.filter("size = 0").withColumns({"taken": F.lit(0).cast("long"), "shards": none}).select(*columns)
     )

@@ -15,7 +15,15 @@ from chartlake.llm.licenses import document_licenses
 from chartlake.llm.lines import drop_repeated_lines
 from chartlake.llm.lm import lm_scores
 from chartlake.llm.ngram_join import ngram_join
-from chartlake.llm.mixing import BLOCK_WORDS, CELL_ROWS, PRIMES, mixed_sizes
+from chartlake.llm.mixing import (
+    BLOCK_WORDS,
+    CELL_ROWS,
+    LEAST_BLOCKS,
+    MOST_SLOTS,
+    PRIMES,
+    SHARD_BLOCKS,
+    mixed_sizes,
+)
 from chartlake.llm.negatives import hard_negatives
 from chartlake.llm.quality import classify
 from chartlake.llm.repeats import repeated_passages
@@ -81,43 +89,52 @@ OP2_SQL = f"""
         SELECT source, source_no, source_size, source_rows,
                least(f::DOUBLE, coalesce((SELECT arg_min(level, ratio * 1000003 + source_no)
                                           FROM l WHERE ratio >= level) * weight, f::DOUBLE)) AS target,
-               (source_size + {BLOCK_WORDS - 1}) // {BLOCK_WORDS} AS blocks
+               greatest(1, least(greatest({BLOCK_WORDS}, ceil(sum(source_size) OVER () * 1.5 / {MOST_SLOTS})),
+                                 source_size // {LEAST_BLOCKS}))::BIGINT AS length,
+               (source_size + length - 1) // length AS blocks
         FROM l
     ), h AS (
-        SELECT *, CASE WHEN source_size > 0
-                       THEN round(target / source_size * blocks)::BIGINT ELSE 0 END AS quota
-        FROM g
+        SELECT *, coalesce(sum(quota) OVER (ORDER BY source_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT
+                  AS first, (sum(quota) OVER ())::BIGINT AS total
+        FROM (SELECT *, CASE WHEN source_size > 0 THEN round(target / source_size * blocks)::BIGINT ELSE 0 END AS quota FROM g)
+    ), dealt AS (
+        SELECT source_no, blocks, {_permuted_sql("first + k", "total", "3")} // {SHARD_BLOCKS} AS shard
+        FROM (SELECT source_no, blocks, first, total, unnest(range(quota)) AS k FROM h)
     ), slots AS (
-        SELECT source_no, unnest(range(quota)) AS slot, blocks FROM h
+        SELECT source_no, blocks, shard, row_number() OVER (PARTITION BY source_no ORDER BY shard) - 1 AS slot FROM dealt
     ), taken AS (
-        SELECT source_no, block, count(*) AS times FROM (
-            SELECT source_no, {_permuted_sql("slot % blocks", "blocks", "source_no * 31 + slot // blocks * 17")} AS block
+        SELECT source_no, block, shard, count(*) AS times FROM (
+            SELECT source_no, shard, {_permuted_sql("slot % blocks", "blocks", "source_no * 31 + slot // blocks * 17")} AS block
             FROM slots) GROUP BY ALL
     ), d AS (
-        SELECT row_no, doc_id, size, source_size, target, source_no, blocks,
+        SELECT row_no, doc_id, size, source_size, target, source_no, length,
                sum(size) OVER (PARTITION BY source_no
                    ORDER BY coalesce(doc_id, size) % ((source_rows + {CELL_ROWS - 1}) // {CELL_ROWS}),
                             doc_id NULLS FIRST, size, row_no) - size AS start
         FROM t JOIN h ON t.source IS NOT DISTINCT FROM h.source
     ), p AS (
-        SELECT row_no, source_no, start, size,
-               unnest(range((start // {BLOCK_WORDS})::BIGINT,
-                            ((start + size - 1) // {BLOCK_WORDS} + 1)::BIGINT)) AS block
+        SELECT row_no, source_no, start, size, length,
+               unnest(range((start // length)::BIGINT, ((start + size - 1) // length + 1)::BIGINT)) AS block
         FROM d WHERE size > 0
     ), o AS (
-        SELECT row_no, sum(times * (least(start + size, (block + 1) * {BLOCK_WORDS})
-                                    - greatest(start, block * {BLOCK_WORDS})))::BIGINT AS taken
-        FROM p JOIN taken USING (source_no, block) GROUP BY row_no
+        SELECT row_no, shard, sum(times * (least(start + size, (block + 1) * length)
+                                           - greatest(start, block * length)))::BIGINT AS words
+        FROM p JOIN taken USING (source_no, block) GROUP BY row_no, shard
+    ), w2 AS (
+        SELECT row_no, sum(words)::BIGINT AS taken, string_agg(shard || ':' || words, ',' ORDER BY shard) AS shard_words
+        FROM o GROUP BY row_no
     )
-    SELECT doc_id, size, source_size, target, coalesce(taken, 0)::BIGINT AS taken
-    FROM d LEFT JOIN o USING (row_no)
+    SELECT doc_id, size, source_size, target, coalesce(taken, 0)::BIGINT AS taken,
+           coalesce(shard_words, '') AS shard_words
+    FROM d LEFT JOIN w2 USING (row_no)
     """
 
 
 @query("op2_mixing", OP2_SQL)
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = F.transform("shards", lambda x: F.concat(x["shard"].cast("string"), F.lit(":"), x["words"].cast("string")))
     return mixed_sizes(read_table(spark, sf_dir, "documents")).select(
-        "doc_id", "size", "source_size", "target", "taken"
+        "doc_id", "size", "source_size", "target", "taken", F.array_join(words, ",").alias("shard_words")
     )
 
 
