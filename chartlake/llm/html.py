@@ -13,6 +13,7 @@ import re
 from collections import Counter
 from functools import lru_cache
 from html import unescape
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +23,8 @@ from pyspark.sql import functions as F
 from chartlake.llm.shared import chosen, staged
 
 GROUP_PAGES = 256
-# A slot is template text if this share of at least so many different pages agrees on it.
+# A slot is template text if this share of at least so many different pages agrees on it, or
+# all of fewer pages.
 AGREE, AT_LEAST = 0.8, 5
 # Scores of pairs of shapes that are remembered in a group of pages; others are computed anew.
 REMEMBERED = 1 << 17
@@ -287,29 +289,49 @@ def texts_of(node: Node) -> list[Node]:
 
 
 def template_slots(roots: list[Node], different: list[int]) -> set[int]:
-    """Text blocks with the same content in their slot on nearly all of the different pages."""
-    model = max(different, key=lambda i: len(texts_of(roots[i])) if len(texts_of(roots[i])) < 200 else 0)
-    slots: dict[int, list[Node]] = {}
+    """Text blocks with the same content in their slot on nearly all of the different pages.
+
+    Slots are those of the page with the most text blocks. Where a text stands outside of
+    all slots on enough pages, one of these pages is the next model, for what is left. On
+    fewer than ``AT_LEAST`` pages all must agree, and what is inside of articles is left alone.
+    """
+    few = len(different) < AT_LEAST
+    need = len(different) if few else max(AT_LEAST, ceil(AGREE * len(different)))
+    own = {i: texts_of(roots[i]) for i in different}
     alignment = Alignment()
     for i in different:
         alignment.add(roots[i])
-    for i in different:
-        for mine, other in alignment.pairs(roots[model], roots[i]):
-            slots.setdefault(id(mine), []).append(other)
-    constant = []
-    for found in slots.values():
-        text, n = Counter(t.text for t in found).most_common(1)[0]
-        if n >= AT_LEAST and n >= AGREE * len(different):
-            constant.append([t for t in found if t.text == text])
-    own = [t for t in texts_of(roots[model]) if t.mark not in NEVER]
-    articles = any(t.inside for t in own)
+    first = model = max(different, key=lambda i: len(own[i]))
+    held: set[int] = set()
+    constant: list[list[Node]] = []
+    while True:
+        slots: dict[int, list[Node]] = {}
+        for i in different:
+            for mine, other in alignment.pairs(roots[model], roots[i]):
+                if id(mine) not in held and id(other) not in held:
+                    slots.setdefault(id(mine), []).append(other)
+        for found in slots.values():
+            held.update(map(id, found))
+            text, n = Counter(t.text for t in found).most_common(1)[0]
+            if n >= need:
+                constant.append([t for t in found if t.text == text])
+        loose: dict[str, list[int]] = {}
+        for i in different:
+            for text in {t.text for t in own[i] if id(t) not in held}:
+                loose.setdefault(text, []).append(i)
+        waiting = [pages[0] for pages in loose.values() if len(pages) >= need]
+        if not waiting:
+            break
+        model = min(waiting)  # all of its blocks are held after its turn
+    shown = [t for t in own[first] if t.mark not in NEVER]
+    articles = any(t.inside for t in shown)
     template: set[int] = set()
-    for inside in (False, True):
+    for inside in (False,) if few else (False, True):
         here = [c for c in constant if c[0].inside == inside]
         found = {id(t) for c in here for t in c}
-        size = sum(len(t.text) for t in own if t.inside == inside)
+        size = sum(len(t.text) for t in shown if t.inside == inside)
         # Where most of the text agrees, the pages are versions of one text.
-        if 2 * sum(len(t.text) for t in own if id(t) in found) <= size or (articles and not inside):
+        if 2 * sum(len(t.text) for t in shown if id(t) in found) <= size or (articles and not inside):
             template |= found
     return template
 
@@ -320,7 +342,7 @@ def extract_group(pages: list[str | None], marks: bool = True) -> list[str]:
     blocks = [[t for t in texts_of(root) if t.mark != "head"] for root in roots]
     # Copies of a page say nothing about its template.
     different = list({tuple(t.text for t in own): i for i, own in reversed(list(enumerate(blocks)))}.values())
-    template = template_slots(roots, different) if len(different) >= AT_LEAST else set()
+    template = template_slots(roots, different) if len(different) > 1 else set()
     varying = [[t for t in own if id(t) not in template] for own in blocks]
     if not marks:
         return ["\n".join(t.text for t in own) for own in varying]
