@@ -119,6 +119,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, latent: int =
     Document frequencies are counted over all documents. The labelled rows are those of
     each class with the smallest hashes of their id, at most ``sample`` a class; rows with
     conflicting labels for one id, with null labels or of the held-out fold do not count.
+    Where an id stands on several texts, the one with the smallest hash is learnt from.
     """
     spark = small_batches(docs).sparkSession
     counted = (
@@ -141,9 +142,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, latent: int =
         own = usable.filter(F.col("label") == label).orderBy("turn", "doc_id").limit(sample)
         drawn = own if drawn is None else drawn.unionByName(own)
     drawn = spark.createDataFrame(drawn.select("doc_id", "label").collect(), "doc_id long, label int")
-    # Few, narrow rows, at most two per sampled id's worth of copies in the table.
+    # Of texts with the same id the one with the smallest hash, whatever the order of the rows.
     rows = (
-        docs.join(F.broadcast(drawn), "doc_id").dropDuplicates(["doc_id"])
+        docs.join(F.broadcast(drawn), "doc_id")
+        .groupBy("doc_id", "label").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text"))["text"].alias("text"))
         .select("text", "label").mapInArrow(sample_features(idf), "features binary, label int").collect()
     )
     class_sizes = {r["label"]: r["count"] for r in usable.groupBy("label").count().collect()}
