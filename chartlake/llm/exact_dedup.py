@@ -106,16 +106,16 @@ def exact_dedup(
         "index",
     )
 
-    # Bytes are compared only where a hash has several rows. Grouping by the text itself
-    # collapses copies within each task before the shuffle.
-    repeated = keys.filter("n > 1").select("key")
+    # Bytes are compared by grouping on the texts themselves: copies collapse within each
+    # task, every different text is shuffled once whatever the sizes are, and texts that
+    # share a hash but differ give it a second row.
     compared = (
-        bare.select("key", "sha", "norm")
-        .join(repeated, "key", "left_semi")
-        .groupBy("key", "sha", "norm")
-        .agg(F.count("*").alias("n"))
+        bare.groupBy("key", "sha", "norm")
+        .agg(F.lit(1).alias("one"))
         .groupBy("key", "sha")
         .agg(F.count("*").alias("texts"))
+        .filter("texts > 1")
+        .hint("merge")
     )
     # Owner tasks: each takes a range of buckets, and the chain of a hash is in one of them.
     along = Window.partitionBy("bucket", "key").orderBy("sha")
