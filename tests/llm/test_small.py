@@ -346,3 +346,136 @@ def test_classifier_learns_from_a_thousand_rows_a_class_sent_small():
     assert quality.SAMPLE == 1000
     for own, data in zip(raw, sent.column("features").to_pylist()):
         assert len(data) < own.nbytes / 4 and zlib.decompress(data) == own.tobytes()
+
+
+def test_classifier_chooses_among_texts_of_one_id_by_hash(stored, spark):
+    rows = [(i // 2, prose(i, 60 + i % 7) if i % 4 < 2 else prose(i, 60).replace("w", "$"), "a") for i in range(400)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, quality int")
+
+    def scores(own, files):
+        return {(r["doc_id"], round(r["score"], 9)) for r in classify(stored(own, files), labels, sample=20).collect()}
+
+    assert scores(rows, 1) == scores(rows[::-1], 5)
+
+
+def test_votes_are_those_of_the_nearest_neighbours():
+    """Blocked cosine products against every vector one by one."""
+    rng = np.random.default_rng(11)
+    idf = np.ones(quality.FEATURES, np.float32)
+    texts = [prose(i, 5 + i) for i in range(70)] + [None, ""]
+    matrix = quality.features(texts[:40], idf)
+    axes = np.linalg.qr(rng.normal(size=(matrix.shape[1], 24)))[0].astype(np.float32)
+    vectors, labels = quality.projected(matrix, axes), (np.arange(40) % 3 == 0).astype(np.float32)
+    voters = {"idf": idf, "axes": axes, "vectors": vectors, "labels": labels, "prior": 0.5}
+
+    class Broadcast:
+        value = voters
+
+    batch = pa.RecordBatch.from_pydict({"_text": pa.array(texts), "doc_id": pa.array(range(len(texts)))})
+    (out,) = quality.scorer(Broadcast, 7)(iter([batch]))
+    for text, score in zip(texts, out.column("_score").to_pylist()):
+        own = quality.projected(quality.features([text], idf), axes)[0]
+        order = sorted(range(40), key=lambda j: -float(own @ vectors[j]))[:7]
+        weights = [max(float(own @ vectors[j]), 0) ** 4 + 1e-6 for j in order]
+        assert score == pytest.approx(sum(w * labels[j] for w, j in zip(weights, order)) / sum(weights), rel=1e-4)
+
+
+def test_shards_against_brute_force(stored):
+    """The smallest capacity is found by trying every one, over the groups in their order."""
+    rows = [(i, prose(i % 90, 1 + i * 13 % 40), "a") for i in range(300)]
+    found = shard_documents(stored(rows), shards=5).collect()
+    sizes, shard_of = Counter(), {}
+    for r in found:
+        sizes[r["text_crc32"]] += r["size"]
+        shard_of[r["text_crc32"]] = r["shard"]
+    # Contiguous in the order of shards and slots, every group whole.
+    order = list(dict.fromkeys(r["text_crc32"] for r in sorted(found, key=lambda r: (r["shard"], r["slot"]))))
+    groups = [sizes[k] for k in order]
+
+    def shards_needed(capacity):
+        count, filled = 1, 0
+        for g in groups:
+            if filled + g > capacity:
+                count, filled = count + 1, 0
+            filled += g
+        return count
+
+    least = next(c for c in range(max(groups), sum(groups) + 1) if shards_needed(c) <= 5)
+    fill = Counter()
+    for k in order:
+        fill[shard_of[k]] += sizes[k]
+    assert max(fill.values()) == least
+
+
+def test_short_sources_meet_their_targets(stored):
+    for words in (400, 50, 1):
+        docs = stored([(10 * words + 3 * i + s, prose(i * 3 + s, 1 if words == 1 else words // 5), f"s{s}") for s in range(3) for i in range(5 if words > 1 else 1)])
+        taken, target = Counter(), {}
+        for r in mixed_sizes(docs).collect():
+            taken[r["source"]] += r["taken"]
+            target[r["source"]] = r["target"]
+            assert r["taken"] == sum(x["words"] for x in r["shards"]) <= 2 * r["size"]
+        assert all(abs(taken[s] - target[s]) <= max(0.02 * target[s], 0.5) for s in target)
+
+
+def test_pipeline_stages_with_clashing_columns_and_empty_tables(stored, spark, tmp_path):
+    import corpus_pipeline
+
+    rows = [(i, prose(i, 60), f"s{i % 3}") for i in range(30)] + [(100 + i, prose(i, 60), "s0") for i in range(5)] + odd_rows()
+    plain = stored(rows)
+    names = ["_row", "_ROW", "_times", "_copy", "row_key", "times", "copy", "file", "place", "start", "c0", "_metadata", "id", "name"]
+    wide = plain.withColumns({n: F.concat(F.lit(n), F.col("doc_id").cast("string")) for n in names if n != "_ROW"})
+    wide.write.parquet(str(tmp_path / "wide"))
+    sf = str(tmp_path)
+    spark.createDataFrame([("x", prose(7, 60))], "item_id string, text string").write.parquet(f"{sf}/benchmark.parquet")
+    spark.createDataFrame([(i, i % 2) for i in range(30)], "doc_id long, quality int").write.parquet(f"{sf}/labels.parquet")
+    docs = spark.read.parquet(str(tmp_path / "wide"))
+    for name, stage in corpus_pipeline.STAGES:
+        got, want = stage(spark, docs, sf), stage(spark, plain, sf)
+        if name != "sharding":
+            assert got.columns == docs.columns
+            assert got.filter("_row is not null and _row <> concat('_row', doc_id)").isEmpty()
+        if name == "mixing":  # how often a row is taken depends on where it is stored
+            assert set(lists(got, "doc_id")) <= set(lists(docs, "doc_id"))
+            assert lists(got, "doc_id") == lists(stage(spark, docs, sf), "doc_id")
+        else:
+            assert lists(got, "doc_id") == lists(want, "doc_id")
+        assert stage(spark, stored([]), sf).collect() == []
+
+
+def test_mix_stage_decides_by_row(stored, spark, tmp_path):
+    import corpus_pipeline
+
+    docs = stored([(None if i % 2 else 1, prose(i, 20 + i % 30), f"s{i % 3}") for i in range(600)])
+    sizes, taken = Counter(), Counter()
+    for r in docs.collect():
+        sizes[r["source"]] += len(r["text"].split())
+    for r in corpus_pipeline.mix_sources(spark, docs, str(tmp_path)).collect():
+        taken[r["source"]] += len(r["text"].split())
+    target = {r["source"]: r["target"] for r in mixed_sizes(docs).collect()}
+    assert all(abs(taken[s] - target[s]) < 0.1 * target[s] for s in target)
+
+
+def test_html_finds_a_slot_that_its_first_model_lacks():
+    def page(i):
+        extra = "".join(f"<p>{prose(50 * i + k, 12)}</p>" for k in range(9 if i == 4 else 5))
+        footer = "<h4>Unmarked closing words of the site</h4>" if i != 4 else ""
+        return f"<div>{extra}</div>{footer}"
+
+    pages = [page(i) for i in range(12)]
+    for html, text in zip(pages, extract_group(pages)):
+        assert text == "\n".join(re.findall(r"<p>([^<]+)", html))
+
+
+@pytest.mark.parametrize("n", [2, 4])
+def test_html_induces_from_few_pages(n):
+    pages = [f"<div>Site name</div><div>{prose(i, 30)}</div><div>All rights kept</div>" for i in range(n)]
+    assert extract_group(pages) == [prose(i, 30) for i in range(n)]
+    inside = [f"<article><p>Same opening</p><p>{prose(i, 30)}</p></article>" for i in range(n)]
+    assert extract_group(inside) == [f"Same opening\n{prose(i, 30)}" for i in range(n)]
+
+
+def test_html_of_more_than_two_hundred_blocks():
+    pages = ["".join(f"<p>{prose(1000 * i + k, 6)}</p>" for k in range(210 + i % 3)) + "<div>Closing</div>" for i in range(6)]
+    for html, text in zip(pages, extract_group(pages)):
+        assert text == "\n".join(re.findall(r"<p>([^<]+)", html))
