@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chartlake.llm.decontamination import decontaminate
@@ -17,69 +17,109 @@ from chartlake.llm.ngram_join import ngram_join
 from chartlake.llm.quality import reject_poor
 from chartlake.llm.shared import read_table, staged
 from chartlake.llm.sharding import shard_documents
+from chartlake.sinks.staging import scratch
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier accepts."""
+    """Documents that the quality classifier accepts, with all their columns.
+
+    Each row is judged by its own text; null and empty texts are judged like any other.
+    Repeated rows are judged alike and stay together. Without documents there is nothing
+    to judge; without usable labels all stay.
+    """
     return reject_poor(docs, read_table(spark, sf_dir, "labels"))
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """``docs`` as a stored table with a key of its own for each row, ``_row``."""
-    return staged(docs.withColumn("_row", F.monotonically_increasing_id()), "keyed")
+def keyed(docs: DataFrame) -> tuple[DataFrame, list[str], str]:
+    """``docs`` under positional names and with a key for each row, those names, the key's.
+
+    The key is made of the row's stored place: where the keys of its file start, and its
+    number in the file. The starts are hashes of the file paths, checked to lie so far apart
+    that no two rows share a key. So it is the same in every read, and no document is
+    stored once more; only documents that are not read straight from files are.
+    """
+    try:
+        place = docs.metadataColumn("_metadata")
+    except Exception:
+        docs = staged(docs, "documents")
+        place = docs.metadataColumn("_metadata")
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    plain = docs.select("*", place["file_path"], place["row_index"]).toDF(*names, "file", "place")
+    files = staged(plain.groupBy("file").agg((F.max("place") + 1).alias("n")), "files")
+    for salt in range(8):
+        start = F.xxhash64(F.lit(salt), "file").bitwiseAND(F.lit((1 << 62) - 1))
+        following = F.lead("start").over(Window.orderBy("start"))
+        apart = files.withColumn("start", start).withColumn("following", following)
+        if apart.filter("start + n > following").isEmpty():
+            break
+    else:
+        raise ValueError("no hash keeps the files' rows apart")
+    return plain.withColumn("row_key", start + F.col("place")).drop("file", "place"), names, "row_key"
 
 
 def drop_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of similar texts: the one with the smallest id.
 
     Similar: five-word shingles, Jaccard similarity of 0.8 or more. Of rows with the same
-    id one stays; a row without an id stays only if no row of its component has one.
+    id one stays; a row without an id stays only if no row of its component has one. Null,
+    empty and wordless texts are similar to nothing and stay, repeats included. An empty
+    table gives none.
     """
-    rows = keyed(docs)
-    found = staged(
-        ngram_join(rows, id_col="_row", words=5, percent=80)
-        .select(F.col("doc_id").alias("_row"), "component_id")
-        .join(rows.select("_row", F.col("doc_id").alias("id")), "_row"),
-        "similar",
-    )
-    first = F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "_row"))["_row"]
-    kept = found.groupBy("component_id").agg(first.alias("_row")).select("_row")
-    dropped = staged(found.select("_row").join(kept, "_row", "left_anti"), "dropped")
-    return rows.join(dropped, "_row", "left_anti").select(*docs.columns)
+    with scratch(spark) as keep:
+        rows, names, key = keyed(docs)
+        id_of, text_of = (names[docs.columns.index(c)] for c in ("doc_id", "text"))
+        similar = ngram_join(rows, id_col=key, text_col=text_of, words=5, percent=80)
+        found = staged(
+            similar.select(F.col("doc_id").alias(key), "component_id")
+            .join(rows.select(key, F.col(id_of).alias("id")), key),
+            "similar",
+        )
+        first = F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", key))[key]
+        kept = found.groupBy("component_id").agg(first.alias(key)).select(key)
+        dropped = staged(found.select(key).join(kept, key, "left_anti"), "dropped")
+        return keep(rows.join(dropped, key, "left_anti").select(*names).toDF(*docs.columns))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no window of any benchmark item, each row judged by its own text."""
-    rows = keyed(docs)
-    found = decontaminate(rows, read_table(spark, sf_dir, "benchmark"), id_col="_row")
-    hit = staged(found.filter("contaminated").select(F.col("doc_id").alias("_row")), "contaminated")
-    return rows.join(hit, "_row", "left_anti").select(*docs.columns)
+    """Documents that hold no window of any benchmark item, each row judged by its own text.
+
+    Null and wordless texts hold nothing and stay. An empty benchmark leaves all.
+    """
+    with scratch(spark) as keep:
+        rows, names, key = keyed(docs)
+        text_of = names[docs.columns.index("text")]
+        found = decontaminate(rows, read_table(spark, sf_dir, "benchmark"), id_col=key, text_col=text_of)
+        hit = staged(found.filter("contaminated").select(F.col("doc_id").alias(key)), "contaminated")
+        return keep(rows.join(hit, key, "left_anti").select(*names).toDF(*docs.columns))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes its words: 0, 1 or 2 times.
 
-    The fraction left over is rounded up for a share of documents that the id decides, so
-    the words of a source come near its target. Rows without an id stay once.
+    Each row is decided on its own, whatever its id. The fraction of a document's words left
+    over is rounded up for a share of the rows that a hash of the row's place decides, so
+    the words of a source come near its target. Documents without words, null texts among
+    them, are nothing that a mix could take and go.
     """
-    part = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / (1 << 20)
-    times = (
-        mixed_sizes(docs)
-        .withColumn("_times", F.floor(F.col("taken") / F.greatest("size", F.lit(1)) + part))
-        .groupBy("doc_id").agg(F.max("_times").alias("_times"))
-    )
-    return (
-        docs.join(staged(times, "times"), "doc_id", "left")
-        .withColumn("_times", F.coalesce("_times", F.lit(1).cast("long")))
-        .filter("_times > 0")
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times"))))
-        .select(*docs.columns)
-    )
+    with scratch(spark) as keep:
+        rows, names, key = keyed(docs)
+        text_of, source_of = (names[docs.columns.index(c)] for c in ("text", "source"))
+        part = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / (1 << 20)
+        sizes = mixed_sizes(rows, id_col=key, text_col=text_of, source_col=source_of)
+        times = F.floor(F.col("taken") / F.greatest("size", F.lit(1)) + part).cast("int")
+        taken = staged(sizes.select(F.col("doc_id").alias(key), times.alias("times")).filter("times > 0"), "times")
+        copies = F.explode(F.array_repeat(F.lit(True), F.col("times")))
+        return keep(rows.join(taken, key).withColumn("copy", copies).select(*names).toDF(*docs.columns))
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents in 16 shards of nearly equal bytes; equal texts share a shard.
+
+    One row per document, repeats included, with its shard and its slot there; null texts
+    are one group. An empty table gives no rows.
+    """
     return shard_documents(docs, shards=16)
 
 
