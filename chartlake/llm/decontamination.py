@@ -23,36 +23,62 @@ WINDOW = 10
 SEGMENT_WORDS = 200_000
 # Documents of a segment are this many slots apart, more than any proximity asked for.
 GAP = 64
+# Asked terms up to this number go to the indexing tasks; with more, all terms are indexed.
+MOST_TERMS = 500_000
 
 INDEX = "segment long, term binary, n long, slots binary, ids array<long>, sizes array<long>"
 
 
-def index_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The postings of each segment, and a row without term that lists its documents."""
-    for number, ids, words in segments(batches, letter_words, SEGMENT_WORDS):
-        encoded, lengths = flat(words)
-        codes = encoded.indices.to_numpy()
-        slots = np.arange(len(codes), dtype=np.int64) + np.repeat(np.arange(len(lengths)), lengths) * GAP
-        order = np.argsort(codes, kind="stable")
-        counts = np.bincount(codes, minlength=len(encoded.dictionary))
-        n = len(counts)
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.full(n + 1, number)),
-                pa.concat_arrays([encoded.dictionary, pa.nulls(1, pa.binary())]),
-                pa.array(np.append(counts, 0).astype(np.int64)),
-                pa.concat_arrays([binary_column(slots[order].astype("<u4"), counts), pa.nulls(1, pa.binary())]),
-                pa.concat_arrays([pa.nulls(n, pa.list_(pa.int64())), pa.array([ids], pa.list_(pa.int64()))]),
-                pa.concat_arrays([pa.nulls(n, pa.list_(pa.int64())), pa.array([lengths], pa.list_(pa.int64()))]),
-            ],
-            names=["segment", "term", "n", "slots", "ids", "sizes"],
-        )
-
-
-def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The stored index of all words of ``docs``, itself a stored table."""
+def indexer(asked: set[bytes] | None):
+    """A task that gives the postings of each segment, of the asked terms or of all.
+
+    A row without term lists the documents of the segment.
+    """
+
+    def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for number, ids, words in segments(batches, letter_words, SEGMENT_WORDS):
+            encoded, lengths = flat(words)
+            codes, terms = encoded.indices.to_numpy(), encoded.dictionary
+            slots = np.arange(len(codes), dtype=np.int64) + np.repeat(np.arange(len(lengths)), lengths) * GAP
+            if asked is not None:
+                wanted = np.array([t in asked for t in terms.to_pylist()], bool)
+                hit = wanted[codes] if len(wanted) else np.zeros(0, bool)
+                slots, terms = slots[hit], terms.filter(pa.array(wanted, pa.bool_()))
+                codes = (np.cumsum(wanted) - 1)[codes[hit]]
+            order = np.argsort(codes, kind="stable")
+            counts = np.bincount(codes, minlength=len(terms))
+            n = len(counts)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.full(n + 1, number)),
+                    pa.concat_arrays([terms, pa.nulls(1, pa.binary())]),
+                    pa.array(np.append(counts, 0).astype(np.int64)),
+                    pa.concat_arrays([binary_column(slots[order].astype("<u4"), counts), pa.nulls(1, pa.binary())]),
+                    pa.concat_arrays([pa.nulls(n, pa.list_(pa.int64())), pa.array([ids], pa.list_(pa.int64()))]),
+                    pa.concat_arrays([pa.nulls(n, pa.list_(pa.int64())), pa.array([lengths], pa.list_(pa.int64()))]),
+                ],
+                names=["segment", "term", "n", "slots", "ids", "sizes"],
+            )
+
+    return index
+
+
+def build_index(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", asked: set[bytes] | None = None
+) -> DataFrame:
+    """The stored index of the words of ``docs``, itself a stored table.
+
+    With ``asked`` it holds these terms only, which is all that one search needs; an index
+    for many searches is built without.
+    """
     rows = small_batches(chosen(docs, doc_id=id_col, text=text_col))
-    return staged(rows.mapInArrow(index_documents, INDEX), "postings")
+    return staged(rows.mapInArrow(indexer(asked), INDEX), "postings")
+
+
+def asked_terms(phrases: DataFrame) -> set[bytes] | None:
+    """The distinct terms of the phrases; ``None`` if there are more than ``MOST_TERMS``."""
+    terms = phrases.select(F.explode("terms").alias("term")).distinct().limit(MOST_TERMS + 1).collect()
+    return {bytes(r["term"]) for r in terms} if len(terms) <= MOST_TERMS else None
 
 
 def ascii_words(text: Column) -> Column:
@@ -148,17 +174,20 @@ def search_segment(postings: pa.Table, phrases: pa.Table, slack: int) -> pa.Tabl
     )
 
 
-def search(index: DataFrame, phrases: DataFrame, slack: int = 0) -> DataFrame:
+def search(index: DataFrame, phrases: DataFrame, slack: int = 0, narrow: bool = False) -> DataFrame:
     """(row, doc_id, n_words, n_hit, phrases): exact or proximity matches of all phrases.
 
     ``phrases`` has distinct rows (phrase, terms). A segment gets the postings of the
     phrases' terms, and those phrases of which it has the term that is rarest in the whole
-    index; nothing is broadcast.
+    index; nothing is broadcast. ``narrow``: the index holds the asked terms only.
     """
+    longest = phrases.agg(F.max(F.size("terms"))).first()[0] or 0
+    if slack and slack + longest > GAP:
+        raise ValueError(f"a slack of {slack} would reach from one document into the next")
     terms = phrases.select(F.explode("terms").alias("term")).distinct()
     listed = index.filter("term is null").select("segment", "term", "slots", "ids", "sizes")
     asked = index.filter("term is not null").join(terms, "term", "left_semi")
-    needed = staged(
+    needed = index if narrow else staged(
         asked.select("segment", "term", "n", "slots", "ids", "sizes").unionByName(
             listed.withColumn("n", F.lit(0).cast("long"))
         ),
@@ -206,20 +235,24 @@ def decontaminate(
     ``slack`` the windows also match in proximity; see :func:`intersect`.
 
     A null, empty or wordless text has no words and is not contaminated; such items have
-    no windows. Null item ids count as an item of their own, written as an empty id.
+    no windows. Null item ids count as one item of their own, written as an empty id.
     Repeated documents give a row each, repeated items count once. Empty tables: no
     documents give no rows; no items leave everything clean. Other columns are ignored.
-    ``docs`` must be a stored table.
+    ``docs`` must be a stored table. A slack that would reach into the next document, more
+    than ``GAP`` less the longest window, is refused.
     """
     windows = staged(
         item_windows(items, item_col, item_text_col, window)
-        .withColumn("item_id", F.coalesce("item_id", F.lit("")))
+        .withColumn("unnamed", F.col("item_id").isNull())
         .withColumn("phrase", F.unhex(F.md5(F.array_join(F.transform("terms", lambda t: t.cast("string")), " "))))
         .distinct(),
         "windows",
     )
     phrases = windows.select("phrase", "terms").dropDuplicates(["phrase"])
-    found = staged(search(build_index(docs, id_col, text_col), phrases, slack), "found")
+    asked = asked_terms(phrases)
+    found = staged(
+        search(build_index(docs, id_col, text_col, asked), phrases, slack, narrow=asked is not None), "found"
+    )
     clean = found.filter(F.size("phrases") == 0).select(
         "doc_id", "n_words", "n_hit", F.array().cast("array<string>").alias("items")
     )
@@ -228,8 +261,8 @@ def decontaminate(
         .withColumn("row", F.monotonically_increasing_id())
         .withColumn("phrase", F.explode("phrases"))
         .drop("phrases")
-        .join(windows.select("phrase", "item_id"), "phrase")
-        .groupBy("row", "doc_id", "n_words", "n_hit", "item_id")
+        .join(windows.select("phrase", F.coalesce("item_id", F.lit("")).alias("item_id"), "unnamed"), "phrase")
+        .groupBy("row", "doc_id", "n_words", "n_hit", "item_id", "unnamed")
         .agg(F.count("*"))
         .groupBy("row", "doc_id", "n_words", "n_hit")
         .agg(F.sort_array(F.collect_list("item_id")).alias("items"))

@@ -479,3 +479,21 @@ def test_html_of_more_than_two_hundred_blocks():
     pages = ["".join(f"<p>{prose(1000 * i + k, 6)}</p>" for k in range(210 + i % 3)) + "<div>Closing</div>" for i in range(6)]
     for html, text in zip(pages, extract_group(pages)):
         assert text == "\n".join(re.findall(r"<p>([^<]+)", html))
+
+
+def test_decontaminate_counts_null_and_empty_item_ids_apart(stored, spark, monkeypatch):
+    from chartlake.llm import decontamination
+
+    bench = spark.createDataFrame([(None, "one two"), ("", "two three"), ("x", "four")], "item_id string, text string")
+    docs = stored([(1, "One two three", "a"), (2, "four", "a"), (3, "five", "a"), (4, None, "a")])
+
+    def found():
+        return {r["doc_id"]: (r["n_items"], r["items"], r["n_hit"]) for r in decontaminate(docs, bench).collect()}
+
+    want = {1: (2, ["", ""], 3), 2: (1, ["x"], 1), 3: (0, [], 0), 4: (0, [], 0)}
+    assert found() == want
+    monkeypatch.setattr(decontamination, "MOST_TERMS", 2)  # more terms are asked: all are indexed
+    assert found() == want
+    with pytest.raises(ValueError):
+        decontaminate(docs, bench, slack=63)
+    assert decontaminate(docs, bench, slack=60).count() == 4
