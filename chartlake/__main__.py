@@ -24,6 +24,7 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--outer", action="store_true", help="ref jobs: keep rows without list entries")
     parser.add_argument("--dedupe", action="store_true", help="ref jobs: write each row once")
     parser.add_argument("--null-safe", action="store_true", help="loads: a null key equals a null key")
+    parser.add_argument("--database", help="dated facts: register the days written; register_exports: where")
     parser.add_argument("--schema", help="csv_to_parquet: column names and types, else inferred")
     options = parser.parse_args(arguments)
     job = JOBS[options.job]

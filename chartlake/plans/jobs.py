@@ -9,6 +9,7 @@ Layout under the root::
     ref/{tracks,tracks_features,artists}   flat tables (Parquet)
     exp/{dim_artist,…}   dimensions and facts (Parquet)
     landing-zone/*.csv, processing/csv   the CSV job
+    rejects/{tracks,…}/run=…, schemas/{tracks,…}   lines that did not fit, fields of the last run
     orders/*.json, processing/order_totals   the order total job
 """
 
@@ -29,10 +30,18 @@ from chartlake.schemas import (
     TRACK_FEATURES,
 )
 from chartlake.sinks.catalog import register_exports as _register
+from chartlake.sinks.catalog import sync_days
 from chartlake.sinks.preview import print_preview
+from chartlake.sinks.replace import compact
 from chartlake.sinks.staging import staged
-from chartlake.sinks.writers import overwrite_parquet
-from chartlake.sources.readers import read_json, read_parquet
+from chartlake.sinks.writers import Days, overwrite_parquet
+from chartlake.sources.drift import check_drift
+from chartlake.sources.readers import path_exists, read_json, read_parquet
+from chartlake.sources.rejects import scan_with_rejects
+
+RAW = {"tracks": RAW_TRACKS, "tracks_features": TRACK_FEATURES, "artists": RAW_ARTISTS}
+# The tables that are laid out by chart day.
+BY_DAY = ("ref/tracks", "exp/f_artist", "exp/f_ranking", "exp/f_track_statistics")
 
 
 def run_name(run: str) -> str:
@@ -126,11 +135,20 @@ def dim_track(spark: SparkSession, root: str) -> None:
 
 
 def f_artist(
-    spark: SparkSession, root: str, since: str | None = None, null_safe: bool = False
+    spark: SparkSession,
+    root: str,
+    since: str | None = None,
+    null_safe: bool = False,
+    database: str | None = None,
 ) -> None:
-    """With ``since`` only chart days from then on are read and compared."""
-    marts.load_f_artist(
-        _ref(spark, root, "artists"), _tracks(spark, root, since), f"{root}/exp/f_artist", null_safe
+    """With ``since`` only chart days from then on are read and compared.
+
+    With ``database`` the days that the load writes are added to the table registered there.
+    """
+    artists, tracks = _ref(spark, root, "artists"), _tracks(spark, root, since)
+    _load_fact(
+        spark, root, "f_artist", database,
+        lambda path, days: marts.load_f_artist(artists, tracks, path, null_safe, days),
     )
 
 
@@ -140,22 +158,42 @@ def f_genre(spark: SparkSession, root: str) -> None:
 
 
 def f_ranking(
-    spark: SparkSession, root: str, since: str | None = None, null_safe: bool = False
+    spark: SparkSession,
+    root: str,
+    since: str | None = None,
+    null_safe: bool = False,
+    database: str | None = None,
 ) -> None:
-    marts.load_f_ranking(_tracks(spark, root, since), f"{root}/exp/f_ranking", null_safe)
+    tracks = _tracks(spark, root, since)
+    _load_fact(
+        spark, root, "f_ranking", database,
+        lambda path, days: marts.load_f_ranking(tracks, path, null_safe, days),
+    )
 
 
 def f_track_statistics(
-    spark: SparkSession, root: str, since: str | None = None, null_safe: bool = False
+    spark: SparkSession,
+    root: str,
+    since: str | None = None,
+    null_safe: bool = False,
+    database: str | None = None,
 ) -> None:
-    marts.load_f_track_statistics(
-        _tracks(spark, root, since),
-        _ref(spark, root, "tracks_features"),
-        f"{root}/exp/f_track_statistics",
-        null_safe,
+    tracks, features = _tracks(spark, root, since), _ref(spark, root, "tracks_features")
+    _load_fact(
+        spark, root, "f_track_statistics", database,
+        lambda path, days: marts.load_f_track_statistics(tracks, features, path, null_safe, days),
     )
 
 
+def _load_fact(
+    spark: SparkSession, root: str, name: str, database: str | None, load: Callable[[str, Days], None]
+) -> None:
+    days = Days(DAY)
+    load(f"{root}/exp/{name}", days)
+    if database:
+        sync_days(spark, database, name, DAY, days)
+
+
 def csv_to_parquet(spark: SparkSession, root: str, schema: str | None = None) -> None:
     extras.csv_to_parquet(spark, f"{root}/landing-zone", f"{root}/processing/csv", schema=schema)
 
@@ -167,8 +205,34 @@ def order_total(spark: SparkSession, root: str) -> None:
     print_preview(read_parquet(spark, f"{root}/processing/order_totals"))
 
 
-def register_exports(spark: SparkSession, root: str) -> None:
-    _register(spark, f"{root}/exp", partition_by=DAY)
+def register_exports(spark: SparkSession, root: str, database: str = "tracks") -> None:
+    _register(spark, f"{root}/exp", database, partition_by=DAY)
+
+
+def compact_days(spark: SparkSession, root: str) -> None:
+    """Put the small files of the tables by day together, day by day where there are many."""
+    for table in BY_DAY:
+        if path_exists(spark, f"{root}/{table}"):
+            compact(spark, f"{root}/{table}", DAY)
+
+
+def landed_rejects(spark: SparkSession, root: str, run: str) -> None:
+    """Keep the lines of a landing run that do not fit, with their files, under ``rejects``."""
+    for kind, schema in RAW.items():
+        scan = scan_with_rejects(spark, f"{root}/raw/{kind}/run={run_name(run)}", schema)
+        overwrite_parquet(
+            scan.rejects.select("record", "file"), f"{root}/rejects/{kind}/run={run_name(run)}"
+        )
+        print(f"{kind}: {scan.read} lines, {scan.rejected} rejected")
+
+
+def landed_drift(spark: SparkSession, root: str, run: str) -> None:
+    """Print which fields of a landing run are new, missing or of another type than before."""
+    for kind in RAW:
+        landed = f"{root}/raw/{kind}/run={run_name(run)}"
+        found = check_drift(spark, landed, f"{root}/schemas/{kind}")
+        for row in found.collect():
+            print(f"{kind}.{row['field']}: {row['change']} ({row['before']} -> {row['after']})")
 
 
 def _ref(spark: SparkSession, root: str, table: str) -> DataFrame:
@@ -196,4 +260,7 @@ JOBS: dict[str, Callable[..., None]] = {
     "csv_to_parquet": csv_to_parquet,
     "order_total": order_total,
     "register_exports": register_exports,
+    "compact_days": compact_days,
+    "landed_rejects": landed_rejects,
+    "landed_drift": landed_drift,
 }

@@ -10,6 +10,7 @@ from chartlake.operators.joins import inner_renamed
 from chartlake.schemas import DAY, DIM_ARTIST, DIM_TRACK, KEYS, TRACK_STATISTICS
 from chartlake.sinks.incremental import incremental_append
 from chartlake.sinks.staging import staged
+from chartlake.sinks.writers import Days
 
 
 def dim_artist(artists: DataFrame) -> DataFrame:
@@ -72,25 +73,29 @@ def f_track_statistics(tracks: DataFrame, features: DataFrame) -> DataFrame:
 
 
 def load_f_artist(
-    artists: DataFrame, tracks: DataFrame, path: str, null_safe: bool = False
+    artists: DataFrame, tracks: DataFrame, path: str, null_safe: bool = False, written: Days | None = None
 ) -> None:
-    _load(f_artist(artists, tracks), tracks, path, "exp/f_artist", null_safe)
+    _load(f_artist(artists, tracks), tracks, path, "exp/f_artist", null_safe, written)
 
 
-def load_f_ranking(tracks: DataFrame, path: str, null_safe: bool = False) -> None:
-    _load(f_ranking(tracks), tracks, path, "exp/f_ranking", null_safe)
+def load_f_ranking(
+    tracks: DataFrame, path: str, null_safe: bool = False, written: Days | None = None
+) -> None:
+    _load(f_ranking(tracks), tracks, path, "exp/f_ranking", null_safe, written)
 
 
 def load_f_track_statistics(
-    tracks: DataFrame, features: DataFrame, path: str, null_safe: bool = False
+    tracks: DataFrame, features: DataFrame, path: str, null_safe: bool = False, written: Days | None = None
 ) -> None:
-    _load(f_track_statistics(tracks, features), tracks, path, "exp/f_track_statistics", null_safe)
+    fact = f_track_statistics(tracks, features)
+    _load(fact, tracks, path, "exp/f_track_statistics", null_safe, written)
 
 
 def _load(
-    fact: DataFrame, tracks: DataFrame, path: str, table: str, null_safe: bool
+    fact: DataFrame, tracks: DataFrame, path: str, table: str, null_safe: bool, written: Days | None
 ) -> None:
     # The days of the fact are among those of the tracks, whose folders give them.
     incremental_append(
-        fact, path, KEYS[table], partition_by=DAY, days=tracks.select(DAY), null_safe=null_safe
+        fact, path, KEYS[table], partition_by=DAY, days=tracks.select(DAY), null_safe=null_safe,
+        written=written,
     )

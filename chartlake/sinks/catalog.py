@@ -10,11 +10,10 @@ from collections.abc import Iterable, Sequence
 from datetime import date
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from chartlake.schemas import EXPORTS
-from chartlake.sinks.writers import append_parquet
+from chartlake.sinks.writers import Days, append_parquet
 from chartlake.sources.readers import partition_columns, partition_folders, root_paths
 from chartlake.sources.widening import read_widened
 
@@ -84,26 +83,14 @@ def add_days(
     return len(listed)
 
 
-class Days:
-    """The days of the rows of a frame, gathered while it is written.
-
-    ``watch`` passes the rows through; after the write ``written`` holds their days. They are
-    aggregated in the writing job itself, one short list a task, so neither the rows nor
-    the folders are read again.
-    """
-
-    def __init__(self, column: str):
-        self.column, self._seen = column, Observation()
-
-    def watch(self, rows: DataFrame) -> DataFrame:
-        day = F.col(self.column)
-        return rows.observe(
-            self._seen, F.collect_set(day).alias("days"), F.count_if(day.isNull()).alias("without")
-        )
-
-    def written(self) -> list[date | None]:
-        found = self._seen.get
-        return sorted(found["days"] or []) + [None] * bool(found["without"])
+def sync_days(spark: SparkSession, database: str, name: str, partition_by: str, days: Days) -> list:
+    """Add the days that a load wrote to its table, if that is registered; returns them."""
+    found = days.written()
+    table = f"`{database}`.`{name}`"
+    if found and spark.catalog.tableExists(table):
+        add_days(spark, database, name, partition_by, found)
+        spark.catalog.refreshTable(table)
+    return found
 
 
 def append_and_register(
@@ -122,10 +109,7 @@ def append_and_register(
             f"CREATE TABLE `{database}`.`{name}` ({columns}) USING parquet "
             f"PARTITIONED BY (`{partition_by}`) LOCATION '{quoted(path)}'"
         )
-    found = days.written()
-    add_days(spark, database, name, partition_by, found)
-    spark.catalog.refreshTable(f"`{database}`.`{name}`")
-    return found
+    return sync_days(spark, database, name, partition_by, days)
 
 
 def _registered(spark: SparkSession, database: str, name: str, columns: list, path: str) -> bool:

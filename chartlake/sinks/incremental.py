@@ -12,9 +12,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chartlake.operators.joins import unseen
-from chartlake.sinks.writers import append_parquet, overwrite_parquet
+from chartlake.sinks.writers import Days, append_parquet, overwrite_parquet
 from chartlake.sources.readers import read_parquet_if_exists
 
+
 def incremental_append(
     batch: DataFrame,
     path: str,
@@ -25,6 +26,7 @@ def incremental_append(
     schema: str | None = None,
     finish: Callable[[DataFrame], DataFrame] | None = None,
     rebalance: bool = True,
+    written: Days | None = None,
 ) -> None:
     """Append the rows of ``batch`` whose key is not in the Parquet table at ``path``.
 
@@ -39,6 +41,9 @@ def incremental_append(
     ``finish`` is applied to the unseen rows before they are written. Work that
     multiplies rows and keeps the key columns belongs there, because then it is done
     neither for seen rows nor before a shuffle.
+
+    ``written`` gathers the days of the appended rows while they are written, so that a
+    registered table can be given just these.
     """
     target = read_parquet_if_exists(batch.sparkSession, path, schema)
     if target is not None:
@@ -46,6 +51,7 @@ def incremental_append(
             target = within_days(target, days if days is not None else batch, partition_by, null_safe)
         batch = unseen(batch, target, keys, null_safe)
     rows = finish(batch) if finish else batch
+    rows = written.watch(rows) if written else rows
     if target is None and not partition_by:
         overwrite_parquet(rows, path)
     else:

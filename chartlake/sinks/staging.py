@@ -26,10 +26,15 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 
     Where that is unset it is ``_staging`` under ``spark.sql.warehouse.dir``, the folder
-    that Spark's own tables share.
+    that Spark's own tables share. On a cluster that folder must not be a local one.
     """
     folder = spark.conf.get(SETTING, None)
-    return folder.rstrip("/") if folder else f"{spark.conf.get(WAREHOUSE).rstrip('/')}/_staging"
+    if folder:
+        return folder.rstrip("/")
+    warehouse = spark.conf.get(WAREHOUSE).rstrip("/")
+    if warehouse.startswith(("/", "file:")) and not spark.conf.get("spark.master", "local").startswith("local"):
+        raise ValueError(f"set {SETTING} to a folder that all executors share; {warehouse} is a local one")
+    return f"{warehouse}/_staging"
 
 
 def new_path(spark: SparkSession, name: str) -> str:

@@ -171,6 +171,30 @@ def test_shared_folder_without_a_setting_is_in_the_warehouse():
     assert shared_folder(Unset) == "hdfs://store/warehouse/_staging"
 
 
+def test_a_cluster_without_a_shared_folder_is_refused():
+    class Cluster:
+        class conf:
+            @staticmethod
+            def get(key, *default):
+                return {"spark.master": "yarn", "spark.sql.warehouse.dir": "file:/home/x/warehouse"}.get(key, *default)
+
+    with pytest.raises(ValueError):
+        shared_folder(Cluster)
+
+
+def test_scratch_tables_go_unless_they_are_still_read(spark, frame):
+    from chartlake.sinks.staging import scratch
+
+    with scratch(spark) as keep:
+        gone = staged(frame, "gone")
+        with scratch(spark) as keep_inner:
+            inner = staged(frame, "inner")
+            read_by_both = keep_inner(staged(inner.filter("n > 1"), "kept").filter("n < 9"))
+        result = keep(read_by_both.select("n"))
+    assert rows(result) == [(2,), (3,)]
+    assert not path_exists(spark, gone.inputFiles()[0]) and not path_exists(spark, inner.inputFiles()[0])
+
+
 def test_catalog(spark, frame, tmp_path):
     root = str(tmp_path)
     overwrite_parquet(frame.drop("ranking_date"), f"{root}/dim")

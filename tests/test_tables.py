@@ -10,6 +10,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from chartlake.plans import jobs
 from chartlake.sinks import bitmaps, catalog
 from chartlake.sinks.bitmaps import append_by_bitmap, bitmap_path, holds, key_bitmaps
 from chartlake.sinks.bucketed import append_bucketed, unseen_ids
@@ -135,6 +136,45 @@ def test_days_are_added_in_batches(spark, tmp_path, monkeypatch):
     assert spark.sql("show partitions batches.fact").count() == len(D) + 1
 
 
+def test_a_fact_job_registers_the_days_that_it_writes(spark, tmp_path):
+    root = str(tmp_path)
+
+    def entries(*values):
+        names = ["id", "position", "ranking_date", "artists_name"]
+        return spark.createDataFrame(list(values), "id STRING, position BIGINT, ranking_date DATE, artists_name STRING").select(*names)
+
+    append_parquet(entries(("t", 1, D[0], "a"), ("t", 2, D[1], "b")), f"{root}/ref/tracks", "ranking_date")
+    jobs.f_ranking(spark, root, database="job_days")
+    catalog.register_exports(spark, f"{root}/exp", "job_days", ["f_ranking"], database_location=str(tmp_path / "db"))
+    append_parquet(entries(("t", 1, D[2], "c"), ("t", 1, D[0], "late")), f"{root}/ref/tracks", "ranking_date")
+    jobs.f_ranking(spark, root, database="job_days")
+    assert rows(spark.table("job_days.f_ranking"), "ranking_date", "artist") == [(D[0], "a"), (D[1], "b"), (D[2], "c")]
+    assert spark.sql("show partitions job_days.f_ranking").count() == 3
+    for n in range(5):
+        append_parquet(entries(("u", 10 + n, D[0], "x")), f"{root}/ref/tracks", "ranking_date")
+    before = rows(read_parquet(spark, f"{root}/ref/tracks"))
+    jobs.compact_days(spark, root)
+    assert rows(read_parquet(spark, f"{root}/ref/tracks")) == before
+    assert len([f for f in files(f"{root}/ref/tracks") if str(D[0]) in f]) == 1
+
+
+def test_jobs_for_rejects_and_drift(spark, tmp_path, capsys):
+    good = {"tracks": '{"id": "1", "position": 1}', "tracks_features": '{"id": "1", "tempo": 1.5}', "artists": '{"id": "a"}'}
+    for run, lines in (("2022-04-01T000000", good), ("2022-04-02T000000", good | {"artists": '{"id": 5, "kind": "x"}\nbroken'})):
+        for kind, text in lines.items():
+            folder = tmp_path / "raw" / kind / f"run={run}"
+            folder.mkdir(parents=True)
+            (folder / "1.json").write_text(text + "\n")
+    for run in ("2022-04-01 00:00:00", "2022-04-02 00:00:00"):
+        jobs.landed_rejects(spark, str(tmp_path), run)
+        jobs.landed_drift(spark, str(tmp_path), run)
+    said = capsys.readouterr().out
+    assert "artists: 2 lines, 1 rejected" in said and "artists.id: retyped (string -> bigint)" in said
+    assert "artists.kind: new (None -> string)" in said and said.count("retyped") == 1
+    kept = read_parquet(spark, str(tmp_path / "rejects" / "artists"))
+    assert rows(kept, "record") == [("broken",)]
+
+
 def test_several_tasks_write_many_small_days(spark, tmp_path):
     days = spark.range(0, 4000, 1, 4).select(F.col("id").alias("v"), F.expr("date_add(date'2020-01-01', cast(id % 400 as int))").alias("d"))
     path = tmp_path / "days"
