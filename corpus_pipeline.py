@@ -111,7 +111,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         times = F.floor(F.col("taken") / F.greatest("size", F.lit(1)) + part).cast("int")
         taken = staged(sizes.select(F.col("doc_id").alias(key), times.alias("times")).filter("times > 0"), "times")
         copies = F.explode(F.array_repeat(F.lit(True), F.col("times")))
-        return keep(rows.join(taken, key).withColumn("copy", copies).select(*names).toDF(*docs.columns))
+        # The hint keeps one plan at every size.
+        mixed = rows.join(taken.hint("merge"), key).withColumn("copy", copies)
+        return keep(mixed.select(*names).toDF(*docs.columns))
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
