@@ -23,7 +23,7 @@ from chartlake.sinks.replace import compact, replace_newer, replace_table
 from chartlake.sinks.staging import new_path, staged
 from chartlake.sinks.writers import append_parquet, write_json
 from chartlake.sources.drift import check_drift
-from chartlake.sources.readers import read_json, read_parquet
+from chartlake.sources.readers import read_json, read_parquet, read_parquet_if_exists
 from chartlake.sources.rejects import scan_with_rejects
 from chartlake.sources.widening import read_widened
 from chartlake.streaming.ingest import append_batch, append_new_files
@@ -82,6 +82,25 @@ def scan_widened(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_widened(spark, path)
 
 
+@query(
+    "existence_probe",
+    """
+    SELECT o_orderpriority, count(*) FILTER (WHERE o_orderstatus = 'P') AS row_count,
+           count(*) FILTER (WHERE o_orderstatus = 'P') > 0 AS found
+    FROM orders GROUP BY o_orderpriority
+    """,
+)
+def existence_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which tables of the open orders of a priority were written, and what they hold."""
+    path, orders = new_path(spark, "probed"), _orders(spark, sf_dir)
+    orders.filter("o_orderstatus = 'P'").write.partitionBy("o_orderpriority").parquet(path)
+    found = []
+    for row in orders.select("o_orderpriority").distinct().collect():  # a handful of names
+        table = read_parquet_if_exists(spark, f"{path}/o_orderpriority={row[0]}")
+        found.append((row[0], 0 if table is None else table.count(), table is not None))
+    return spark.createDataFrame(found, "o_orderpriority STRING, row_count BIGINT, found BOOLEAN")
+
+
 # --- replacement --------------------------------------------------------------
 
 

@@ -19,7 +19,7 @@ LOOKUP_TRACKS = [
     track("t2", None, None, artists=("a1", "a2")),
     track("t3", None, None, artists=("a3",)),
 ]
-OTHER_INPUT = ("csv_to_parquet", "order_total")
+OTHER_INPUT = ("csv_to_parquet", "order_total", "landed_rejects", "landed_drift")
 LOOKUP_ARTISTS = [artist(a, 5, ["pop"]) for a in ("a1", "a2", "a3", "a4")]
 
 
