@@ -99,6 +99,7 @@ def mix(
     share: float = SHARE,
     block_words: int = BLOCK_WORDS,
     shard_blocks: int = SHARD_BLOCKS,
+    key_col: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(pieces, slots) of the mix.
 
@@ -117,12 +118,15 @@ def mix(
 
     Null texts and texts without words have size 0. Null sources form one source, which
     stands last. Null ids sort first. Rows equal in id, size and source are
-    interchangeable. Empty tables give no rows. Reruns agree, as nothing is random.
+    interchangeable. ``key_col`` names a column that goes along as ``key`` and decides
+    nothing. Empty tables give no rows. Reruns agree, as nothing is random.
     """
+    along = {"key": key_col} if key_col else {}
     entries = staged(
-        chosen(docs, doc_id=id_col, text=text_col, source=source_col).select(
+        chosen(docs, doc_id=id_col, text=text_col, source=source_col, **along).select(
             "doc_id",
             "source",
+            *along,
             F.coalesce(F.expr(f"regexp_count(text, r'{WORD}')"), F.lit(0)).cast("long").alias("size"),
         ),
         "sizes",
@@ -168,7 +172,7 @@ def mix(
     length = F.col("length")
     first, last = F.floor(F.col("start") / length), F.floor((F.col("start") + F.col("size") - 1) / length)
     pieces = packed.select(
-        "doc_id", "source", "source_no", "size", "source_size", "target", "start", "length",
+        "doc_id", "source", *along, "source_no", "size", "source_size", "target", "start", "length",
         F.explode_outer(F.when(F.col("size") > 0, F.sequence(first, last))).alias("block"),
     ).withColumn(
         "words",
@@ -204,7 +208,7 @@ def mix(
 
 
 def mixed_sizes(docs: DataFrame, **options) -> DataFrame:
-    """One row per document: doc_id, source, size, source_size, target, taken, shards.
+    """One row per document: doc_id, source, size, source_size, target, taken, shards; key if asked.
 
     ``taken`` are the words of the document that the mix takes, repeats counted, and
     ``shards`` lists how many of them each output shard takes (shard, words), by shard; see
@@ -212,7 +216,8 @@ def mixed_sizes(docs: DataFrame, **options) -> DataFrame:
     """
     pieces, slots = mix(docs, **options)
     times = slots.groupBy("source_no", "block", "shard").agg(F.count("*").alias("times"))
-    row = ["source_no", "start", "doc_id", "source", "size", "source_size", "target"]
+    along = ["key"] if options.get("key_col") else []
+    row = ["source_no", "start", "doc_id", "source", *along, "size", "source_size", "target"]
     whole = pieces.filter("size > 0")
     by_shard = (
         whole.join(times, ["source_no", "block"], "left")
@@ -223,7 +228,7 @@ def mixed_sizes(docs: DataFrame, **options) -> DataFrame:
         F.sum("words").alias("taken"),
         F.array_sort(F.collect_list(F.when(F.col("words") > 0, F.struct("shard", "words")))).alias("shards"),
     )
-    columns = ["doc_id", "source", "size", "source_size", "target", "taken", "shards"]
+    columns = ["doc_id", "source", *along, "size", "source_size", "target", "taken", "shards"]
     none = F.array().cast("array<struct<shard: bigint, words: bigint>>")
     return taken.select(*columns).unionByName(
         pieces.filter("size = 0").withColumns({"taken": F.lit(0).cast("long"), "shards": none}).select(*columns)
