@@ -98,18 +98,20 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes its words: 0, 1 or 2 times.
 
-    Each row is decided on its own, whatever its id. The fraction of a document's words left
-    over is rounded up for a share of the rows that a hash of the row's place decides, so
-    the words of a source come near its target. Documents without words, null texts among
+    Each row is decided on its own, whatever its id; rows are ordered by a hash of id, text
+    and source, so reruns over other files agree up to rows equal in these. The fraction of a
+    document's words left over is rounded up for a share of the rows that this hash decides,
+    so the words of a source come near its target. Documents without words, null texts among
     them, are nothing that a mix could take and go.
     """
     with scratch(spark) as keep:
         rows, names, key = keyed(docs)
-        text_of, source_of = (names[docs.columns.index(c)] for c in ("text", "source"))
+        id_of, text_of, source_of = (names[docs.columns.index(c)] for c in ("doc_id", "text", "source"))
+        content = rows.withColumn("content", F.xxhash64(id_of, text_of, source_of))
+        sizes = mixed_sizes(content, id_col="content", text_col=text_of, source_col=source_of, key_col=key)
         part = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / (1 << 20)
-        sizes = mixed_sizes(rows, id_col=key, text_col=text_of, source_col=source_of)
         times = F.floor(F.col("taken") / F.greatest("size", F.lit(1)) + part).cast("int")
-        taken = staged(sizes.select(F.col("doc_id").alias(key), times.alias("times")).filter("times > 0"), "times")
+        taken = staged(sizes.select(F.col("key").alias(key), times.alias("times")).filter("times > 0"), "times")
         copies = F.explode(F.array_repeat(F.lit(True), F.col("times")))
         # The hint keeps one plan at every size.
         mixed = rows.join(taken.hint("merge"), key).withColumn("copy", copies)
