@@ -180,12 +180,16 @@ def mix(
         - F.greatest(F.col("start"), F.col("block") * length),
     )
 
+    # Few short rows grow to many below, so their number of tasks is given: run-time planning
+    # would join them into one by their size.
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
     # The draw: how many blocks of each source a shard takes.
     chunk = F.lit(1 << 16).cast("long")
     drawn = (
         sources.filter("quota > 0")
         .withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("quota") - 1) / chunk))))
-        .repartition("source_no", "chunk")
+        .repartition(tasks, "source_no", "chunk")
         .withColumn("k", F.explode(F.sequence(
             F.col("chunk") * chunk, F.least((F.col("chunk") + 1) * chunk, F.col("quota")) - 1)))
         .withColumn("turn", permuted(F.col("first") + F.col("k"), F.col("all"), F.lit(3).cast("long")))
@@ -196,7 +200,7 @@ def mix(
     slots = (
         drawn.withColumn("from", F.coalesce(F.sum("n").over(before), F.lit(0)))
         # One row a source and shard up to here; a shard's slots are made in a task of their own.
-        .repartition("source_no", "shard")
+        .repartition(tasks, "source_no", "shard")
         .withColumn("slot", F.explode(F.sequence(F.col("from"), F.col("from") + F.col("n") - 1)))
         .join(sources.select("source_no", "source", "blocks"), "source_no")
         .withColumn("epoch", F.floor(F.col("slot") / F.col("blocks")))
