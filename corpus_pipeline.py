@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -42,7 +43,7 @@ def keyed(docs: DataFrame) -> tuple[DataFrame, list[str], str]:
     """
     try:
         place = docs.metadataColumn("_metadata")
-    except Exception:
+    except AnalysisException:
         docs = staged(docs, "documents")
         place = docs.metadataColumn("_metadata")
     names = [f"c{i}" for i in range(len(docs.columns))]
