@@ -8,8 +8,9 @@
 3. Sets with an equal minimum hash are compared with a few leaders of their group, which
    joins most copies by verified links without making pairs of them.
 4. The prefix join proper looks at tokens whose documents are still in different
-   components: pairs are filtered by length, position and suffix, and verified once.
-   Pairs inside a component cannot change it and are never made.
+   components: pairs are filtered by length, position and suffix, and verified once. It
+   goes over the sets that components are named by first, then over all sets of the components
+   that are still apart. Pairs inside a component cannot change it and are never made.
 """
 
 from __future__ import annotations
@@ -209,13 +210,8 @@ def verify(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Recor
         ).filter(pa.array(good, pa.bool_()))
 
 
-def prefix_pairs(posted: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of sets in different components that pass all filters, each once.
-
-    Only tokens that still meet several components take part. Of such a token's sets, the
-    ones outside its largest component are joined with all, so a component of any size
-    makes no pairs of its own.
-    """
+def open_postings(posted: DataFrame) -> DataFrame:
+    """Postings of the tokens that still meet several components, with the token's largest one."""
     sizes = posted.groupBy("token", "root").agg(F.count("*").alias("n"))
     largest = (
         sizes.groupBy("token")
@@ -223,8 +219,16 @@ def prefix_pairs(posted: DataFrame, percent: int) -> DataFrame:
         .filter("roots > 1")
         .drop("roots")
     )
+    return posted.join(largest, "token")
+
+
+def prefix_pairs(meeting: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of sets in different components that pass all filters, each once.
+
+    ``meeting`` holds open postings. Of a token's sets, the ones outside its largest
+    component are joined with all, so a component of any size makes no pairs of its own.
+    """
     # Two sets in different components share open tokens only, so these tell the first one.
-    meeting = staged(posted.join(largest, "token"), "postings")
     in_order = meeting.groupBy("name").agg(
         F.transform(F.sort_array(F.collect_list(F.struct("place", "token"))), lambda x: x["token"]).alias("open")
     )
@@ -261,6 +265,30 @@ def prefix_pairs(posted: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def joined_roots(pairs: DataFrame, sets: DataFrame, root_of: DataFrame, percent: int) -> DataFrame:
+    """(root, top): components of components, by those of the pairs that are similar.
+
+    At most one link for each two components goes on.
+    """
+    left = sets.select(F.col("name").alias("a"), F.col("size").alias("size_a"), F.col("tokens").alias("tokens_a"))
+    right = sets.select(F.col("name").alias("b"), F.col("size").alias("size_b"), F.col("tokens").alias("tokens_b"))
+    good = pairs.join(left, "a").join(right, "b").mapInArrow(partial(verify, percent=percent), "a binary, b binary")
+    links = staged(
+        good.join(root_of.select(F.col("name").alias("a"), F.col("root").alias("root_a")), "a")
+        .join(root_of.select(F.col("name").alias("b"), F.col("root").alias("root_b")), "b")
+        .select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))
+        .distinct(),
+        "links",
+    )
+    return components(links).select(F.col("node").alias("root"), F.col("root").alias("top"))
+
+
+def under_tops(rows: DataFrame, above: DataFrame) -> DataFrame:
+    """``rows`` with each root replaced by the one above it."""
+    kept = [c for c in rows.columns if c != "root"]
+    return rows.join(above, "root", "left").select(*kept, F.coalesce("top", "root").alias("root"))
+
+
 def similar_sets(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """(documents, roots): each document's set name and size; the component of linked sets."""
     def use(number, ids, texts, keys, totals) -> pa.Table:
@@ -298,24 +326,17 @@ def similar_sets(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame,
         ),
         "postings",
     )
-    pairs = staged(prefix_pairs(posted, percent), "pairs")
-    left = sets.select(F.col("name").alias("a"), F.col("size").alias("size_a"), F.col("tokens").alias("tokens_a"))
-    right = sets.select(F.col("name").alias("b"), F.col("size").alias("size_b"), F.col("tokens").alias("tokens_b"))
-    late = pairs.join(left, "a").join(right, "b").mapInArrow(partial(verify, percent=percent), "a binary, b binary")
-    # Late links join whole components: at most one link for each two of them goes on.
+    meeting = staged(open_postings(posted), "postings")
     root_of = rooted.select("name", "root")
-    joined = staged(
-        late.join(root_of.select(F.col("name").alias("a"), F.col("root").alias("root_a")), "a")
-        .join(root_of.select(F.col("name").alias("b"), F.col("root").alias("root_b")), "b")
-        .select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))
-        .distinct(),
-        "links",
-    )
-    above = components(joined).select(F.col("node").alias("root"), F.col("root").alias("top"))
-    tops = root_of.join(above, "root", "left").select(
-        F.col("name").alias("node"), F.coalesce("top", "root").alias("root")
-    )
-    return listed, tops
+    # Two large components would make a pair of each two of their sets. So the sets they are
+    # named by are compared first; all sets of those still apart follow.
+    named = staged(prefix_pairs(meeting.filter("name = root"), percent), "pairs")
+    root_of = staged(under_tops(root_of, joined_roots(named, sets, root_of, percent)), "roots")
+    above = root_of.filter("name <> root").select(F.col("name").alias("root"), F.col("root").alias("top"))
+    meeting = staged(open_postings(under_tops(meeting.drop("largest"), above)), "postings")
+    pairs = staged(prefix_pairs(meeting, percent), "pairs")
+    tops = under_tops(root_of, joined_roots(pairs, sets, root_of, percent))
+    return listed, tops.select(F.col("name").alias("node"), "root")
 
 
 def ngram_join(

@@ -1,0 +1,40 @@
+"""Pairs that the n-gram join makes between two large groups of near copies."""
+
+from __future__ import annotations
+
+import pyarrow as pa
+
+from chartlake.llm import ngram_join as join
+
+
+def test_two_groups_of_near_copies_make_few_pairs(spark, tmp_path, monkeypatch):
+    """Before, each set of one group made a pair with each set of the other: 2,500."""
+    base, texts = [f"w{i}" for i in range(120)], []
+    for i in range(100):
+        words = [*base, *["end"] * (i % 2)]
+        words[i + 5] = f"x{i}"
+        texts.append((i, " ".join(words)))
+    path = str(tmp_path / "docs")
+    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(path)
+
+    def by_size(batches, turns):
+        # The leaders join sets of one size only, so two components are left.
+        for batch in batches:
+            least = batch.column("size").cast(pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [least, *batch.columns], names=["least", *batch.schema.names]
+            )
+
+    made, staged = [], join.staged
+
+    def counted(df, name, **options):
+        out = staged(df, name, **options)
+        if name == "pairs":
+            made.append(out.count())
+        return out
+
+    monkeypatch.setattr(join, "least_hashes", by_size)
+    monkeypatch.setattr(join, "staged", counted)
+    found = join.ngram_join(spark.read.parquet(path), words=5, percent=80).collect()
+    assert len(found) == 100 and {r["component_id"] for r in found} == {0}
+    assert sum(made) < 100
