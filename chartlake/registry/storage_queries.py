@@ -6,8 +6,9 @@ shared folder, and returns what is read back.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,14 +64,26 @@ def _orders_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- scans -------------------------------------------------------------------
 
+# Documents of one file that holds an array of them.
+ARRAY_DOCS = 1000
+
+
+def _json_arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The documents, as JSON texts, in arrays of at most ``ARRAY_DOCS``."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, ARRAY_DOCS):
+            listed = ",\n".join(batch.column(0).slice(first, ARRAY_DOCS).to_pylist())
+            yield pa.RecordBatch.from_arrays([pa.array([f"[{listed}]"])], names=["value"])
+
 
 @query("scan_json_inferred", V.ARTIST_DOCS_SQL)
 def scan_json_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One document per file, over several lines, with the schema inferred."""
+    """Documents over several lines, many to a file, with the schema inferred."""
     docs = V.artist_docs(spark, sf_dir)
     path = new_path(spark, "artists-json")
     pretty = F.to_json(F.struct(*docs.columns), {"pretty": "true", "ignoreNullFields": "false"})
-    docs.select(pretty).write.option("maxRecordsPerFile", 1).text(path)
+    arrays = docs.select(pretty.alias("doc")).mapInArrow(_json_arrays, "value string")
+    arrays.write.option("maxRecordsPerFile", 1).text(path)
     return refine.flat_artists(read_json(spark, path, multi_line=True))
 
 
