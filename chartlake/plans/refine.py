@@ -21,6 +21,7 @@ from chartlake.schemas import (
 )
 from chartlake.sinks.incremental import incremental_append
 from chartlake.sinks.writers import rebalanced
+from chartlake.sources.readers import partition_columns
 
 
 def flat_artists(docs: DataFrame, outer: bool = False, dedupe: bool = False) -> DataFrame:
@@ -91,12 +92,14 @@ def load_tracks(
     """Append the chart entries whose position and day ``path`` does not hold yet.
 
     Seen entries are dropped and the days brought together while an entry is still
-    one document; artists and markets multiply it only in the writing tasks. ``run``
-    is as in ``load_artists``.
+    one document; artists and markets multiply it only in the writing tasks. Documents whose
+    files lie in folders by day are together as they are. ``run`` is as in ``load_artists``.
     """
+    together = run is None and "date_ranking" in partition_columns(docs)
 
     def finish(new: DataFrame) -> DataFrame:
-        return _flat_tracks(rebalanced(_latest(new, "tracks", run), DAY), outer, dedupe)
+        latest = _latest(new, "tracks", run)
+        return _flat_tracks(latest if together else rebalanced(latest, DAY), outer, dedupe)
 
     incremental_append(
         with_day(docs),

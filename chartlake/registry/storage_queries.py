@@ -344,7 +344,8 @@ _TRACK_COLUMNS = """
 def ref_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Load the early half of the entry documents, then all of them."""
     raw, path = new_path(spark, "raw-tracks"), new_path(spark, "ref-tracks")
-    write_json(V.track_docs(spark, sf_dir), raw, partition_by="date_ranking")
+    by_day = V.track_docs(spark, sf_dir, by_day=True)
+    write_json(by_day, raw, partition_by="date_ranking", rebalance=False)
     docs = read_json(spark, raw, RAW_TRACKS)
     refine.load_tracks(docs.filter(f"date_ranking < '{CUT}' AND position <= 4"), path)
     refine.load_tracks(docs, path)

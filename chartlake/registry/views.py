@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chartlake.sinks.writers import rebalanced
+
 SITE = "https://charts.example"
 
 
@@ -195,10 +197,11 @@ def _track_fields(key: Column) -> list[Column]:
     ]
 
 
-def track_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def track_docs(spark: SparkSession, sf_dir: str, by_day: bool = False) -> DataFrame:
     """One document per line: one or two artists or none, up to three markets.
 
-    Lines numbered 7 carry a day that does not exist.
+    Lines numbered 7 carry a day that does not exist. With ``by_day`` the documents of one
+    day are brought together, while they are still narrow rows.
     """
     quantity = F.col("l_quantity")
     artists = F.array_compact(
@@ -219,11 +222,15 @@ def track_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.when(quantity >= 40, F.lit("X")),
         )
     )
-    return entries(spark, sf_dir).select(
+    day = F.when(F.col("l_linenumber") == 7, "2022-13-40").otherwise(_order_day())
+    lines = entries(spark, sf_dir).withColumn("date_ranking", day)
+    if by_day:
+        lines = rebalanced(lines, "date_ranking")
+    return lines.select(
         _album_struct().alias("album"),
         F.when(F.col("l_tax") > 0, artists).alias("artists"),
         markets.alias("available_markets"),
-        F.when(F.col("l_linenumber") == 7, "2022-13-40").otherwise(_order_day()).alias("date_ranking"),
+        "date_ranking",
         *_track_fields(F.col("l_orderkey")),
         F.col("l_linenumber").cast("bigint").alias("position"),
         F.col("l_linenumber").cast("bigint").alias("track_number"),

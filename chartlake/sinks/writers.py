@@ -24,6 +24,9 @@ class OverwriteOfInputError(ValueError):
 
 # Run-time planning joins shuffled partitions below this size although cores are idle.
 LEAST_PARTITION = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+# A task that meets no more days than this keeps their files open, and need not sort its rows.
+OPEN_FILES = "spark.sql.maxConcurrentOutputFileWriters"
+MOST_OPEN = 100
 
 
 def rebalanced(df: DataFrame, *columns: str) -> DataFrame:
@@ -31,19 +34,23 @@ def rebalanced(df: DataFrame, *columns: str) -> DataFrame:
 
 
 @contextmanager
-def many_small_files(spark: SparkSession) -> Iterator[None]:
+def many_small_files(spark: SparkSession, unsorted: bool = False) -> Iterator[None]:
     """While the body writes, small partitions are joined only as far as all cores stay busy.
 
     A write by day opens a file per day, and that takes the time, not the bytes: by
     Spark's default a thousand tiny days would be one task. Large partitions are joined and
-    split by the advisory size as ever.
+    split by the advisory size as ever. ``unsorted`` is for rows that are widened in the
+    writing tasks: rows of few days are not sorted by day, which would hold them all in memory.
     """
-    before = spark.conf.get(LEAST_PARTITION, None)
-    spark.conf.set(LEAST_PARTITION, "1KB")
+    wanted = {LEAST_PARTITION: "1KB"} | ({OPEN_FILES: MOST_OPEN} if unsorted else {})
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.unset(LEAST_PARTITION) if before is None else spark.conf.set(LEAST_PARTITION, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 def overwrite_parquet(df: DataFrame, path: str, partition_by: str | None = None) -> None:
@@ -59,14 +66,24 @@ def append_parquet(
     _write(df, path, "append", partition_by, rebalance)
 
 
-def write_json(df: DataFrame, path: str, partition_by: str | None = None) -> None:
-    """JSON lines, in few large files. Null fields are kept as null."""
-    if partition_by:
+# A compressed file is read by one task, so it holds no more documents than this.
+JSON_ROWS = 500_000
+
+
+def write_json(
+    df: DataFrame, path: str, partition_by: str | None = None, rebalance: bool = True
+) -> None:
+    """Gzipped JSON lines, in few large files. Null fields are kept as null.
+
+    Without ``rebalance`` the rows of one partition value must be together already.
+    """
+    if partition_by and rebalance:
         df = rebalanced(df, partition_by)
-    writer = df.write.mode("overwrite").option("ignoreNullFields", False)
+    options = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED", "maxRecordsPerFile": JSON_ROWS}
+    writer = df.write.mode("overwrite").options(ignoreNullFields=False, **options)
     if partition_by:
         writer = writer.partitionBy(partition_by)
-    with many_small_files(df.sparkSession):
+    with many_small_files(df.sparkSession, unsorted=not rebalance):
         writer.json(path)
 
 
@@ -79,7 +96,7 @@ def _write(
     if not partition_by:
         writer.parquet(path)
         return
-    with many_small_files(df.sparkSession):
+    with many_small_files(df.sparkSession, unsorted=not rebalance):
         writer.partitionBy(partition_by).parquet(path)
 
 
