@@ -42,18 +42,21 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame, name: str, balance: bool = False) -> DataFrame:
+# Bytes of a row group of a staged table: later reads share a file out by row groups.
+ROW_GROUP = 16 << 20
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once and read it back.
 
-    ``balance`` evens the files out first. That is worth its shuffle for narrow rows
-    exploded from lists, where one long list would leave one task with most of the
-    rows in every later read.
+    A task that writes most of the rows, from one long list, leaves one large file of many row
+    groups. Later reads split it at these, so the rows need no shuffle to be evened out.
     """
     path = new_path(df.sparkSession, name)
     opened = _staged.get()
     if opened is not None:
         opened.append(path)
-    (df.hint("rebalance") if balance else df).write.parquet(path)
+    df.write.options(**{"compression": "zstd", "parquet.block.size": ROW_GROUP}).parquet(path)
     return listing_by_cores(df.sparkSession).read.schema(df.schema).parquet(path)
 
 
