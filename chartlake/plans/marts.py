@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -75,27 +77,36 @@ def f_track_statistics(tracks: DataFrame, features: DataFrame) -> DataFrame:
 def load_f_artist(
     artists: DataFrame, tracks: DataFrame, path: str, null_safe: bool = False, written: Days | None = None
 ) -> None:
-    _load(f_artist(artists, tracks), tracks, path, "exp/f_artist", null_safe, written)
+    places = tracks.withColumn("id", F.col("artists_id"))
+    _load(lambda new: f_artist(artists, new), places, path, "exp/f_artist", null_safe, written)
 
 
 def load_f_ranking(
     tracks: DataFrame, path: str, null_safe: bool = False, written: Days | None = None
 ) -> None:
-    _load(f_ranking(tracks), tracks, path, "exp/f_ranking", null_safe, written)
+    _load(f_ranking, tracks, path, "exp/f_ranking", null_safe, written)
 
 
 def load_f_track_statistics(
     tracks: DataFrame, features: DataFrame, path: str, null_safe: bool = False, written: Days | None = None
 ) -> None:
-    fact = f_track_statistics(tracks, features)
-    _load(fact, tracks, path, "exp/f_track_statistics", null_safe, written)
+    _load(
+        lambda new: f_track_statistics(new, features), tracks, path, "exp/f_track_statistics",
+        null_safe, written,
+    )
 
 
 def _load(
-    fact: DataFrame, tracks: DataFrame, path: str, table: str, null_safe: bool, written: Days | None
+    fact: Callable[[DataFrame], DataFrame], tracks: DataFrame, path: str, table: str, null_safe: bool,
+    written: Days | None,
 ) -> None:
-    # The days of the fact are among those of the tracks, whose folders give them.
+    """Append the fact of the tracks at places that ``path`` does not hold yet.
+
+    The key of a fact stands in the tracks, and no fact row draws on rows of other keys, so
+    known places are dropped before the fact is made of the others.
+    """
+    # The folders of the tracks give the days.
     incremental_append(
-        fact, path, KEYS[table], partition_by=DAY, days=tracks.select(DAY), null_safe=null_safe,
-        written=written,
+        tracks, path, KEYS[table], partition_by=DAY, days=tracks.select(DAY), null_safe=null_safe,
+        finish=fact, written=written,
     )

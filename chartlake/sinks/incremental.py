@@ -11,7 +11,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chartlake.operators.joins import unseen
+from chartlake.operators.joins import anti_join
+from chartlake.sinks.staging import staged
 from chartlake.sinks.writers import Days, append_parquet, overwrite_parquet
 from chartlake.sources.readers import read_parquet_if_exists
 
@@ -49,7 +50,10 @@ def incremental_append(
     if target is not None:
         if partition_by in keys:
             target = within_days(target, days if days is not None else batch, partition_by, null_safe)
-        batch = unseen(batch, target, keys, null_safe)
+        # Written, the known keys have a size: if it is small they are broadcast, and the far
+        # wider batch is not shuffled for them.
+        known = staged(target.select(*keys).distinct(), "known-keys")
+        batch = anti_join(batch, known, keys, null_safe)
     rows = finish(batch) if finish else batch
     rows = written.watch(rows) if written else rows
     if target is None and not partition_by:
