@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from chartlake.functions.columns import joined
+from chartlake.sources.readers import bounded_tasks
 
 
 def distinct_projection(df: DataFrame, columns: Sequence[str | Column]) -> DataFrame:
-    return df.select(*columns).distinct()
+    return bounded_tasks(df).select(*columns).distinct()
 
 
 def group_concat(

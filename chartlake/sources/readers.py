@@ -25,6 +25,35 @@ def listing_by_cores(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# A task sorts and hashes rows many times as large as their compressed bytes. So tables are
+# scanned and shuffles dealt in pieces of these sizes, in more of them the larger the input is.
+SPLIT, SCAN_SPLIT = "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.files.maxPartitionBytes"
+FIRST_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+MOST_SHUFFLED, MOST_SCANNED, INPUT_A_PARTITION = 16 << 20, 32 << 20, 4 << 20
+
+
+def bounded_tasks(df: DataFrame) -> DataFrame:
+    """``df``, after limiting the rows of one task of a session's scans and shuffles.
+
+    Run-time planning joins small shuffle partitions but never splits large ones that hold many
+    keys, so their number must grow with the input.
+    """
+    conf = df.sparkSession.conf
+    for key, most in ((SPLIT, MOST_SHUFFLED), (SCAN_SPLIT, MOST_SCANNED)):
+        if _bytes(conf.get(key)) > most:
+            conf.set(key, most)
+    read = sum(relation.location().sizeInBytes() for relation in file_relations(df))
+    wanted = min(read // INPUT_A_PARTITION, 20_000)
+    if wanted > int(conf.get(FIRST_PARTITIONS, None) or conf.get("spark.sql.shuffle.partitions")):
+        conf.set(FIRST_PARTITIONS, wanted)
+    return df
+
+
+def _bytes(text: str) -> int:
+    number, unit = re.fullmatch(r"(\d+)([kmgt]?)i?b?", text.strip().lower()).groups()
+    return int(number) << (10 * " kmgt".index(unit or " "))
+
+
 def read_json(
     spark: SparkSession, path: str, schema: str | None = None, multi_line: bool = False
 ) -> DataFrame:
