@@ -39,14 +39,22 @@ def gram_counts(order: int):
     return digest
 
 
-def own_counts(hashes: np.ndarray, docs: np.ndarray) -> np.ndarray:
-    """How often each n-gram stands in its own document."""
-    order = np.lexsort((docs, hashes))
+def other_counts(hashes: np.ndarray, docs: np.ndarray, totals: np.ndarray) -> np.ndarray:
+    """How often each n-gram stands in other documents.
+
+    ``totals`` belong to the sorted distinct hashes; n-grams come by document. One sort
+    finds both the total of an n-gram and how often its own document has it.
+    """
+    if not len(hashes):
+        return np.zeros(0, np.int64)
+    order = np.argsort(hashes, kind="stable")
     h, d = hashes[order], docs[order]
-    first = np.flatnonzero(np.concatenate(([True], (h[1:] != h[:-1]) | (d[1:] != d[:-1])))) if len(h) else []
+    new = np.concatenate(([True], h[1:] != h[:-1]))
+    first = np.flatnonzero(new | np.concatenate(([True], d[1:] != d[:-1])))
+    runs = np.diff(np.append(first, len(h)))
+    others = totals.astype(np.int64)[(np.cumsum(new) - 1)[first]] - runs
     out = np.empty(len(h), np.int64)
-    runs = np.diff(np.append(first, len(h))).astype(np.int64)
-    out[order] = np.repeat(runs, runs)
+    out[order] = np.repeat(others, runs)
     return out
 
 
@@ -60,9 +68,8 @@ def score_segment(words, keys, totals, order: int, backoff: float, corpus: int)
     place = np.arange(len(owner)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
     others = []  # for each n: the count outside the document of the n-gram ending at a word
     for n, (hashes, docs) in enumerate(keys[0], 1):
-        count = totals[n].astype(np.int64)[np.searchsorted(keys[n][0], hashes)] - own_counts(hashes, docs)
         full = np.zeros(len(owner), np.int64)
-        full[place >= n - 1] = count
+        full[place >= n - 1] = other_counts(hashes, docs, totals[n])
         others.append(full)
     rest = np.maximum(corpus - lengths[owner], 1)
     # A word that no other document has counts as half an occurrence.

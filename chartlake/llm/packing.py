@@ -71,8 +71,9 @@ def flat(words: list[list[bytes]]) -> tuple[pa.DictionaryArray, np.ndarray]:
 
 def word_hashes(encoded: pa.DictionaryArray) -> np.ndarray:
     """A 64-bit hash for each word of the array."""
-    each = [xxhash.xxh3_64_intdigest(w) for w in encoded.dictionary.to_pylist()]
-    return np.array(each, np.uint64)[encoded.indices.to_numpy()]
+    words = encoded.dictionary.to_numpy(zero_copy_only=False)
+    each = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+    return each[encoded.indices.to_numpy()]
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
