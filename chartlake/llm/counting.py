@@ -43,9 +43,9 @@ def bucket_bits(chars: int) -> int:
     return max(LEAST_BITS, ceil(log2(max(1, chars / BUCKET_CHARS))))
 
 
-def by_bucket(hashes: np.ndarray, bits: int) -> list[tuple[int, int, int]]:
-    """(bucket, first, end) of the runs of sorted hashes that share a bucket."""
-    buckets = (hashes >> np.uint64(64 - bits)).astype(np.int64)
+def by_bucket(hashes: np.ndarray, bits: int, key_bits: int = 64) -> list[tuple[int, int, int]]:
+    """(bucket, first, end) of the runs of sorted hashes of ``key_bits`` that share a bucket."""
+    buckets = (hashes >> np.uint64(key_bits - bits)).astype(np.int64)
     first = np.flatnonzero(np.diff(buckets, prepend=-1))
     ends = np.append(first[1:], len(hashes))
     return list(zip(buckets[first].tolist(), first.tolist(), ends.tolist()))
@@ -55,13 +55,13 @@ def sent_kinds(found: dict) -> dict[int, tuple[np.ndarray, np.ndarray]]:
     return {kind: x for kind, x in found.items() if kind > 0}
 
 
-def sender(split, digest: Digest, bits: int):
+def sender(split, digest: Digest, bits: int, key_bits: int):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, _, words in segments(batches, split):
             rows = [
                 (number, kind << 40 | bucket, pack_sorted(hashes[a:b]), pack_numbers(counts[a:b]))
                 for kind, (hashes, counts) in sent_kinds(digest(words)).items()
-                for bucket, a, b in by_bucket(hashes, bits)
+                for bucket, a, b in by_bucket(hashes, bits, key_bits)
             ]
             if rows:
                 yield pa.RecordBatch.from_arrays(
@@ -90,8 +90,34 @@ def add_up(table: pa.Table) -> pa.Table:
     )
 
 
+# Texts in pieces of this many travel compressed together, in fewer bytes than Spark's own
+# fast compression of a shuffle leaves.
+PIECE_DOCS = 1000
+PIECE_SCHEMA = pa.schema([("doc_id", pa.int64()), ("text", pa.string())])
+
+
+def pack_documents(ids: list, texts: list) -> bytes:
+    sink = pa.BufferOutputStream()
+    options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=3))
+    with pa.ipc.new_stream(sink, PIECE_SCHEMA, options=options) as writer:
+        writer.write_batch(
+            pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(texts, pa.string())], schema=PIECE_SCHEMA)
+        )
+    return sink.getvalue().to_pybytes()
+
+
+def unpack_documents(pieces: list[bytes]) -> tuple[list, list]:
+    """(ids, texts) of the pieces, in their order."""
+    ids, texts = [], []
+    for piece in pieces:
+        found = pa.ipc.open_stream(piece).read_all()
+        ids += found.column("doc_id").to_pylist()
+        texts += found.column("text").to_pylist()
+    return ids, texts
+
+
 def listed(split):
-    """The rows of each segment: segment, place in it, id, text."""
+    """The documents of each segment in pieces: segment, place of the first, ids and texts."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Splits as the sender does, so that segments are the same; texts travel as texts.
@@ -101,30 +127,33 @@ def listed(split):
             held.append(text)
             return split(text)
 
-        for number, ids, words in segments(batches, remembered):
+        for number, ids, _ in segments(batches, remembered):
             texts, n = held[: len(ids)], len(ids)
             del held[:n]
-            for a in range(0, n, 1000):
-                b = min(n, a + 1000)
+            for a in range(0, n, PIECE_DOCS):
+                b = min(n, a + PIECE_DOCS)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.full(b - a, number)), pa.array(np.arange(a, b, dtype=np.int32)),
-                        pa.array(ids[a:b], pa.int64()), pa.array(texts[a:b], pa.string()),
+                        pa.array([number], pa.int64()), pa.array([a], pa.int32()),
+                        pa.array([pack_documents(ids[a:b], texts[a:b])], pa.binary()),
                     ],
-                    names=["segment", "place", "doc_id", "text"],
+                    names=["segment", "place", "docs"],
                 )
 
     return rows
 
 
-def with_counts(docs: DataFrame, split, digest: Digest, use, schema: str, chars: int) -> DataFrame:
+def with_counts(
+    docs: DataFrame, split, digest: Digest, use, schema: str, chars: int, key_bits: int = 64
+) -> DataFrame:
     """``use(number, ids, word lists, digest of them, counts by kind)`` for every segment.
 
     ``docs`` (doc_id, text) must be a stored table, so that reading it twice cuts the same
-    segments; a segment whose counts do not fit its keys stops the job.
+    segments; a segment whose counts do not fit its keys stops the job. Keys of a digest
+    are numbers below 2 to the power of ``key_bits``.
     """
     counted = (
-        small_batches(docs).mapInArrow(sender(split, digest, bucket_bits(chars)), SENT)
+        small_batches(docs).mapInArrow(sender(split, digest, bucket_bits(chars), key_bits), SENT)
         .groupBy("key").applyInArrow(add_up, SENT)
         .select(F.col("segment").alias("at"), "key", "counts")
     )
@@ -133,7 +162,8 @@ def with_counts(docs: DataFrame, split, digest: Digest, use, schema: str, chars:
         pa.default_memory_pool().release_unused()  # workers live on and would keep it
         rows = rows.sort_by("place")
         found = found.sort_by("key")
-        words = [split(t) for t in rows.column("text").to_pylist()]
+        ids, texts = unpack_documents(rows.column("docs").to_pylist())
+        words = [split(t) for t in texts]
         own = digest(words)
         totals = {kind: [] for kind in sent_kinds(own)}
         for key, counts in zip(found.column("key").to_pylist(), found.column("counts").to_pylist()):
@@ -142,10 +172,10 @@ def with_counts(docs: DataFrame, split, digest: Digest, use, schema: str, chars:
         if any(len(joined[k]) != len(own[k][0]) for k in joined):
             raise ValueError("the documents were read in another order the second time")
         number = rows.column("segment")[0].as_py() if len(rows) else 0
-        return use(number, rows.column("doc_id").to_pylist(), words, own, joined)
+        return use(number, ids, words, own, joined)
 
     return (
-        docs.mapInArrow(listed(split), "segment long, place int, doc_id long, text string")
+        docs.mapInArrow(listed(split), "segment long, place int, docs binary")
         .groupBy("segment").cogroup(counted.groupBy("at"))
         .applyInArrow(cogrouped, schema)
     )

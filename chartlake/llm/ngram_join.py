@@ -2,7 +2,8 @@
 
 1. The document frequency of every shingle is counted over all documents and brought back
    (see :mod:`chartlake.llm.counting`). Shared shingles become tokens that sort rare-first;
-   an unshared one cannot match, but it counts.
+   an unshared one cannot match, but it counts. Frequencies are counted by the first bits
+   of a shingle's hash: now and then an unshared one passes as shared, and matches nothing.
 2. A document whose prefix holds unshared shingles only has no partner and is done. The
    others become sets of tokens, one for each distinct word sequence.
 3. Sets with an equal minimum hash are compared with a few leaders of their group, which
@@ -25,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chartlake.llm.components import components
-from chartlake.llm.counting import text_chars, with_counts
+from chartlake.llm.counting import bucket_bits, text_chars, with_counts
 from chartlake.llm.packing import (
     binary_column,
     flat,
@@ -40,6 +41,8 @@ WORDS = 4
 PERCENT = 85
 # Leaders a document is compared with in one group; only how early links are found depends on it.
 LEADERS = 16
+# Bits of a hash beyond those that number all shingles, by which shared ones are told.
+SPARE_BITS = 8
 SUFFIX_CELLS = 128
 
 KEPT = "is_set boolean, doc_id long, name binary, size int, tokens binary, unshared int"
@@ -55,8 +58,18 @@ def prefix_length(size, percent: int):
     return size - (percent * size + 99) // 100 + 1
 
 
-def shingle_frequencies(k: int):
-    """Digest of a segment: its shingles and how many different word sequences have each."""
+def frequency_bits(chars: int) -> int:
+    """Bits of a hash by which to count the shingles of texts of so many characters.
+
+    There are fewer shingles than characters, so an unshared one has the same bits as some
+    other with a probability below 2 to the power of -``SPARE_BITS``.
+    """
+    return min(64, max(32, bucket_bits(chars), chars.bit_length() + SPARE_BITS))
+
+
+def shingle_frequencies(k: int, bits: int = 64):
+    """Digest of a segment: its shingles, and how many different word sequences have each,
+    by the first ``bits`` of its hash."""
 
     def digest(words: list[list[bytes]]) -> dict:
         places, names, seen, kept = [], [], {}, []
@@ -76,16 +89,21 @@ def shingle_frequencies(k: int):
         new = np.ones(len(hashes), bool)
         new[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
         hashes, owner = hashes[new], owner[new]
-        return {0: (places, names, hashes, owner), 1: np.unique(hashes, return_counts=True)}
+        return {0: (places, names, hashes, owner), 1: np.unique(first_bits(hashes, bits), return_counts=True)}
 
     return digest
 
 
-def make_sets(ids: list, keys: dict, totals: dict, percent: int) -> pa.Table:
+def first_bits(hashes: np.ndarray, bits: int) -> np.ndarray:
+    return hashes >> np.uint64(64 - bits)
+
+
+def make_sets(ids: list, keys: dict, totals: dict, percent: int, bits: int = 64) -> pa.Table:
     """Of one segment: its documents, and the token sets that can have partners.
 
     A token is a shared shingle, with its frequency in front so that tokens sort
     rare-first. Frequencies above 255 count as 255 there; any common order will do.
+    Shingles whose first ``bits`` are equal share one frequency, in every document alike.
     """
     schema = pa.schema([
         ("is_set", pa.bool_()), ("doc_id", pa.int64()), ("name", pa.binary()), ("size", pa.int32()),
@@ -102,7 +120,7 @@ def make_sets(ids: list, keys: dict, totals: dict, percent: int) -> pa.Table:
         ],
         schema=schema,
     )
-    frequency = totals[1][np.searchsorted(keys[1][0], hashes)]
+    frequency = totals[1][np.searchsorted(keys[1][0], first_bits(hashes, bits))]
     shared = frequency > 1
     tokens = (np.minimum(frequency, np.uint64(255)) << np.uint64(56)) | (hashes & np.uint64((1 << 56) - 1))
     owner, tokens = owner[shared], tokens[shared]
@@ -168,19 +186,17 @@ def link_leaders(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa
 
 
 def postings(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """A row for each shared token in a set's prefix, with what the filters need."""
+    """A row for each shared token in a set's prefix, with its place there."""
     for batch in batches:
         names, sizes, data, unshared = (
             batch.column(c).to_pylist() for c in ("name", "size", "tokens", "unshared"))
-        token, owner, place, cells = [], [], [], []
+        token, owner, place = [], [], []
         for i, blob in enumerate(data):
             own = read_tokens(blob)
             n = prefix_length(sizes[i], percent) - unshared[i]
             token.append(own[:n])
             owner.append(np.full(len(own[:n]), i))
             place.append(np.arange(len(own[:n])) + unshared[i])
-            found = np.bincount((mixed(own) % np.uint64(SUFFIX_CELLS)).astype(np.int64), minlength=SUFFIX_CELLS)
-            cells.append(found.astype(np.int8) if found.max() < 128 else None)
         if not data:
             continue
         at = pa.array(np.concatenate(owner))
@@ -189,10 +205,21 @@ def postings(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Rec
                 pa.array(np.concatenate(token).astype(np.int64)),
                 pa.array(names, pa.binary()).take(at), pa.array(sizes, pa.int32()).take(at),
                 pa.array(np.concatenate(place).astype(np.int32)),
-                pa.array(cells, pa.list_(pa.int8())).take(at),
-                batch.column("root").take(at),
             ],
-            names=["token", "name", "size", "place", "cells", "root"],
+            names=["token", "name", "size", "place"],
+        )
+
+
+def token_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many tokens of each set lie in each cell of the token space, for the suffix filter."""
+    for batch in batches:
+        cells = []
+        for blob in batch.column("tokens").to_pylist():
+            own = mixed(read_tokens(blob)) % np.uint64(SUFFIX_CELLS)
+            found = np.bincount(own.astype(np.int64), minlength=SUFFIX_CELLS)
+            cells.append(found.astype(np.int8) if found.max() < 128 else None)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("name"), pa.array(cells, pa.list_(pa.int8()))], names=["name", "cells"]
         )
 
 
@@ -222,17 +249,17 @@ def open_postings(posted: DataFrame) -> DataFrame:
     return posted.join(largest, "token")
 
 
-def prefix_pairs(meeting: DataFrame, percent: int) -> DataFrame:
+def prefix_pairs(meeting: DataFrame, cells: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of sets in different components that pass all filters, each once.
 
-    ``meeting`` holds open postings. Of a token's sets, the ones outside its largest
+    ``meeting`` holds open postings, ``cells`` those of each set. Of a token's sets, the ones outside its largest
     component are joined with all, so a component of any size makes no pairs of its own.
     """
     # Two sets in different components share open tokens only, so these tell the first one.
     in_order = meeting.groupBy("name").agg(
         F.transform(F.sort_array(F.collect_list(F.struct("place", "token"))), lambda x: x["token"]).alias("open")
     )
-    open_tokens = meeting.join(in_order, "name")
+    open_tokens = meeting.join(in_order.join(cells, "name"), "name")
     x = open_tokens.filter("root <> largest").drop("largest").alias("x")
     y = open_tokens.alias("y")
 
@@ -270,8 +297,12 @@ def joined_roots(pairs: DataFrame, sets: DataFrame, root_of: DataFrame, percent:
 
     At most one link for each two components goes on.
     """
-    left = sets.select(F.col("name").alias("a"), F.col("size").alias("size_a"), F.col("tokens").alias("tokens_a"))
-    right = sets.select(F.col("name").alias("b"), F.col("size").alias("size_b"), F.col("tokens").alias("tokens_b"))
+    # Tokens are wide, so only those of sets in pairs travel. Written, the names have a size: if
+    # it is small they are broadcast, and the other sets stay where they are.
+    names = pairs.select(F.col("a").alias("name")).union(pairs.select("b")).distinct()
+    wanted = staged(sets.join(staged(names, "names"), "name", "left_semi"), "wanted")
+    left = wanted.select(F.col("name").alias("a"), F.col("size").alias("size_a"), F.col("tokens").alias("tokens_a"))
+    right = wanted.select(F.col("name").alias("b"), F.col("size").alias("size_b"), F.col("tokens").alias("tokens_b"))
     good = pairs.join(left, "a").join(right, "b").mapInArrow(partial(verify, percent=percent), "a binary, b binary")
     links = staged(
         good.join(root_of.select(F.col("name").alias("a"), F.col("root").alias("root_a")), "a")
@@ -291,11 +322,14 @@ def under_tops(rows: DataFrame, above: DataFrame) -> DataFrame:
 
 def similar_sets(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """(documents, roots): each document's set name and size; the component of linked sets."""
+    chars = text_chars(docs)
+    bits = frequency_bits(chars)
+
     def use(number, ids, texts, keys, totals) -> pa.Table:
-        return make_sets(ids, keys, totals, percent)
+        return make_sets(ids, keys, totals, percent, bits)
 
     kept = staged(
-        with_counts(docs, space_words, shingle_frequencies(words), use, KEPT, text_chars(docs)), "shingles"
+        with_counts(docs, space_words, shingle_frequencies(words, bits), use, KEPT, chars, bits), "shingles"
     )
     listed = kept.filter("not is_set").select("doc_id", "name", "size")
     sets = staged(
@@ -314,27 +348,27 @@ def similar_sets(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame,
         links = found if links is None else links.unionByName(found)
     links = staged(links, "links")
     roots = components(links)
-    rooted = staged(
-        sets.join(roots, sets["name"] == roots["node"], "left")
-        .select("name", "size", "tokens", "unshared", F.coalesce("root", "name").alias("root")),
-        "rooted",
+    # Roots are joined to names and postings; the tokens themselves need not travel for them.
+    names = sets.select("name")
+    root_of = staged(
+        names.join(roots, names["name"] == roots["node"], "left").select("name", F.coalesce("root", "name").alias("root")),
+        "roots",
+    )
+    posted = sets.select("name", "size", "tokens", "unshared").mapInArrow(
+        partial(postings, percent=percent), "token long, name binary, size int, place int"
     )
-    posted = staged(
-        rooted.mapInArrow(
-            partial(postings, percent=percent),
-            "token long, name binary, size int, place int, cells array<tinyint>, root binary",
-        ),
-        "postings",
+    posted = staged(posted.join(root_of, "name"), "postings")
+    cells = staged(
+        sets.select("name", "tokens").mapInArrow(token_cells, "name binary, cells array<tinyint>"), "cells"
     )
     meeting = staged(open_postings(posted), "postings")
-    root_of = rooted.select("name", "root")
     # Two large components would make a pair of each two of their sets. So the sets they are
     # named by are compared first; all sets of those still apart follow.
-    named = staged(prefix_pairs(meeting.filter("name = root"), percent), "pairs")
+    named = staged(prefix_pairs(meeting.filter("name = root"), cells, percent), "pairs")
     root_of = staged(under_tops(root_of, joined_roots(named, sets, root_of, percent)), "roots")
     above = root_of.filter("name <> root").select(F.col("name").alias("root"), F.col("root").alias("top"))
     meeting = staged(open_postings(under_tops(meeting.drop("largest"), above)), "postings")
-    pairs = staged(prefix_pairs(meeting, percent), "pairs")
+    pairs = staged(prefix_pairs(meeting, cells, percent), "pairs")
     tops = under_tops(root_of, joined_roots(pairs, sets, root_of, percent))
     return listed, tops.select(F.col("name").alias("node"), "root")
 
