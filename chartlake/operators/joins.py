@@ -38,19 +38,25 @@ def unseen(
 
 
 def anti_join(
-    batch: DataFrame, known: DataFrame, keys: Sequence[str], null_safe: bool = False
+    batch: DataFrame, known: DataFrame, keys: Sequence[str], null_safe: bool = False, hashed: bool = True
 ) -> DataFrame:
-    """Left anti join on equally named keys, with the column order of ``batch``."""
-    renamed = known.select(
-        *[F.col(k).alias(f"_known_{k}") for k in keys], F.xxhash64(*keys).alias("_known_hash")
-    )
-    hashed = batch.withColumn("_hash", F.xxhash64(*keys))
+    """Left anti join on equally named keys, with the column order of ``batch``.
+
+    ``hashed`` joins on a hash of the keys, too, see ``unseen``. Where ``known`` is read from a table
+    and the rows are not grouped by their keys afterwards, it is not needed and only travels.
+    """
+    renamed = known.select(*[F.col(k).alias(f"_known_{k}") for k in keys])
     same = [
         F.col(k).eqNullSafe(F.col(f"_known_{k}")) if null_safe else F.col(k) == F.col(f"_known_{k}")
         for k in keys
     ]
-    matches = reduce(lambda a, b: a & b, same, F.col("_hash") == F.col("_known_hash"))
-    return hashed.join(renamed, matches, "left_anti").select(*batch.columns)
+    rows = batch
+    if hashed:
+        rows = batch.withColumn("_hash", F.xxhash64(*keys))
+        renamed = renamed.withColumn("_known_hash", F.xxhash64(*renamed.columns))
+        same.append(F.col("_hash") == F.col("_known_hash"))
+    matches = reduce(lambda a, b: a & b, same)
+    return rows.join(renamed, matches, "left_anti").select(*batch.columns)
 
 
 def enrich(

@@ -78,6 +78,7 @@ def load_artists(
         KEYS["ref/artists"],
         null_safe=null_safe,
         finish=lambda new: flat_artists(_latest(new, "artists", run), outer, dedupe),
+        wide=True,
     )
 
 
@@ -110,6 +111,7 @@ def load_tracks(
         null_safe=null_safe,
         finish=finish,
         rebalance=dedupe,
+        wide=True,
     )
 
 
@@ -124,6 +126,7 @@ def load_track_features(docs: DataFrame, path: str, run: str | None = None) -> N
         KEYS["ref/tracks_features"],
         schema=TRACK_FEATURES,
         finish=lambda new: _latest(new, "tracks_features", run),
+        wide=True,
     )
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chartlake.operators.joins import anti_join
+from chartlake.sinks.narrowing import narrowed, too_many_to_broadcast
 from chartlake.sinks.staging import staged
 from chartlake.sinks.writers import Days, append_parquet, overwrite_parquet
 from chartlake.sources.readers import read_parquet_if_exists
@@ -28,6 +29,7 @@ def incremental_append(
     finish: Callable[[DataFrame], DataFrame] | None = None,
     rebalance: bool = True,
     written: Days | None = None,
+    wide: bool = False,
 ) -> None:
     """Append the rows of ``batch`` whose key is not in the Parquet table at ``path``.
 
@@ -45,6 +47,10 @@ def incremental_append(
 
     ``written`` gathers the days of the appended rows while they are written, so that a
     registered table can be given just these.
+
+    ``wide`` is for batches that are much wider than their keys and can be read twice: if the
+    known keys are too many to be broadcast, the first reading finds the unseen keys, so that
+    the second shuffles hardly any row that is not appended.
     """
     target = read_parquet_if_exists(batch.sparkSession, path, schema)
     if target is not None:
@@ -53,6 +59,8 @@ def incremental_append(
         # Written, the known keys have a size: if it is small they are broadcast, and the far
         # wider batch is not shuffled for them.
         known = staged(target.select(*keys).distinct(), "known-keys")
+        if wide and too_many_to_broadcast(known):
+            batch, known = narrowed(batch, known, keys, null_safe)
         batch = anti_join(batch, known, keys, null_safe)
     rows = finish(batch) if finish else batch
     rows = written.watch(rows) if written else rows

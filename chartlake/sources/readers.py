@@ -40,7 +40,7 @@ def bounded_tasks(df: DataFrame) -> DataFrame:
     """
     conf = df.sparkSession.conf
     for key, most in ((SPLIT, MOST_SHUFFLED), (SCAN_SPLIT, MOST_SCANNED)):
-        if _bytes(conf.get(key)) > most:
+        if byte_count(conf.get(key)) > most:
             conf.set(key, most)
     read = sum(relation.location().sizeInBytes() for relation in file_relations(df))
     wanted = min(read // INPUT_A_PARTITION, 20_000)
@@ -49,8 +49,9 @@ def bounded_tasks(df: DataFrame) -> DataFrame:
     return df
 
 
-def _bytes(text: str) -> int:
-    number, unit = re.fullmatch(r"(\d+)([kmgt]?)i?b?", text.strip().lower()).groups()
+def byte_count(text: str) -> int:
+    """A size as settings have it, such as ``64MB``; -1 stays."""
+    number, unit = re.fullmatch(r"(-?\d+)([kmgt]?)i?b?", text.strip().lower()).groups()
     return int(number) << (10 * " kmgt".index(unit or " "))
 
 
