@@ -28,6 +28,10 @@ NEIGHBOURS = 15
 # 2 * SAMPLE * LATENT floats and about FEATURES * LATENT floats: 1.6 MB.
 SAMPLE = 1000
 BLOCK = 512
+# Turns of the search for the axes, and the error of a vector, as a share of the largest
+# eigenvalue, at which it ends.
+TURNS = 100
+SETTLED = 1e-10
 # How much a style share of 1 counts beside the tf-idf vector, whose length is 1.
 STYLE_WEIGHT = 3
 # Kind of a byte: symbol 1, capital 2, digit 3, else 0.
@@ -113,6 +117,42 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 3 == 1, F.lit(False))
 
 
+def leading(gram: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ``count`` largest eigenvalues of a positive semidefinite matrix, and their vectors.
+
+    Block iteration holds a few columns beside the matrix; a full decomposition would hold
+    the matrix five times. Where the iteration does not settle, that is what is left.
+    """
+    n, width = len(gram), 4 * count
+    if n > 2 * width:
+        moved = np.random.default_rng(0).standard_normal((n, width))
+        for _ in range(TURNS):
+            block = np.linalg.qr(gram @ moved)[0]
+            moved = gram @ block
+            values, turned = np.linalg.eigh(block.T @ moved)
+            values, turned = values[::-1][:count], turned[:, ::-1][:, :count]
+            vectors = block @ turned
+            off = np.linalg.norm(moved @ turned - vectors * values, axis=0)
+            if off.max() <= SETTLED * values[0]:
+                return values, vectors
+    values, vectors = np.linalg.eigh(gram)
+    return values[::-1][:count], vectors[:, ::-1][:, :count]
+
+
+def singular_axes(matrix: np.ndarray, latent: int) -> np.ndarray:
+    """The first right singular vectors, through the smaller Gram matrix of the sample."""
+    gram = np.empty((len(matrix), len(matrix)))
+    for first in range(0, len(matrix), BLOCK):
+        own = matrix[first : first + BLOCK]
+        end = first + len(own)
+        gram[first:end, first:end] = own @ own.T
+        gram[first:end, :first] = own @ matrix[:first].T
+        gram[:first, first:end] = gram[first:end, :first].T
+    values, left = leading(gram, latent)
+    keep = values > 1e-9
+    return (matrix.T @ (left[:, keep] / np.sqrt(values[keep])).astype(np.float32)).astype(np.float32)
+
+
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, latent: int = LATENT) -> Voters:
     """Voters from ``docs`` (doc_id, text) and ``labels`` (doc_id, label).
 
@@ -162,11 +202,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, latent: int =
         matrix[i] = np.frombuffer(zlib.decompress(r["features"]), np.float32)
     labels_of = np.array([r["label"] for r in rows], np.float32)
     rows.clear()
-    # Right singular vectors through the smaller Gram matrix of the sample.
-    values, left = np.linalg.eigh((matrix @ matrix.T).astype(np.float64))
-    keep = np.argsort(values)[::-1][:latent]
-    keep = keep[values[keep] > 1e-9]
-    axes = (matrix.T @ left[:, keep] / np.sqrt(values[keep])).astype(np.float32)
+    axes = singular_axes(matrix, latent)
     return Voters(idf=idf, axes=axes, vectors=projected(matrix, axes), labels=labels_of, prior=prior)
 
 
