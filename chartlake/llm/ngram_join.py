@@ -10,7 +10,7 @@
    joins most copies by verified links without making pairs of them.
 4. The prefix join proper looks at tokens whose documents are still in different
    components: pairs are filtered by length, position and suffix, and verified once. It
-   goes over the sets that components are named by first, then over all sets of the components
+   goes over one set of each component for a token first, then over all sets of the components
    that are still apart. Pairs inside a component cannot change it and are never made.
 """
 
@@ -292,6 +292,16 @@ def prefix_pairs(meeting: DataFrame, cells: DataFrame, percent: int) -> DataFram
     )
 
 
+def one_a_root(meeting: DataFrame) -> DataFrame:
+    """Of the open postings of a token, that of the least set of each component.
+
+    A component is named by its least set, which keeps all its postings. Others keep some, so
+    their pairs may be missed here.
+    """
+    least = meeting.groupBy("token", "root").agg(F.min("name").alias("name"))
+    return meeting.join(least, ["token", "root", "name"], "left_semi")
+
+
 def joined_roots(pairs: DataFrame, sets: DataFrame, root_of: DataFrame, percent: int) -> DataFrame:
     """(root, top): components of components, by those of the pairs that are similar.
 
@@ -362,9 +372,10 @@ def similar_sets(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame,
         sets.select("name", "tokens").mapInArrow(token_cells, "name binary, cells array<tinyint>"), "cells"
     )
     meeting = staged(open_postings(posted), "postings")
-    # Two large components would make a pair of each two of their sets. So the sets they are
-    # named by are compared first; all sets of those still apart follow.
-    named = staged(prefix_pairs(meeting.filter("name = root"), cells, percent), "pairs")
+    # Two large components would make a pair of each two of their sets. So one set of each for
+    # a token is compared first, the one it is named by if that has the token; all sets of those
+    # still apart follow.
+    named = staged(prefix_pairs(one_a_root(meeting), cells, percent), "pairs")
     root_of = staged(under_tops(root_of, joined_roots(named, sets, root_of, percent)), "roots")
     above = root_of.filter("name <> root").select(F.col("name").alias("root"), F.col("root").alias("top"))
     meeting = staged(open_postings(under_tops(meeting.drop("largest"), above)), "postings")

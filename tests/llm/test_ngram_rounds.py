@@ -38,3 +38,11 @@ def test_two_groups_of_near_copies_make_few_pairs(spark, tmp_path, monkeypatch):
     found = join.ngram_join(spark.read.parquet(path), words=5, percent=80).collect()
     assert len(found) == 100 and {r["component_id"] for r in found} == {0}
     assert sum(made) < 100
+
+
+def test_a_component_is_compared_by_one_set_for_each_token(spark):
+    """Before, only by the set it is named by, whose tokens the other component may not have."""
+    rows = [(1, b"a", b"a"), (1, b"b", b"a"), (1, b"c", b"c"), (2, b"b", b"a"), (2, b"e", b"a"), (2, b"d", b"c")]
+    meeting = spark.createDataFrame([(t, bytearray(n), bytearray(r)) for t, n, r in rows], "token long, name binary, root binary")
+    found = {(r["token"], bytes(r["name"])) for r in join.one_a_root(meeting).collect()}
+    assert found == {(1, b"a"), (1, b"c"), (2, b"b"), (2, b"d")}
