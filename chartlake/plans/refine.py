@@ -21,7 +21,7 @@ from chartlake.schemas import (
 )
 from chartlake.sinks.incremental import incremental_append
 from chartlake.sinks.writers import rebalanced
-from chartlake.sources.readers import partition_columns
+from chartlake.sources.readers import folder_values, partition_columns
 
 
 def flat_artists(docs: DataFrame, outer: bool = False, dedupe: bool = False) -> DataFrame:
@@ -94,8 +94,10 @@ def load_tracks(
 
     Seen entries are dropped and the days brought together while an entry is still
     one document; artists and markets multiply it only in the writing tasks. Documents whose
-    files lie in folders by day are together as they are. ``run`` is as in ``load_artists``.
+    files lie in folders by day are together as they are, and their days are known from the
+    listing of the folders, without reading a document. ``run`` is as in ``load_artists``.
     """
+    listed = folder_values(docs, "date_ranking")
     together = run is None and "date_ranking" in partition_columns(docs)
 
     def finish(new: DataFrame) -> DataFrame:
@@ -107,7 +109,7 @@ def load_tracks(
         path,
         KEYS["ref/tracks"],
         partition_by=DAY,
-        days=with_day(docs).select(DAY),
+        days=with_day(docs if listed is None else listed).select(DAY),
         null_safe=null_safe,
         finish=finish,
         rebalance=dedupe,

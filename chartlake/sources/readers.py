@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -139,3 +140,34 @@ def partition_folders(df: DataFrame) -> list[str]:
         listed = relation.location().partitionSpec().partitions().mkString("\n")
         found += [re.search(r"\],([\w+.-]+:.*)\)$", line)[1] for line in listed.split("\n") if line]
     return found
+
+
+# The folder of rows without a value.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
+
+def folder_values(df: DataFrame, column: str) -> DataFrame | None:
+    """The values of a partition column that ``df`` can hold, from the listing of its folders.
+
+    Filters on partition columns are heeded, others are not, so there can be more values than
+    rows have, but never fewer. No file is read. ``None`` if ``df`` does not take the column
+    straight from the folders of a single table.
+    """
+    plan = df.select(column)._jdf.queryExecution().sparkPlan()
+    leaves = plan.collectLeaves()
+    scan = leaves.head() if leaves.size() == 1 else None
+    if scan is None or scan.getClass().getSimpleName() != "FileSourceScanExec":
+        return None
+    if column not in scan.relation().partitionSchema().fieldNames():
+        return None
+    if not scan.outputSet().contains(plan.output().head()):
+        return None
+    # A line a file. Paths are encoded twice in it, as folder names and as a URI.
+    files = df.sparkSession._jvm.scala.collection.immutable.ArraySeq.unsafeWrapArray(
+        scan.selectedPartitions().toPartitionArray()
+    )
+    folder = rf"^path: \S*/{column}=([^/\s]*)/\S*, range: "
+    texts = set(re.findall(folder, files.mkString("\n"), re.MULTILINE))
+    values = [(None if t == NO_VALUE else unquote(unquote(t)),) for t in sorted(texts)]
+    listed = df.sparkSession.createDataFrame(values, f"`{column}` string")
+    return listed.select(listed[column].cast(df.schema[column].dataType))
