@@ -14,16 +14,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chartlake.functions.columns import day_text, natural_key, timestamp_text, url_last_segment
-from chartlake.operators.aggregates import latest_by_key
+from chartlake.operators.aggregates import last_by_key, latest_by_key
 from chartlake.operators.generators import rank_entries
-from chartlake.operators.joins import enrich
+from chartlake.operators.joins import anti_join, enrich
 from chartlake.schemas import LANDED_KEYS
+from chartlake.sinks.narrowing import passing_by, semi_join, too_many_to_broadcast
 from chartlake.sinks.staging import staged
 from chartlake.sinks.writers import write_json
 from chartlake.sources.readers import read_json
 
 # Fixed value: the folder and name that start the key of a landed chart entry.
 TRACKS_PREFIX = "tracks/musica"
+# Entries of one place that are joined to the known tracks, where not all entries are.
+CANDIDATES = 4
 
 
 class Landed(NamedTuple):
@@ -99,25 +102,56 @@ def land_entries(
     joined. A record looked up by its own id is the same whichever entry asked for it, so
     features and artists only need their ids to be distinct.
 
-    The wide track lookup is read once: the few records that any entry names are written
-    to the shared folder, and all else is derived from them.
+    Which tracks are known and by whom they are is read from the lookup as ids; its wide records
+    are read for the few entries that are left. What follows from the entries is written to the
+    shared folder, so that ``entries`` are not needed any more.
     """
     listed = entries.select(F.col("track_id").alias("id")).distinct()
-    found = staged(tracks.join(listed, "id", "left_semi").select(*tracks.columns), "found-tracks")
-    # Only an entry whose track is known is ever written, so only those compete.
-    known = entries.join(found.select(F.col("id").alias("track_id")), "track_id", "left_semi")
-    placed = latest_by_key(known, LANDED_KEYS["tracks"], order)
-    documents = enrich(
-        placed.select("track_id", "position", "date_ranking"), found, "track_id"
-    ).select("record.*", F.col("position").cast("bigint").alias("position"), "date_ranking")
-    artist_ids = found.select(F.explode("artists.id").alias("id")).distinct()
+    ids = tracks.select("id", F.col("artists.id").alias("artist_ids"))
+    found = staged(ids.join(listed, "id", "left_semi").select(*ids.columns), "found-tracks")
+    found_ids = staged(found.select("id"), "found-ids")
+    placed = latest_known(
+        entries, found_ids.withColumnRenamed("id", "track_id"), LANDED_KEYS["tracks"], order
+    )
+    documents = enrich(staged(placed, "placed"), tracks, "track_id").select(
+        "record.*", F.col("position").cast("bigint").alias("position"), "date_ranking"
+    )
+    artist_ids = staged(found.select(F.explode("artist_ids").alias("id")).distinct(), "found-artists")
     return Landed(
         tracks=documents,
-        tracks_features=features.join(found.select("id"), "id", "left_semi"),
-        artists=artists.join(artist_ids, "id", "left_semi"),
+        tracks_features=semi_join(features, found_ids, ["id"]),
+        artists=semi_join(artists, artist_ids, ["id"]),
     )
 
 
+def latest_known(
+    entries: DataFrame, known: DataFrame, keys: Sequence[str], order: Sequence[str]
+) -> DataFrame:
+    """Track, place and day of the last entry of each key; only entries of known tracks compete.
+
+    ``known`` is a written table of track ids. If they are too many to be broadcast, entries are
+    not shuffled to be joined to them: bitmaps of the ids let hardly any unknown entry pass, and
+    only the last ``CANDIDATES`` of a key are joined. A key that has as many and none
+    of them is known is looked for once more, among all its entries.
+    """
+
+    def last(rows: DataFrame) -> DataFrame:
+        sure = rows.join(known, "track_id", "left_semi")
+        return latest_by_key(sure, keys, order).select("track_id", "position", "date_ranking")
+
+    if not too_many_to_broadcast(known):
+        return last(entries)
+    needed = dict.fromkeys(["track_id", "position", "date_ranking", *keys, *order])
+    possible = passing_by(known, ["track_id"])(entries.select(*needed))
+    few = staged(last_by_key(possible, keys, order, CANDIDATES), "last-entries")
+    placed = staged(last(few), "placed-at-once")
+    full = few.groupBy(*keys).count().filter(F.col("count") >= CANDIDATES).select(*keys)
+    unsure = staged(anti_join(full.dropna(), placed, keys), "unsure-places")
+    if unsure.isEmpty():
+        return placed
+    return placed.unionByName(last(possible.join(unsure, list(keys), "left_semi")))
+
+
 def write_landed(landed: Landed, root: str, run: str) -> None:
     """Write the documents of one run as ``<root>/<kind>/run=<run>/``.
 

@@ -37,7 +37,7 @@ from chartlake.schemas import (
 from chartlake.sinks.catalog import register_exports
 from chartlake.sinks.incremental import incremental_append
 from chartlake.sinks.preview import preview_rows, preview_schema
-from chartlake.sinks.staging import new_path, staged
+from chartlake.sinks.staging import new_path, scratch, scratch_path, staged
 from chartlake.sinks.writers import append_parquet, overwrite_parquet, write_json
 from chartlake.sources.readers import read_json, read_parquet
 
@@ -371,24 +371,38 @@ _SNAPSHOT_KEYS = "l_orderkey BIGINT, l_linenumber INT, l_partkey BIGINT, l_suppk
 
 def _through_json(spark: SparkSession, snapshots: DataFrame, schema: str) -> DataFrame:
     """The snapshots as the jobs find them: JSON documents, read with their fixed schema."""
-    path = new_path(spark, "snapshots")
+    path = scratch_path(spark, "snapshots")
     write_json(snapshots, path)
     return read_json(spark, path, schema)
 
 
 def _land(
-    spark: SparkSession, sf_dir: str, entries: DataFrame, order: list[str]
+    spark: SparkSession,
+    sf_dir: str,
+    read_snapshots: Callable[[], DataFrame],
+    entries: Callable[[DataFrame], DataFrame],
+    order: list[str],
 ) -> DataFrame:
-    """Land, read back, and list what lies under which key."""
+    """Land, read back, and list what lies under which key.
+
+    Nothing is kept longer than it is needed: the JSON of the snapshots goes when they are staged,
+    the staged ones when the documents to land are known, and these tables when all is landed. A
+    snapshot here lists a few tracks, so it is staged as it is and ranked in each reading.
+    """
     root = new_path(spark, "raw")
-    landed = landing.land_entries(
-        staged(entries, "entries"),
-        V.lookup_tracks(spark, sf_dir),
-        V.lookup_features(spark, sf_dir),
-        V.lookup_artists(spark, sf_dir),
-        order,
-    )
-    landing.write_landed(landed, root, "1")
+    with scratch(spark):
+        with scratch(spark) as keep:
+            with scratch(spark) as keep_snapshots:
+                snapshots = keep_snapshots(staged(read_snapshots(), "snapshots-read"))
+            landed = landing.land_entries(
+                entries(snapshots),
+                V.lookup_tracks(spark, sf_dir),
+                V.lookup_features(spark, sf_dir),
+                V.lookup_artists(spark, sf_dir),
+                order,
+            )
+            landed = landing.Landed(*map(keep, landed))
+        landing.write_landed(landed, root, "1")
 
     def read(kind: str, schema: str, key: Column, name: str, number: str) -> DataFrame:
         return landing.read_landed(spark, root, kind, schema).select(
@@ -449,13 +463,17 @@ _LISTED = "CASE item.n WHEN 1 THEN l_orderkey WHEN 2 THEN l_partkey ELSE l_suppk
     ),
 )
 def land_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    snapshots = _through_json(
-        spark,
-        V.daily_snapshots(spark, sf_dir),
-        f"{SNAPSHOT_DAILY}, {_SNAPSHOT_KEYS}, taken_at TIMESTAMP_NTZ",
-    )
-    entries = landing.daily_entries(snapshots, "taken_at")
-    return _land(spark, sf_dir, entries, ["taken_at", *V.SNAPSHOT_ORDER])
+    def snapshots() -> DataFrame:
+        return _through_json(
+            spark,
+            V.daily_snapshots(spark, sf_dir),
+            f"{SNAPSHOT_DAILY}, {_SNAPSHOT_KEYS}, taken_at TIMESTAMP_NTZ",
+        )
+
+    def entries(taken: DataFrame) -> DataFrame:
+        return landing.daily_entries(taken, "taken_at")
+
+    return _land(spark, sf_dir, snapshots, entries, ["taken_at", *V.SNAPSHOT_ORDER])
 
 
 HISTORY_RANGES = [("1990-01-01", "1996-12-31"), ("1997-02-01", "2010-12-31")]
@@ -477,11 +495,14 @@ HISTORY_RANGES = [("1990-01-01", "1996-12-31"), ("1997-02-01", "2010-12-31")]
     ),
 )
 def land_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    archived = _through_json(
-        spark,
-        V.history_snapshots(spark, sf_dir),
-        f"{SNAPSHOT_HISTORY}, {_SNAPSHOT_KEYS}, snapshot_day TIMESTAMP_NTZ",
+    def snapshots() -> DataFrame:
+        archived = _through_json(
+            spark,
+            V.history_snapshots(spark, sf_dir),
+            f"{SNAPSHOT_HISTORY}, {_SNAPSHOT_KEYS}, snapshot_day TIMESTAMP_NTZ",
+        )
+        return landing.in_ranges(archived, "snapshot_day", HISTORY_RANGES)
+
+    return _land(
+        spark, sf_dir, snapshots, landing.history_entries, ["snapshot_day", *V.SNAPSHOT_ORDER]
     )
-    snapshots = landing.in_ranges(archived, "snapshot_day", HISTORY_RANGES)
-    entries = landing.history_entries(snapshots)
-    return _land(spark, sf_dir, entries, ["snapshot_day", *V.SNAPSHOT_ORDER])

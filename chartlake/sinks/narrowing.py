@@ -1,8 +1,9 @@
-"""Leave known rows of a wide batch out before it is joined to anything."""
+"""Leave rows out before they are joined to anything, if only their keys are needed for that."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,13 +42,22 @@ def narrowed(
     ones; only the known keys that pass as well are needed to drop them.
     """
     unseen = staged(anti_join(batch.select(*keys), known, keys, null_safe, hashed=False), "unseen-keys")
-    blocks = min(max(1, -(-unseen.count() * BITS_A_KEY // (BITS * HASHES))), MOST_BLOCKS)
+    passing = passing_by(unseen, keys)
+    return passing(batch), staged(passing(known.select(*keys)), "known-keys")
+
+
+def passing_by(wanted: DataFrame, keys: Sequence[str]) -> Callable[[DataFrame], DataFrame]:
+    """A filter that all rows with a key of the written table ``wanted`` pass, and few others.
+
+    It is a join to broadcast bitmaps, so it shuffles nothing.
+    """
+    blocks = min(max(1, -(-wanted.count() * BITS_A_KEY // (BITS * HASHES))), MOST_BLOCKS)
     block = F.pmod(F.xxhash64(*keys), F.lit(blocks))
     bitmaps = staged(
-        unseen.select(block.alias("_held_block"), *[_place(keys, i).alias(f"_place_{i}") for i in range(HASHES)])
+        wanted.select(block.alias("_held_block"), *[_place(keys, i).alias(f"_place_{i}") for i in range(HASHES)])
         .groupBy("_held_block")
         .agg(*[_longs(F.bitmap_construct_agg(f"_place_{i}")).alias(f"_held_{i}") for i in range(HASHES)]),
-        "unseen-bitmaps",
+        "bitmaps",
     )
 
     def passing(df: DataFrame) -> DataFrame:
@@ -56,7 +66,22 @@ def narrowed(
             joined = joined.filter(_holds(F.col(f"_held_{i}"), _place(keys, i)))
         return joined.select(*df.columns)
 
-    return passing(batch), staged(passing(known.select(*keys)), "known-keys")
+    return passing
+
+
+def semi_join(wide: DataFrame, wanted: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows of ``wide`` whose key is in the written table ``wanted``.
+
+    If that has too many keys to be broadcast, the keys of ``wide`` that are not in it are
+    found from the key columns alone, and the rows of these are left out. ``wide`` is read twice.
+    """
+    if not too_many_to_broadcast(wanted):
+        return wide.join(wanted.select(*keys), list(keys), "left_semi").select(*wide.columns)
+    named = wide.filter(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
+    others = staged(anti_join(named.select(*keys), wanted, keys, hashed=False), "other-keys")
+    if too_many_to_broadcast(others):
+        named, others = narrowed(named, others, keys)
+    return anti_join(named, others, keys)
 
 
 def _place(keys: Sequence[str], i: int) -> Column:

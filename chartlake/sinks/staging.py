@@ -42,6 +42,29 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path that is deleted when the innermost ``scratch`` block ends, if there is one."""
+    path, opened = new_path(spark, name), _staged.get()
+    if opened is not None:
+        opened.append(path)
+    return path
+
+
+# Spark otherwise deletes shuffled files only once the driver happens to collect its garbage.
+SHUFFLES_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """What the queries planned in the block shuffle is deleted when each of them ends."""
+    before = spark.conf.get(SHUFFLES_GO, "false")
+    spark.conf.set(SHUFFLES_GO, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLES_GO, before)
+
+
 # Bytes of a row group of a staged table: later reads share a file out by row groups.
 ROW_GROUP = 16 << 20
 
@@ -52,11 +75,9 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     A task that writes most of the rows, from one long list, leaves one large file of many row
     groups. Later reads split it at these, so the rows need no shuffle to be evened out.
     """
-    path = new_path(df.sparkSession, name)
-    opened = _staged.get()
-    if opened is not None:
-        opened.append(path)
-    df.write.options(**{"compression": "zstd", "parquet.block.size": ROW_GROUP}).parquet(path)
+    path = scratch_path(df.sparkSession, name)
+    with shuffles_removed(df.sparkSession):
+        df.write.options(**{"compression": "zstd", "parquet.block.size": ROW_GROUP}).parquet(path)
     return listing_by_cores(df.sparkSession).read.schema(df.schema).parquet(path)
 
 

@@ -15,6 +15,7 @@ from urllib.parse import unquote, urlsplit
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from chartlake.sinks.staging import shuffles_removed
 from chartlake.sources.readers import root_paths
 
 
@@ -83,7 +84,7 @@ def write_json(
     writer = df.write.mode("overwrite").options(ignoreNullFields=False, **options)
     if partition_by:
         writer = writer.partitionBy(partition_by)
-    with many_small_files(df.sparkSession, unsorted=not rebalance):
+    with many_small_files(df.sparkSession, unsorted=not rebalance), shuffles_removed(df.sparkSession):
         writer.json(path)
 
 

@@ -1,0 +1,115 @@
+"""Landing over many known tracks: what is shuffled, what is looked up again, and what stays on disk."""
+
+from __future__ import annotations
+
+import os
+
+import pytest
+from conftest import SF_DIR, final_plan, rows
+from pyspark.sql import functions as F
+
+from chartlake.operators.aggregates import last_by_key
+from chartlake.plans import landing
+from chartlake.registry import storage_queries as queries
+from chartlake.sinks import narrowing, staging
+
+THRESHOLD = "spark.sql.autoBroadcastJoinThreshold"
+KEYS = ["date_ranking", "position"]
+
+
+def test_the_last_rows_of_each_key(spark):
+    df = spark.createDataFrame(
+        [("a", n) for n in range(5)] + [("b", 1), (None, 1), (None, 2), (None, 3)], "k STRING, seq INT"
+    )
+    assert rows(last_by_key(df, ["k"], ["seq"], 2)) == [
+        (None, 1), (None, 2), (None, 3), ("a", 3), ("a", 4), ("b", 1),
+    ]
+
+
+@pytest.mark.parametrize("most_blocks", [1, narrowing.MOST_BLOCKS])
+def test_the_last_known_entry_takes_a_place(spark, setting, monkeypatch, most_blocks):
+    """With one bitmap nearly all unknown tracks pass, so places are looked up again."""
+    setting(THRESHOLD, "1KB")
+    monkeypatch.setattr(narrowing, "MOST_BLOCKS", most_blocks)
+    # The later half of the entries of each fifth place names unknown tracks, all of each seventh.
+    unknown = "position % 5 = 0 AND id >= 20000 OR position % 7 = 0"
+    entries = staging.staged(
+        spark.range(40_000).selectExpr("id", "id % 400 AS position", "'2022-04-01' AS date_ranking").selectExpr(
+            f"CAST(CASE WHEN {unknown} THEN -id - 1 ELSE id END AS STRING) AS track_id", "position", "date_ranking",
+            "id AS seq", "uuid() AS payload",
+        ).unionByName(
+            spark.range(9).selectExpr(
+                "CAST(id - 2 AS STRING) AS track_id", "NULL AS position", "'d' AS date_ranking", "id AS seq", "'' AS payload"
+            )
+        ),
+        "entries",
+    )
+    known = staging.staged(spark.range(60_000).selectExpr("CAST(id AS STRING) AS track_id"), "known")
+    again, looked = [], landing.anti_join
+    monkeypatch.setattr(landing, "anti_join", lambda *of: again.append(looked(*of)) or again[-1])
+    placed = landing.latest_known(entries, known, KEYS, ["seq"])
+    wanted = [("d", None, str(i)) for i in range(7)] + [
+        ("2022-04-01", p, str(39_600 + p if p % 5 else 19_600 + p)) for p in range(400) if p % 7
+    ]
+    assert rows(placed, *KEYS, "track_id") == sorted(wanted, key=lambda r: (r[0], r[1] is not None, r[1] or 0, r[2]))
+    assert bool(again[0].count()) == (most_blocks == 1)
+
+
+def test_all_entries_are_not_shuffled_to_find_the_known(spark, setting, monkeypatch):
+    setting(THRESHOLD, "1KB")
+    plans, last = [], landing.last_by_key
+
+    def seen(possible, *more):
+        plans.append(final_plan(possible))
+        return last(possible, *more)
+
+    monkeypatch.setattr(landing, "last_by_key", seen)
+    entries = spark.range(9000).selectExpr(
+        "CAST(id AS STRING) AS track_id", "id % 9 AS position", "'2022-04-01' AS date_ranking", "id AS seq"
+    )
+    lookup = staging.staged(
+        spark.range(8000).selectExpr(
+            "CAST(id AS STRING) AS id", "array(struct(CAST(id % 7 AS STRING) AS id)) AS artists", "uuid() AS name"
+        ),
+        "lookup",
+    )
+    landed = landing.land_entries(staging.staged(entries, "entries"), lookup, lookup, lookup, ["seq"])
+    assert len(plans) == 1 and "hashpartitioning" not in plans[0]
+    assert rows(landed.tracks, "position", "id") == [(p, str(7992 + p - (9 if p == 8 else 0))) for p in range(9)]
+    assert landed.tracks_features.count() == 8000 and landed.artists.count() == 7
+
+
+@pytest.mark.parametrize("least", [0, 39_000])
+def test_a_semi_join_does_not_shuffle_wide_rows(spark, setting, least):
+    setting(THRESHOLD, "20KB")
+    wide = spark.range(40_000).selectExpr(
+        "CASE WHEN id % 10 > 0 THEN CAST(id AS STRING) END AS id", "uuid() AS text", "id AS n"
+    )
+    wide = staging.staged(wide, "wide")
+    wanted = staging.staged(spark.range(least, 60_000).selectExpr("CAST(id AS STRING) AS id"), "wanted")
+    found = narrowing.semi_join(wide, wanted, ["id"])
+    assert rows(found, "n") == [(n,) for n in range(least, 40_000) if n % 10]
+    assert found.columns == wide.columns and "SortMergeJoin" not in final_plan(found)
+
+
+def shuffled_files(spark) -> set[str]:
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = [files.apply(i).getName() for i in range(files.size())]
+    return {n for n in names if n.startswith("shuffle_")}
+
+
+def test_shuffled_files_go_when_a_table_is_staged(spark):
+    before = shuffled_files(spark)
+    staging.staged(spark.range(1000).groupBy((F.col("id") % 10).alias("k")).count(), "counts")
+    assert not shuffled_files(spark) - before
+    assert spark.conf.get(staging.SHUFFLES_GO) == "false"
+
+
+@pytest.mark.parametrize("name", ["land_daily", "land_history"])
+def test_only_what_is_landed_stays(spark, name):
+    folder = staging.shared_folder(spark).removeprefix("file:")
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    landed = getattr(queries, name)(spark, SF_DIR)
+    new = [f for f in set(os.listdir(folder)) - before if f.count("-") == 1 and not f.startswith(".")]
+    assert [f.split("-")[0] for f in new] == ["raw"]
+    assert landed.count() > 0
