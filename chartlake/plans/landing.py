@@ -8,10 +8,13 @@ last document of each key.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from itertools import takewhile
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DatetimeType, NumericType
 
 from chartlake.functions.columns import day_text, natural_key, timestamp_text, url_last_segment
 from chartlake.operators.aggregates import last_by_key, latest_by_key
@@ -131,8 +134,9 @@ def latest_known(
 
     ``known`` is a written table of track ids. If they are too many to be broadcast, entries are
     not shuffled to be joined to them: bitmaps of the ids let hardly any unknown entry pass, and
-    only the last ``CANDIDATES`` of a key are joined. A key that has as many and none
-    of them is known is looked for once more, among all its entries.
+    only the last ``CANDIDATES`` of a key are joined. Few entries are sorted to find these, as
+    the greatest of the first order columns are found by hashing. A key none of whose candidates
+    is known is looked for once more among all its entries, if it has others.
     """
 
     def last(rows: DataFrame) -> DataFrame:
@@ -143,15 +147,31 @@ def latest_known(
         return last(entries)
     needed = dict.fromkeys(["track_id", "position", "date_ranking", *keys, *order])
     possible = passing_by(known, ["track_id"])(entries.select(*needed))
-    few = staged(last_by_key(possible, keys, order, CANDIDATES), "last-entries")
+    hashable = takewhile(lambda c: isinstance(entries.schema[c].dataType, (NumericType, DatetimeType)), order)
+    late, places = possible, None
+    for column in list(hashable)[:2] or [None]:
+        every = F.count(F.lit(1)).alias("_every")
+        greatest = [F.max(column).alias("_greatest")] if column else []
+        found = staged(late.groupBy(*keys).agg(every, *greatest), "places")
+        places = places or found
+        if column and not too_many_to_broadcast(found):
+            late = _greatest_of_keys(late, found, keys, column)
+    few = staged(last_by_key(late, keys, order, CANDIDATES), "last-entries")
     placed = staged(last(few), "placed-at-once")
-    full = few.groupBy(*keys).count().filter(F.col("count") >= CANDIDATES).select(*keys)
-    unsure = staged(anti_join(full.dropna(), placed, keys), "unsure-places")
+    partly = few.groupBy(*keys).count().join(places, list(keys)).filter("count < _every").select(*keys)
+    unsure = staged(anti_join(partly, placed, keys), "unsure-places")
     if unsure.isEmpty():
         return placed
     return placed.unionByName(last(possible.join(unsure, list(keys), "left_semi")))
 
 
+def _greatest_of_keys(rows: DataFrame, found: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
+    """Rows with the greatest ``column`` of their key; those with a null in their key all stay."""
+    unnamed = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    joined = rows.join(found.select(*keys, "_greatest"), list(keys), "left")
+    return joined.filter(unnamed | F.col(column).eqNullSafe(F.col("_greatest"))).select(*rows.columns)
+
+
 def write_landed(landed: Landed, root: str, run: str) -> None:
     """Write the documents of one run as ``<root>/<kind>/run=<run>/``.
 
